@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lorekeep.llm import decontam, mixing, tokens
+from lorekeep.llm import decontam, mixing, quality, tokens, urls
 from lorekeep.llm.common import table
 
 
@@ -19,6 +19,15 @@ def op6_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_output(table(spark, sf_dir, "documents"))
 
 
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.verdicts(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -62,6 +71,8 @@ FROM q
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_mixing": op5_mixing,
     "op6_token_output": op6_token_output,
+    "op7_url_filter": op7_url_filter,
+    "op8_quality": op8_quality,
     "op9_decontaminate": op9_decontaminate,
 }
 
