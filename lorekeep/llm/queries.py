@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lorekeep.llm import decontam, mixing, quality, tokens, urls
+from lorekeep.llm import decontam, mixing, near_dup, quality, tokens, urls
 from lorekeep.llm.common import table
 
 
@@ -32,6 +32,10 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op10_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 MIXING_SQL = r"""
 WITH d AS (
   SELECT doc_id, source, md5(CAST(doc_id AS VARCHAR)) AS k,
@@ -74,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_url_filter": op7_url_filter,
     "op8_quality": op8_quality,
     "op9_decontaminate": op9_decontaminate,
+    "op10_near_dup": op10_near_dup,
 }
 
 ORACLE_SQL: dict[str, str] = {"op5_mixing": MIXING_SQL}
