@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lorekeep.llm import decontam, mixing, near_dup, quality, suffix_dedup, tokens, urls
+from lorekeep.llm import decontam, lm, mixing, near_dup, quality, suffix_dedup, tokens, urls
 from lorekeep.llm.common import table
 
 
@@ -14,6 +14,10 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.without_repeats(table(spark, sf_dir, "documents"))
 
 
+def op4_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.scored(table(spark, sf_dir, "documents"))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = mixing.in_training_order(mixing.plan(table(spark, sf_dir, "documents")))
     return p.select("doc_id", "size", "source_size", "target", "taken")
@@ -78,6 +82,7 @@ FROM q
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
+    "op4_lm_score": op4_lm_score,
     "op5_mixing": op5_mixing,
     "op6_token_output": op6_token_output,
     "op7_url_filter": op7_url_filter,
