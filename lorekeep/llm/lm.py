@@ -2,7 +2,7 @@
 
 A text is coded symbol by symbol (its bytes, then one end), a symbol as the binary
 decisions of a prefix code made from the corpus's byte counts.  Four predictors give a
-probability for every decision: hashed contexts of the last 2, 3 and 4 bytes, and of the word so
+probability for every decision: hashed contexts of the last 2, 4 and 6 bytes, and of the word so
 far.  Their counts are gathered over all training documents.  A mixer combines the
 predictors' logits with weights chosen by a gate (the number of contexts that the corpus
 has shown) and moved after every ``STEP`` decisions, some four bytes, along the gradient of
@@ -26,6 +26,7 @@ by 64-bit hashes.
 from __future__ import annotations
 
 import heapq
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,13 +34,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lorekeep.llm.common import U64, Words, blocks, drop_written, materialize, powers, prefix_hash, utf8
+from lorekeep.llm.common import U64, Words, blocks, materialize, powers, prefix_hash, utf8
 
 FOLDS, HELD_OUT = 7, 2
 END = 256
-SLOT_BITS = 18
+SLOT_BITS = 20
+#: Counts in a piece of a table, and pieces that are summed in one task.
+PIECE, FAN_IN = 1 << 16, 64
 #: Lengths in bytes of the contexts; one more is the word so far.
-ORDERS = (2, 3, 4)
+ORDERS = (2, 4, 6)
 PREDICTORS = len(ORDERS) + 1
 SEGMENT = 512
 #: Bytes of text that are mixed at once.
@@ -145,16 +148,16 @@ def counted(texts: list[bytes], code: Code, out: np.ndarray) -> None:
             at = slots(c, n, node)
             at *= 2
             at += bit
-            out[m] += np.bincount(at, minlength=2 << SLOT_BITS)
+            np.add.at(out[m], at, np.int32(1))
 
 
 class Model:
     def __init__(self, byte_counts: np.ndarray, table: np.ndarray):
         """table: predictors x slots x 2 counts of the decision's bit."""
         self.code = Code(byte_counts)
-        n = table.reshape(PREDICTORS, -1, 2).astype(np.float64)
+        n = table.reshape(PREDICTORS, -1, 2)
         # A decision that was met is never quite 0: that stands for an unknown context.
-        logit = np.log(n[..., 1] + PRIOR) - np.log(n[..., 0] + PRIOR)
+        logit = np.log((n[..., 1] + np.float32(PRIOR)) / (n[..., 0] + np.float32(PRIOR)))
         logit[(n.sum(-1) > 0) & (logit == 0)] = 1e-6
         self.logit = np.clip(logit, -MAP_SPAN, MAP_SPAN).astype(np.float32)
 
@@ -266,28 +269,63 @@ def word_hashes(texts: list[bytes]) -> Words:
     return Words([t.lower() for t in texts])
 
 
+ROWS = pa.schema([("kind", pa.int32()), ("key", pa.int64()), ("bucket", pa.int32()), ("n", pa.int64()), ("counts", pa.binary())])
+
+
 def gathered(d: DataFrame, code: Code) -> DataFrame:
-    """From bucketed documents (bucket, body, held_out): rows (kind, key, bucket, n).
+    """From bucketed documents (bucket, body, held_out): rows (kind, key, bucket, n, counts).
 
-    kind 0: a decision's count, key being (predictor, slot, bit).  kind 1: a word of the bucket
-    with its occurrences in training documents, possibly none.
+    kind 0: piece ``key`` of the table of decision counts, compressed.  kind 1: a word of the
+    bucket and its occurrences ``n`` in training documents, possibly none.
     """
 
     def run(t: pa.Table) -> pa.Table:
         bodies, out, bucket = t["body"].to_pylist(), t["held_out"].to_pylist(), t["bucket"][0].as_py()
         train = [b for b, o in zip(bodies, out, strict=True) if not o]
-        table = np.zeros((PREDICTORS, 2 << SLOT_BITS), np.int64)
+        table = np.zeros((PREDICTORS, 2 << SLOT_BITS), np.int32)
         counted(train, code, table)
-        table = table.ravel()
-        key = np.flatnonzero(table)
+        pieces = {i: x for i, x in enumerate(table.reshape(-1, PIECE)) if x.any()}
         seen = _distinct(train)
         other = _distinct([b for b, o in zip(bodies, out, strict=True) if o])[0]
         other = other[~np.isin(other, seen[0])]
-        words = np.concatenate((seen[0], other))
-        n = np.concatenate((seen[1], np.zeros(len(other), np.int64)))
-        return pa.table({"kind": pa.array(np.repeat([0, 1], [len(key), len(words)]).astype(np.int32)), "key": pa.array(np.concatenate((key, words))), "bucket": pa.array(np.full(len(key) + len(words), bucket, np.int32)), "n": pa.array(np.concatenate((table[key], n)))})
+        key = np.concatenate((np.array([*pieces], np.int64), seen[0], other))
+        n = np.concatenate((np.zeros(len(pieces), np.int64), seen[1], np.zeros(len(other), np.int64)))
+        kind = (np.arange(len(key)) >= len(pieces)).astype(np.int32)
+        counts = pa.array([squeezed(x) for x in pieces.values()] + [None] * (len(key) - len(pieces)), pa.binary())
+        return pa.table([pa.array(kind), pa.array(key), pa.array(np.full(len(key), bucket, np.int32)), pa.array(n), counts], schema=ROWS)
+
+    return d.groupBy("bucket").applyInArrow(run, "kind int, key long, bucket int, n long, counts binary")
+
+
+def squeezed(x: np.ndarray) -> bytes:
+    """Counts as one byte each where they are under 255, the others after them."""
+    large = x >= 255
+    return zlib.compress(np.where(large, 255, x).astype(np.uint8).tobytes() + x[large].astype("<i8").tobytes(), 1)
+
+
+def stretched(b: bytes) -> np.ndarray:
+    b = zlib.decompress(b)
+    x = np.frombuffer(b, np.uint8, PIECE).astype(np.int64)
+    x[x == 255] = np.frombuffer(b, "<i8", offset=PIECE)
+    return x
+
+
+def summed(rows: DataFrame, buckets: int) -> DataFrame:
+    """(key, counts): the pieces' sums, FAN_IN buckets at a time, so that no task holds more than so many."""
+    schema = pa.schema([("key", pa.int64()), ("salt", pa.int32()), ("counts", pa.binary())])
+
+    def run(t: pa.Table) -> pa.Table:
+        total = np.zeros(PIECE, np.int64)
+        for x in t["counts"]:
+            total += stretched(x.as_py())
+        return pa.table([[t["key"][0].as_py()], pa.array([t["salt"][0].as_py()], pa.int32()), pa.array([squeezed(total)], pa.binary())], schema=schema)
 
-    return d.groupBy("bucket").applyInArrow(run, "kind int, key long, bucket int, n long")
+    p = rows.where("kind = 0").select("key", F.col("bucket").alias("salt"), "counts")
+    while True:
+        buckets = -(-buckets // FAN_IN)
+        p = p.withColumn("salt", F.floor(F.col("salt") / FAN_IN).cast("int")).groupBy("key", "salt").applyInArrow(run, "key long, salt int, counts binary")
+        if buckets == 1:
+            return p.select("key", "counts")
 
 
 def _distinct(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -307,16 +345,16 @@ def scored(docs: DataFrame, bucket_bytes: int = BUCKET) -> DataFrame:
     d = d.withColumn("bucket", F.pmod(F.xxhash64("doc_id", F.length("body")), F.lit(buckets)).cast("int"))
     rows = materialize(gathered(d.select("bucket", "body", "held_out"), Code(symbol_counts)), "counts")
 
-    # The table has a fixed number of slots: its rows are bounded whatever the corpus.
-    slots_ = rows.where("kind = 0").groupBy("key").agg(F.sum("n").alias("n")).toArrow()
-    table = np.zeros(PREDICTORS * (2 << SLOT_BITS), np.int64)
-    table[slots_["key"].to_numpy()] = slots_["n"].to_numpy()
+    # The table has a fixed number of pieces, whatever the corpus.
+    table = np.zeros((PREDICTORS * (2 << SLOT_BITS) // PIECE, PIECE), np.float32)
+    for r in summed(rows, buckets).toLocalIterator():
+        table[r.key] = stretched(bytes(r.counts))
 
     words = rows.where("kind = 1").select(F.col("key").alias("word"), "bucket", "n")
     totals = materialize(words.groupBy("word").agg(F.sum("n").alias("c")), "words")
     known = totals.where("c > 0").agg(F.sum("c").alias("n"), F.count("*").alias("v")).first()
     n_all, distinct = (known.n or 0) + n_train, known.v + (n_train > 0)
-    sent = spark.sparkContext.broadcast((symbol_counts, table.astype(np.float32)))
+    sent = spark.sparkContext.broadcast((symbol_counts, table))
     # A bucket's rows go back to it: one for each of its words.
     back = words.select("word", "bucket").join(totals, "word").select("bucket", "word", "c")
 
