@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lorekeep.llm import decontam, lm, mixing, near_dup, quality, suffix_dedup, tokens, urls
+from lorekeep.llm import decontam, lm, media, mixing, near_dup, quality, secrets, suffix_dedup, tokens, urls
 from lorekeep.llm.common import table
 
 
@@ -14,6 +14,14 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.without_repeats(table(spark, sf_dir, "documents"))
 
 
+def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.findings(table(spark, sf_dir, "documents"))
+
+
+def op3_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media.described(media.stored(table(spark, sf_dir, "documents")))
+
+
 def op4_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.scored(table(spark, sf_dir, "documents"))
 
@@ -82,6 +90,8 @@ FROM q
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
+    "op2_secrets": op2_secrets,
+    "op3_media": op3_media,
     "op4_lm_score": op4_lm_score,
     "op5_mixing": op5_mixing,
     "op6_token_output": op6_token_output,
