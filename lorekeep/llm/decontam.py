@@ -265,6 +265,26 @@ def _by_block(d: DataFrame, sent, window: int, share: int) -> DataFrame:
     return joined.select("doc_id", "body", "spans", "names").mapInArrow(finish, SCHEMA)
 
 
+def uncontaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: int = 20, limit: int | None = None) -> DataFrame:
+    """The rows of ``docs``, all columns, that aren't contaminated."""
+    parts = list(benchmark_blocks(benchmark, limit))
+    if len(parts) > 1:
+        bad = contamination(docs, benchmark, window, share, limit).where("contaminated")
+        # Equal ids with other texts aren't told apart here: all rows of a contaminated id go.
+        bad = bad.select(F.col("doc_id").alias("_bad")).distinct()
+        return docs.join(bad, docs["doc_id"].cast("long").eqNullSafe(bad["_bad"]), "left_anti")
+    items = docs.sparkSession.sparkContext.broadcast(parts[0])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tests = TestSuffixes(items.value, window)
+        for b in batches:
+            texts = [(t or "").encode() for t in b["text"].to_pylist()]
+            bad = [_verdict(n, merged(s), names, share)[-1] for n, s, names in hits(texts, tests)]
+            yield b.filter(pa.array([not x for x in bad], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def longest_matches(docs: DataFrame, benchmark: DataFrame, least: int = 5, depth: int = 64) -> DataFrame:
     """For every test suffix with a verbatim match of ``least`` words or more: the longest, and one place of it.
 
@@ -288,5 +308,5 @@ def longest_matches(docs: DataFrame, benchmark: DataFrame, least: int = 5, depth
 
         one = d.mapInArrow(search, "item_id string, item_word long, n_words long, doc_id long, doc_word long")
         out = one if out is None else out.unionAll(one)
-    best = F.max(F.struct("n_words", -F.col("doc_id"), -F.col("doc_word")))
-    return out.groupBy("item_id", "item_word").agg(best.alias("b")).select("item_id", "item_word", F.col("b.n_words").alias("n_words"), (-F.col("b.col2")).alias("doc_id"), (-F.col("b.col3")).alias("doc_word"))
+    best = F.max(F.struct("n_words", (-F.col("doc_id")).alias("d"), (-F.col("doc_word")).alias("w")))
+    return out.groupBy("item_id", "item_word").agg(best.alias("b")).select("item_id", "item_word", F.col("b.n_words").alias("n_words"), (-F.col("b.d")).alias("doc_id"), (-F.col("b.w")).alias("doc_word"))

@@ -314,6 +314,23 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return out.select("doc_id", "n_shingles", mine.alias("component_id"), F.coalesce(mine == F.col("doc_id"), F.lit(True)).alias("kept"))
 
 
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs``, all columns, one document of each group: the one with the smallest doc_id.
+
+    Rows that share a doc_id are one document, of which the first row by text stays.
+    """
+    decided = near_duplicates(docs)
+    ids = materialize(decided.where("kept and doc_id is not null").groupBy(F.col("doc_id").alias("rep")).agg(F.count("*").alias("rows")), "kept")
+    single = among(docs, ids.where("rows = 1").select("rep"), "doc_id")
+    out = single.unionByName(docs.where("doc_id is null"))
+    if ids.where("rows > 1").take(1):
+        again = among(docs, ids.where("rows > 1").select("rep"), "doc_id")
+        rank = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
+        first = again.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), "doc_id", "text").withColumn("_rank", rank).where("_rank = 1")
+        out = out.unionByName(first.select("_row.*"))
+    return out
+
+
 def _exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         for rep, s in zip(b["rep"].to_pylist(), b["set"], strict=True):

@@ -176,6 +176,19 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     return d.mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int")
 
 
+def accepted(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs``, all columns, whose text scores ``threshold`` or more."""
+    sent = docs.sparkSession.sparkContext.broadcast(model.to_bytes())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = Model.from_bytes(sent.value)
+        for b in batches:
+            texts = [(t or "").encode() for t in b["text"].to_pylist()]
+            yield b.filter(pa.array(m.scores(texts) >= threshold, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def held_out(doc_id: int) -> bool:
     """The fold of one document, for use outside Spark."""
     return zlib.crc32(str(doc_id).encode()) % FOLDS == HELD_OUT
