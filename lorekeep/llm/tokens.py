@@ -26,6 +26,7 @@ from __future__ import annotations
 import os
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,8 +42,8 @@ STEP = 512
 END_ID = 2
 #: A shard is closed at so many tokens (a single longer document makes a longer shard).
 SHARD_TOKENS = 1 << 20
-#: Entries of each of a worker's two memos; a full memo is emptied.
-MEMO = 300_000
+#: Pieces that a worker remembers, some 150 bytes each; a full memo is emptied.
+MEMO = 800_000
 #: Shards whose starts are broadcast: 24 bytes each.
 BROADCAST_SHARDS = 1_000_000
 DEFAULT = "byte_bpe_50k.json"
@@ -57,10 +58,8 @@ def tokenizer_path(name: str = DEFAULT) -> str:
 class Encoder:
     """Ids of whole texts from the tokenizers library, remembering what it has met.
 
-    A byte-level tokenizer splits a text by a fixed pattern and encodes each piece alone, so
-    the ids of a piece can be remembered.  A space between two characters that aren't white
-    space always starts a piece: such texts are cut at spaces, and only a cut that is
-    not remembered is split by the pattern.
+    A byte-level tokenizer splits a text by a fixed pattern and encodes each piece alone, so the ids
+    of a piece can be remembered.  Only pieces that aren't remembered go to the library.
     """
 
     def __init__(self, path: str, pattern: str | None = None):
@@ -69,43 +68,28 @@ class Encoder:
         import regex
         from tokenizers import Tokenizer
 
-        self.whole = Tokenizer.from_file(path)
-        self.whole.encode_special_tokens = True
-        self.model = self.whole.model
+        self.tokenize = Tokenizer.from_file(path).model.tokenize
         self.split = regex.compile(pattern or public_tokenizers.PATTERN).findall
-        self.uneven = regex.compile(r"\s\s|[^\S ]+ | $").search
         self.letters = byte_letters()
-        self.cuts: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.memo: dict[str, bytes] = {}
 
     def piece(self, p: str) -> bytes:
-        if (got := self.pieces.get(p)) is None:
-            if len(self.pieces) >= MEMO:
-                self.pieces.clear()
-            mapped = p.encode().decode("latin-1").translate(self.letters)
-            got = np.array([t.id for t in self.model.tokenize(mapped)], "<u4").tobytes()
-            if len(p) <= 64:
-                self.pieces[p] = got
-        return got
-
-    def cut(self, c: str) -> bytes:
-        if (got := self.cuts.get(c)) is None:
-            if len(self.cuts) >= MEMO:
-                self.cuts.clear()
-            got = b"".join(map(self.piece, self.split(c)))
-            if len(c) <= 64:
-                self.cuts[c] = got
+        """Ids of one piece, which is remembered if it isn't long."""
+        tokens = self.tokenize(p.encode().decode("latin-1").translate(self.letters))
+        got = array("I", [t.id for t in tokens]).tobytes()
+        if len(p) <= 48:
+            if len(self.memo) >= MEMO:
+                self.memo.clear()
+            self.memo[p] = got
         return got
 
     def ids(self, text: str) -> bytes:
-        """The text's ids as little-endian u32."""
-        if self.uneven(text):
-            return b"".join(map(self.piece, self.split(text)))
-        first, *rest = text.split(" ")
-        memo, out = self.cuts, [self.cut(first)] if first else []
-        for c in rest:
-            out.append(memo.get(" " + c) or self.cut(" " + c))
-        return b"".join(out)
+        """The text's ids as u32 in the machine's byte order."""
+        pieces = self.split(text)
+        got = list(map(self.memo.get, pieces))
+        for i in [i for i, g in enumerate(got) if g is None]:
+            got[i] = self.memo.get(pieces[i]) or self.piece(pieces[i])
+        return b"".join(got)
 
 
 def byte_letters() -> dict[int, int]:
@@ -193,7 +177,7 @@ def write(docs: DataFrame, path: str, tokenizer: str | None = None, end_id: int
         enc, part, shard = _encoder(tokenizer), TaskContext.get().partitionId(), 0
         ids: list[int | None] = []
         body: list[np.ndarray] = []
-        n, end = 0, np.array([end_id], "<u4").tobytes()
+        n, end = 0, np.array([end_id], np.uint32).tobytes()
 
         def close() -> pa.RecordBatch:
             return pa.RecordBatch.from_pylist([{"part": part, "shard": shard, "n_docs": len(ids), "n_tokens": n, "payload": pack(ids, body)}], schema=_SHARDS)
@@ -201,7 +185,7 @@ def write(docs: DataFrame, path: str, tokenizer: str | None = None, end_id: int
         for b in batches:
             for d, text in zip(b["doc_id"].to_pylist(), b["text"].to_pylist(), strict=True):
                 ids.append(d)
-                body.append(np.frombuffer(enc.ids(text or "") + end, "<u4"))
+                body.append(np.frombuffer(enc.ids(text or "") + end, np.uint32))
                 n += len(body[-1])
                 if n >= shard_tokens:
                     yield close()
