@@ -166,7 +166,7 @@ def shortest_paths(nodes_: DataFrame, edges_: DataFrame, seeds: DataFrame, most:
     order of relation types is kept for each pair reached, and nodes that were reached earlier aren't left again.
     """
     ends = nodes_.join(F.broadcast(seeds.select("entity_id").distinct()), "entity_id", "left_semi").select("entity_id")
-    both = edges_.select("src", "rel_type", "dst").unionAll(edges_.select(F.col("dst").alias("src"), "rel_type", F.col("src").alias("dst"))).where("src <> dst")
+    both = edges_.select("src", "rel_type", "dst").unionAll(edges_.select(F.col("dst").alias("src"), "rel_type", F.col("src").alias("dst"))).where("src <> dst").persist()
     reached = frontier = ends.select(F.col("entity_id").alias("from_id"), F.col("entity_id").alias("at"), F.array().cast("array<string>").alias("rel_types"))
     for hop in range(most):
         new = frontier.join(both, F.col("at") == F.col("src")).select("from_id", F.col("dst").alias("at"), F.array_append("rel_types", F.col("rel_type")).alias("rel_types"))

@@ -21,7 +21,7 @@ def _stem(suffix: str = r"\.[^./]*$"):
 
 def markdown(spark: SparkSession, path: str) -> DataFrame:
     """(doc_name, text): a row a file, named by its stem."""
-    d = spark.read.option("pathGlobFilter", "*.md").option("wholetext", True).text(path)
+    d = spark.read.option("pathGlobFilter", "*.md").text(path, wholetext=True)
     return d.select(_stem().alias("doc_name"), F.col("value").alias("text"))
 
 
@@ -81,5 +81,6 @@ def write_relations(rows: DataFrame, path: str, model: str) -> None:
 
 
 def write_texts(docs: DataFrame, path: str) -> None:
-    """A text file a document, in a folder of its name; inputs are never overwritten."""
-    docs.select("doc_name", "text").write.mode("overwrite").partitionBy("doc_name").option("lineSep", "").text(path)
+    """A text file a document with one final newline, in a folder of its name; inputs are never overwritten."""
+    body = F.regexp_replace("text", r"\n\z", "").alias("text")
+    docs.select("doc_name", body).write.mode("overwrite").partitionBy("doc_name").text(path)

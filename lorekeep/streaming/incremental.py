@@ -35,5 +35,6 @@ def appended(stream: DataFrame, transform: Callable[[DataFrame], DataFrame], pat
 
 def event_counts(events: DataFrame, window: str = "1 hour", late: str = "2 hours") -> DataFrame:
     """(window_start, event_type, n, total) over event time; works on streams and tables."""
-    counted = events.withWatermark("ts", late).groupBy(F.window("ts", window).alias("w"), "event_type").agg(F.count("*").alias("n"), F.round(F.sum("value"), 4).alias("total"))
-    return counted.select(F.col("w.start").alias("window_start"), "event_type", "n", "total")
+    # Watermarks need instants; local times are taken as UTC, and windows are given back as local times.
+    counted = events.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", late).groupBy(F.window("ts", window).alias("w"), "event_type").agg(F.count("*").alias("n"), F.round(F.sum("value"), 4).alias("total"))
+    return counted.select(F.col("w.start").cast("timestamp_ntz").alias("window_start"), "event_type", "n", "total")
