@@ -12,15 +12,13 @@ from lorekeep.functions.vectors import cosine
 from lorekeep.operators import graph as G
 
 BOOST = 0.3
-#: What is said where nothing can be looked up.
+#: What is said where nothing can be looked up.
 NO_QUERY = "Please select entities from the sidebar or enter a text query."
 ONE_ENTITY = "Single entity selected — no path check needed."
 NO_PAIRS = "Path check completed — no pairs to evaluate."
 SYSTEM = (
-    "You are a research assistant for Virginia archaeology. Answer based ONLY on the provided knowledge graph context and source text.\n\n"
-    "When entities are connected, explain the relationship using the graph paths as evidence. When no connection exists, say so directly — do not infer or "
-    "fabricate relationships not supported by the graph. If the query cannot be answered from the available context, say so.\n\n"
-    "Cite sources using [1], [2] notation matching the numbered source chunks."
+    "Answer from the knowledge graph context and source text below and from nothing else. Name the graph paths that support a connection; where there is none, "
+    "say so and don't make one up. If the context doesn't hold the answer, say that. Refer to source chunks by their numbers, as in [1]."
 )
 
 
