@@ -47,7 +47,8 @@ SHINGLE = 5
 NUM, DEN = 75, 100
 SKETCH, INDEXED, SHARED = 64, 16, 24
 LONG = 64
-BLOCK = 256
+#: Classes in a block, and shingles of all of them, at most about.
+BLOCK, BLOCK_SHINGLES = 1024, 1 << 20
 #: Ids that are broadcast at most: 8 bytes each.
 BROADCAST_IDS = 1_000_000
 _MULT = U64(0xC2B2AE3D27D4EB4F)
@@ -110,8 +111,8 @@ def alike(n: str, m: str):
 
 
 def listed(keys: DataFrame) -> DataFrame:
-    """From (v, rep, n): the rows of lists with more than one row, and their length."""
-    lengths = keys.groupBy("v").agg(F.count("*").alias("length")).where("length > 1")
+    """From (v, rep, n): the rows of lists with more than one row, their length, and the sum of n."""
+    lengths = keys.groupBy("v").agg(F.count("*").alias("length"), F.sum("n").alias("volume")).where("length > 1")
     return keys.join(lengths, "v")
 
 
@@ -208,7 +209,8 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 def compared(lists_: DataFrame, sets: DataFrame) -> DataFrame:
     """Links (a, b) within lists of any length, by blocks of classes with whole sets: a spanning forest a task."""
-    d = lists_.withColumn("_blocks", F.ceil(F.col("length") / BLOCK).cast("int")).withColumn("_own", F.pmod(F.xxhash64("rep"), F.col("_blocks")).cast("int"))
+    wanted = F.greatest(F.ceil(F.col("length") / BLOCK), F.ceil(F.col("volume") / BLOCK_SHINGLES)).cast("int")
+    d = lists_.withColumn("_blocks", wanted).withColumn("_own", F.pmod(F.xxhash64("rep"), F.col("_blocks")).cast("int"))
     d = d.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
     d = d.select("v", F.least("_own", "_other").alias("_i"), F.greatest("_own", "_other").alias("_j"), "_own", "rep").join(sets, "rep")
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
