@@ -121,7 +121,10 @@ def eight(t: np.ndarray) -> np.ndarray:
 
 
 def suffix_array(text: np.ndarray, depth: int = LENGTH) -> np.ndarray:
-    """Places of all suffixes of ``text`` in the order of their first ``depth`` bytes at least, by two-stage sorting."""
+    """Places of all suffixes of ``text`` in the order of their first ``depth`` bytes at least, by two-stage sorting.
+
+    The byte 255 ends a string: suffixes that are equal up to one are next to each other in any order.
+    """
     n = len(text)
     if n == 0:
         return np.zeros(0, np.int64)
@@ -161,15 +164,17 @@ def suffix_array(text: np.ndarray, depth: int = LENGTH) -> np.ndarray:
 def sort_directly(text: np.ndarray, places: np.ndarray, depth: int) -> np.ndarray:
     """Sort the suffixes at ``places`` by their first ``depth`` bytes, eight at a time.
 
-    Suffixes with one hash of those bytes are sorted as one.
+    Suffixes with one hash of those bytes, or of those before a byte of 255, are sorted as one.
     """
     if not len(places):
         return places
+    gaps = np.append(np.flatnonzero(text == _GAP), len(text))
+    own = np.minimum(gaps[np.searchsorted(gaps, places)] - places, depth)
     padded = np.concatenate((text, np.full(depth + 16, _GAP, np.uint8)))
     word = eight(padded)
     with np.errstate(over="ignore"):
         p, inv = prefix_hash(padded[: len(text) + depth]), powers(len(text) + depth + 1)[1]
-        whole = (p[places + depth] - p[places]) * inv[places]
+        whole = (p[places + own] - p[places]) * inv[places] + own.astype(U64)
     _, one, same = np.unique(whole, return_index=True, return_inverse=True)
     some = places[one]
     order = np.argsort(word[some], kind="stable")
