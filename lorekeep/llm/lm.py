@@ -46,10 +46,10 @@ ORDERS = (2, 4, 6)
 PREDICTORS = len(ORDERS) + 1
 SEGMENT = 512
 #: Bytes of text that are mixed at once.
-LANES = 1 << 20
+LANES = 1 << 18
 #: Decisions between two moves of the weights.
 STEP = 16
-BUCKET = 24 << 20
+BUCKET = 16 << 20
 RATE = 0.015
 MAP_STEPS, MAP_SPAN, MAP_RATE = 33, 8.0, 0.02
 #: Counts that an unseen decision is given.
