@@ -218,6 +218,17 @@ def merge_descriptions(t: X.Tables) -> DataFrame:
     return R.merged_descriptions(t.documents.where(F.length("text") < 600), ["source"], ["doc_id"], "text")
 
 
+@query(r"""WITH s AS (
+  SELECT source, doc_id, unnest(parts) AS s, unnest(range(len(parts))) AS i
+  FROM (SELECT source, doc_id, string_split(regexp_replace(trim(text, E' \n\t'), '([.!?])\s+', E'\\1\x01', 'g'), chr(1)) AS parts FROM documents)
+), f AS (
+  SELECT source, lower(trim(s, E' \n\t')) AS k, min_by(trim(s, E' \n\t'), (doc_id, i)) AS v, min((doc_id, i)) AS place FROM s WHERE trim(s, E' \n\t') <> '' GROUP BY ALL
+) SELECT source, place[1] AS doc_id, CAST(place[2] AS INTEGER) AS place, v AS sentence FROM f""")
+def merge_descriptions_whole(t: X.Tables) -> DataFrame:
+    # Every sentence of every document, as rows: one string for a source would grow with the corpus.
+    return R.description_sentences(t.documents, ["source"], ["doc_id"], "text")
+
+
 MESSY = "CASE p_partkey % 3 WHEN 0 THEN '  The  ' || p_name || ' ' WHEN 1 THEN 'an ' || upper(p_name) ELSE p_name || '!  (' || p_brand || ')' END"
 
 

@@ -88,14 +88,29 @@ def first_seen(rows: DataFrame, group: list[str], value: str, key: Column, order
     return first.groupBy(*group).agg(F.transform(F.array_sort(F.collect_list("_f")), lambda s: s.v).alias("values"))
 
 
+def sentences(rows: DataFrame, group: list[str], order: list[str], text: str = "description") -> DataFrame:
+    """(group, order, _i, _s): the sentences of every text, numbered by ``_i``."""
+    parts = F.split(T.strip(F.coalesce(text, F.lit(""))), r"(?U)(?<=[.!?])\s+")
+    return rows.select(*group, *order, F.posexplode(parts).alias("_i", "_s")).withColumn("_s", T.strip(F.col("_s"))).where("_s <> ''")
+
+
 def merged_descriptions(rows: DataFrame, group: list[str], order: list[str], text: str = "description") -> DataFrame:
     """(group, description): the distinct sentences, without regard to case, of all texts in order."""
-    parts = F.split(T.strip(F.coalesce(text, F.lit(""))), r"(?U)(?<=[.!?])\s+")
-    s = rows.select(*group, *order, F.posexplode(parts).alias("_i", "_s")).withColumn("_s", T.strip(F.col("_s"))).where("_s <> ''")
-    d = first_seen(s, group, "_s", F.lower("_s"), [*order, "_i"])
+    d = first_seen(sentences(rows, group, order, text), group, "_s", F.lower("_s"), [*order, "_i"])
     return d.select(*group, F.array_join("values", " ").alias("description"))
 
 
+def description_sentences(rows: DataFrame, group: list[str], order: list[str], text: str = "description") -> DataFrame:
+    """(group, order, place, sentence): what ``merged_descriptions`` joins, a row for each sentence.
+
+    ``order`` and ``place`` say where a sentence stands first and give the order within a group. No
+    row grows with the group, so whole documents can be merged.
+    """
+    s = sentences(rows, group, order, text)
+    first = s.groupBy(*group, F.lower("_s").alias("_key")).agg(F.min(F.struct(*order, "_i", "_s")).alias("_f"))
+    return first.select(*group, *[F.col(f"_f.{c}").alias(c) for c in order], F.col("_f._i").alias("place"), F.col("_f._s").alias("sentence"))
+
+
 def resolve(entities: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Canonical entities and ambiguous pairs of (seq, doc_name, name, entity_type, aliases, description).
 

@@ -353,3 +353,15 @@ def test_event_counts_stream_equals_batch(spark, sf, tmp_path):
     q = stream.writeStream.format("memory").queryName("counts").outputMode("complete").trigger(availableNow=True).start()
     q.awaitTermination()
     assert sorted(map(tuple, spark.table("counts").collect())) == sorted(map(tuple, I.event_counts(events).collect()))
+
+
+def test_whole_documents_are_merged(spark, sf):
+    from lorekeep import catalog
+
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    long = {r.doc_id for r in docs.where("length(text) >= 600").select("doc_id").collect()}
+    rows = catalog.QUERIES["merge_descriptions_whole"](spark, sf).collect()
+    assert long & {r.doc_id for r in rows}
+    longest = docs.orderBy(F.desc(F.length("text"))).first()
+    own = {r.sentence.lower() for r in rows if r.source == longest.source}
+    assert longest.text.split(". ")[-1].strip().lower() in own
