@@ -24,6 +24,7 @@ doc_id are ordered by text; null doc_ids come first; empty tables give no rows.
 from __future__ import annotations
 
 import os
+import re
 import struct
 import zlib
 from array import array
@@ -60,6 +61,7 @@ class Encoder:
 
     A byte-level tokenizer splits a text by a fixed pattern and encodes each piece alone, so the ids
     of a piece can be remembered.  Only pieces that aren't remembered go to the library.
+    The file's added tokens are found before that, the longest at a place, and only the text between them is split.
     """
 
     def __init__(self, path: str, pattern: str | None = None):
@@ -68,7 +70,13 @@ class Encoder:
         import regex
         from tokenizers import Tokenizer
 
-        self.tokenize = Tokenizer.from_file(path).model.tokenize
+        whole = Tokenizer.from_file(path)
+        self.tokenize = whole.model.tokenize
+        added = {t.content: (i, t) for i, t in whole.get_added_tokens_decoder().items()}
+        if any(t.single_word or t.lstrip or t.rstrip for _, t in added.values()):
+            raise ValueError("added tokens that look at the text around them aren't supported")
+        self.added = {c: array("I", [i]).tobytes() for c, (i, _) in added.items()}
+        self.parts = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")").split
         self.split = regex.compile(pattern or public_tokenizers.PATTERN).findall
         self.letters = byte_letters()
         self.memo: dict[str, bytes] = {}
@@ -85,6 +93,12 @@ class Encoder:
 
     def ids(self, text: str) -> bytes:
         """The text's ids as u32 in the machine's byte order."""
+        if not any(c in text for c in self.added):
+            return self.between(text)
+        return b"".join([self.added[p] if i % 2 else self.between(p) for i, p in enumerate(self.parts(text))])
+
+    def between(self, text: str) -> bytes:
+        """Ids of text that holds no added token."""
         pieces = self.split(text)
         got = list(map(self.memo.get, pieces))
         for i in [i for i, g in enumerate(got) if g is None]:

@@ -111,6 +111,22 @@ def test_tokens(odd, none):
     assert tokens.token_output(none).collect() == []
 
 
+def test_added_tokens(spark):
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(tokens.tokenizer_path())
+    e = "<|endoftext|>"
+    texts = [f"a {e} b", e, f"{e}{e}", f"x\n\n {e}\n  y {e[:-1]} <|{e}|>", f"don't{e}'s  {e}   ", "plain text", f"\u00e9{e}\u4e2d"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = {r.doc_id: r for r in tokens.token_output(docs).collect()}
+    start = 0
+    for i, text in enumerate(texts):
+        ids = [*t.encode(text, add_special_tokens=False).ids, 2]
+        crc = zlib.crc32(b"".join(x.to_bytes(4, "little") for x in ids))
+        assert (rows[i].start, rows[i].n_tokens, rows[i].ids_crc32) == (start, len(ids), crc), text
+        start += len(ids)
+
+
 def test_urls(spark, labels):
     schema = "page_id long, url string, html string, host string, path string"
     given = [(1, None), (2, "no scheme"), (3, "http://X.Example.ORG/es/1"), (3, "http://X.Example.ORG/es/1"), (None, "http://a.org"), (5, "http://a.org/"), (6, "x://h?q#f")]
