@@ -194,7 +194,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, s
     parts = list(benchmark_blocks(benchmark, limit))
     sent = [spark.sparkContext.broadcast(p) for p in parts]
     if len(sent) > 1:
-        return _by_block(d, sent, window, share)
+        return _by_block(d, sent, window, share).drop("key")
     items = sent[0]
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -229,7 +229,7 @@ def _verdict(n_words: int, n_hit: int, names, share: int) -> tuple:
 
 
 def _by_block(d: DataFrame, sent, window: int, share: int) -> DataFrame:
-    """Several benchmark blocks: hits of each, merged by document."""
+    """Several benchmark blocks: hits of each, merged by document; also the text's digest, ``key``."""
     spans = "array<struct<a:long,b:long>>"
 
     def search(items):
@@ -259,20 +259,21 @@ def _by_block(d: DataFrame, sent, window: int, share: int) -> DataFrame:
             for body, s, names in zip(b["body"].to_pylist(), b["spans"].to_pylist(), b["names"].to_pylist(), strict=True):
                 n = len(Words([body.lower()], GAP).hash)
                 rows.append(_verdict(n, merged([(x["a"], x["b"]) for x in s or []]), names or [], share))
-            yield pa.RecordBatch.from_arrays([b["doc_id"], *columns(rows)], schema=_ARROW)
+            yield pa.RecordBatch.from_arrays([b["doc_id"], *columns(rows), b["key"]], schema=_ARROW.append(pa.field("key", pa.string())))
 
     joined = d.join(found, d["doc_id"].eqNullSafe(found["_id"]) & (d["key"] == found["_key"]), "left")
-    return joined.select("doc_id", "body", "spans", "names").mapInArrow(finish, SCHEMA)
+    return joined.select("doc_id", "key", "body", "spans", "names").mapInArrow(finish, f"{SCHEMA}, key string")
 
 
 def uncontaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: int = 20, limit: int | None = None) -> DataFrame:
     """The rows of ``docs``, all columns, that aren't contaminated."""
     parts = list(benchmark_blocks(benchmark, limit))
     if len(parts) > 1:
-        bad = contamination(docs, benchmark, window, share, limit).where("contaminated")
-        # Equal ids with other texts aren't told apart here: all rows of a contaminated id go.
-        bad = bad.select(F.col("doc_id").alias("_bad")).distinct()
-        return docs.join(bad, docs["doc_id"].cast("long").eqNullSafe(bad["_bad"]), "left_anti")
+        d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), utf8().alias("body"))
+        sent = [docs.sparkSession.sparkContext.broadcast(p) for p in parts]
+        # Each row is judged by itself: rows of equal id are told apart by their texts.
+        bad = _by_block(d, sent, window, share).where("contaminated").select(F.col("doc_id").alias("_bad"), F.col("key").alias("_bad_key")).distinct()
+        return docs.join(bad, docs["doc_id"].cast("long").eqNullSafe(bad["_bad"]) & (F.md5(F.coalesce(docs["text"].cast("string"), F.lit("")).cast("binary")) == bad["_bad_key"]), "left_anti")
     items = docs.sparkSession.sparkContext.broadcast(parts[0])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -161,6 +161,17 @@ def test_decontam(odd, none, items):
     assert decontam.contamination(none, items).collect() == []
 
 
+def test_decontam_in_blocks(spark, odd, none, items):
+    more = odd.unionByName(table(spark, [(None, "clean text without an id", "b"), (5, "clean text of an equal id", "b")]))
+    key = lambda d: sorted((r.doc_id is not None, r.doc_id or 0, r.text or "") for r in d.collect())
+    whole, parts = decontam.uncontaminated(more, items), decontam.uncontaminated(more, items, limit=64)
+    assert len(list(decontam.benchmark_blocks(items, 64))) > 1
+    assert parts.columns == more.columns and key(parts) == key(whole)
+    assert parts.count() == len(TEXTS) - 5 + 2
+    assert sorted(map(str, decontam.contamination(more, items, limit=64).collect())) == sorted(map(str, decontam.contamination(more, items).collect()))
+    assert decontam.uncontaminated(none, items, limit=64).collect() == []
+
+
 def test_near_dup(odd, none):
     rows = near_dup.near_duplicates(odd).collect()
     assert len(rows) == len(TEXTS)
