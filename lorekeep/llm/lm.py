@@ -13,14 +13,15 @@ Documents are mixed in segments of ``SEGMENT`` bytes: the contexts reach back ac
 segments, weights and map start anew, so that thousands of segments advance in
 lockstep as numpy arrays.  A score depends on nothing but the text and the corpus counts.
 
-The tables have a fixed size, so sending them to the executors is bounded.  Word counts for
-the base score aren't: documents are dealt into buckets of about ``BUCKET`` bytes, and
-each gets the counts of its own words only.
+What is counted grows with the corpus: a row of counts for every distinct pair of context and symbol.
+Documents are dealt into buckets of about ``BUCKET`` bytes.  A bucket sends its pairs, cut into ranges
+of the contexts' hashes; what all buckets sent of a range is summed, and each bucket gets back the logits of
+its own pairs only, and the counts of its own words for the base score.
 
 Defined results: null and empty texts have no words and one end; rows with a null doc_id are
 held out and not learnt from; repeated rows are learnt from as often as they occur; without
 training documents all counts are 0; other columns are ignored.  Words are told apart
-by 64-bit hashes.
+by 64-bit hashes, contexts by 55 bits for each predictor.
 """
 
 from __future__ import annotations
@@ -31,6 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,9 +40,10 @@ from lorekeep.llm.common import U64, Words, blocks, materialize, powers, prefix_
 
 FOLDS, HELD_OUT = 7, 2
 END = 256
+#: Slots of a table of counts, which only small models have that are made without Spark.
 SLOT_BITS = 20
-#: Counts in a piece of a table, and pieces that are summed in one task.
-PIECE, FAN_IN = 1 << 16, 64
+#: Pairs of context and symbol that are worked on at once.
+PAIRS = 1 << 18
 #: Lengths in bytes of the contexts; one more is the word so far.
 ORDERS = (2, 4, 6)
 PREDICTORS = len(ORDERS) + 1
@@ -85,7 +88,8 @@ class Code:
         self.base = np.concatenate(([0], np.cumsum(self.length)[:-1]))
         flat = [x for s in range(END + 1) for x in paths[s]]
         with np.errstate(over="ignore"):
-            self.node = np.array([n for n, _ in flat], np.uint32) * np.uint32(0x9E3779B1)
+            self.tree = np.array([n for n, _ in flat], np.int64)
+            self.node = self.tree.astype(np.uint32) * np.uint32(0x9E3779B1)
         self.bit = np.array([b for _, b in flat], np.float32)
 
 
@@ -98,7 +102,7 @@ def symbols(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def contexts(s: np.ndarray, ends: np.ndarray) -> list[np.ndarray]:
-    """A 32-bit hash of each context for every symbol; contexts don't reach into other texts."""
+    """A 64-bit hash of each context for every symbol; contexts don't reach into other texts."""
     begin = np.repeat(ends - np.diff(np.concatenate(([0], ends))), np.diff(np.concatenate(([0], ends))))
     at = np.arange(len(s))
     out, key = [], np.zeros(len(s), U64)
@@ -109,14 +113,14 @@ def contexts(s: np.ndarray, ends: np.ndarray) -> list[np.ndarray]:
             before[at - begin < k] = 0
             key = key | (before << U64(9 * (k - 1)))
             if k in ORDERS:
-                out.append(((key + U64(k) * U64(0x9E3779B97F4A7C15)) * U64(0xD6E8FEB86659FD93) >> U64(32)).astype(np.uint32))
+                out.append((key + U64(k) * U64(0x9E3779B97F4A7C15)) * U64(0xD6E8FEB86659FD93))
         gap = (s == 0x20) | ((s >= 0x09) & (s <= 0x0D))
         start = np.zeros(len(s), np.int64)
         start[1:] = np.where(gap[:-1], at[1:], 0)
         start = np.maximum(np.maximum.accumulate(start), begin)
         p, inv = prefix_hash((s & 0xFF).astype(np.uint8)), powers(len(s) + 1)[1]
         word = (p[at] - p[start]) * inv[start]
-        out.append(((word + U64(5)) * U64(0xD6E8FEB86659FD93) >> U64(32)).astype(np.uint32))
+        out.append((word + U64(5)) * U64(0xD6E8FEB86659FD93))
     return out
 
 
@@ -130,7 +134,7 @@ def decisions(s: np.ndarray, n: np.ndarray, code: Code) -> tuple[np.ndarray, np.
 
 def slots(context: np.ndarray, n: np.ndarray, node: np.ndarray) -> np.ndarray:
     """Table slots of a context's decisions: ``n`` for each symbol, ``node`` being scrambled tree nodes."""
-    at = np.repeat(context, n)
+    at = np.repeat((context >> U64(32)).astype(np.uint32), n)
     at += node
     at *= np.uint32(0x85EBCA6B)
     at >>= np.uint32(32 - SLOT_BITS)
@@ -151,15 +155,109 @@ def counted(texts: list[bytes], code: Code, out: np.ndarray) -> None:
             np.add.at(out[m], at, np.int32(1))
 
 
+def paired(context: np.ndarray, s: np.ndarray) -> np.ndarray:
+    """One number for context and symbol: 55 bits of the context's hash, 9 of the symbol."""
+    return (context & ~U64(511)) | s.astype(U64)
+
+
+def added(keys: list[np.ndarray], n: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys, sorted, and the sum of each one's ``n``."""
+    k, n = np.concatenate([*keys, np.zeros(0, U64)]), np.concatenate([*n, np.zeros(0, np.int64)])
+    order = np.argsort(k)
+    k = k[order]
+    first = np.flatnonzero(np.concatenate((np.ones(min(1, len(k)), bool), k[1:] != k[:-1])))
+    return k[first], np.add.reduceat(n[order], first) if len(first) else n
+
+
+def pair_counts(train: list[bytes], other: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each predictor: the pairs of all texts, sorted, and how often each occurs in ``train``."""
+    keys: list[list[np.ndarray]] = [[] for _ in range(PREDICTORS)]
+    counts: list[list[np.ndarray]] = [[] for _ in range(PREDICTORS)]
+    for texts, weight in ((train, 1), (other, 0)):
+        for some in blocks(texts, limit=PAIRS):
+            s, ends = symbols(some)
+            for m, c in enumerate(contexts(s, ends)):
+                k = np.sort(paired(c, s))
+                first = np.flatnonzero(np.concatenate(([True], k[1:] != k[:-1])))
+                keys[m].append(k[first])
+                counts[m].append(weight * np.diff(np.concatenate((first, [len(k)]))))
+                if sum(map(len, keys[m][1:])) > max(8 * PAIRS, len(keys[m][0])):
+                    k, n = added(keys[m], counts[m])
+                    keys[m], counts[m] = [k], [n]
+    return [added(k, n) for k, n in zip(keys, counts, strict=True)]
+
+
+def logit_of(n: np.ndarray, m: np.ndarray) -> np.ndarray:
+    """The logit of a 1 that was met ``m`` times, and a 0 ``n`` times; 0 stands for a decision not met."""
+    logit = np.log((m + np.float32(PRIOR)) / (n + np.float32(PRIOR)))
+    # A decision that was met is never quite 0: that stands for an unknown context.
+    logit[(n + m > 0) & (logit == 0)] = 1e-6
+    return np.clip(logit, -MAP_SPAN, MAP_SPAN).astype(np.float32)
+
+
+def spread(begin: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """begin, begin + 1 ... of each, ``n`` numbers long, one after the other."""
+    return np.arange(int(n.sum())) + np.repeat(begin - (np.cumsum(n) - n), n)
+
+
+def pair_logits(keys: np.ndarray, n: np.ndarray, code: Code) -> np.ndarray:
+    """The logits of each pair's decisions one after the other; ``keys`` are all pairs of their contexts, sorted."""
+    context = np.concatenate((np.zeros(min(1, len(keys)), np.int64), np.cumsum(keys[1:] >> U64(9) != keys[:-1] >> U64(9))))
+    out, begin = [np.zeros(0, np.float32)], 0
+    while begin < len(keys):
+        end = min(begin + PAIRS, len(keys))
+        end = int(np.searchsorted(context, context[end - 1], "right"))
+        s = (keys[begin:end] & U64(511)).astype(np.int64)
+        size = code.length[s]
+        flat = spread(code.base[s], size)
+        at = np.repeat(context[begin:end] - context[begin], size) * (END + 1) + code.tree[flat]
+        one, times = code.bit[flat] == 1, np.repeat(n[begin:end], size)
+        order = np.argsort(at)
+        first = np.flatnonzero(np.concatenate(([True], np.diff(at[order]) != 0)))
+        logit = logit_of(*(np.add.reduceat(np.where(b, times, 0)[order], first).astype(np.float64) for b in (~one, one)))
+        own = np.empty(len(at), np.float32)
+        own[order] = np.repeat(logit, np.diff(np.concatenate((first, [len(at)]))))
+        out.append(own)
+        begin = end
+    return np.concatenate(out)
+
+
+class Known:
+    """For each predictor, sorted pairs and the logits of their decisions, one after the other."""
+
+    def __init__(self, code: Code, keys: list[np.ndarray], logits: list[np.ndarray]):
+        self.keys, self.logits = keys, logits
+        sizes = [code.length[(k & U64(511)).astype(np.int64)] for k in keys]
+        for n, x in zip(sizes, logits, strict=True):
+            if n.sum() != len(x):
+                raise ValueError("pairs and logits don't belong together")
+        self.first = [np.cumsum(n) - n for n in sizes]
+
+    def take(self, m: int, context: np.ndarray, s: np.ndarray, n: np.ndarray, node: np.ndarray, out: np.ndarray) -> None:
+        """The logits of the decisions, ``n`` for each symbol; all pairs must be among the keys."""
+        k = paired(context, s)
+        order = np.argsort(k)
+        begin = np.empty(len(k), np.int64)
+        begin[order] = self.first[m][np.searchsorted(self.keys[m], k[order])]
+        self.logits[m].take(spread(begin, n), out=out, mode="clip")
+
+
+class Slots:
+    """Logits from a table of counts: predictors x slots x 2 counts of the decision's bit."""
+
+    def __init__(self, table: np.ndarray):
+        n = table.reshape(PREDICTORS, -1, 2)
+        self.logit = [logit_of(x[:, 0], x[:, 1]) for x in n]
+
+    def take(self, m: int, context: np.ndarray, s: np.ndarray, n: np.ndarray, node: np.ndarray, out: np.ndarray) -> None:
+        self.logit[m].take(slots(context, n, node), out=out, mode="clip")
+
+
 class Model:
-    def __init__(self, byte_counts: np.ndarray, table: np.ndarray):
-        """table: predictors x slots x 2 counts of the decision's bit."""
+    def __init__(self, byte_counts: np.ndarray, known: Known | np.ndarray):
+        """known: what gives logits, or a table of counts."""
         self.code = Code(byte_counts)
-        n = table.reshape(PREDICTORS, -1, 2)
-        # A decision that was met is never quite 0: that stands for an unknown context.
-        logit = np.log((n[..., 1] + np.float32(PRIOR)) / (n[..., 0] + np.float32(PRIOR)))
-        logit[(n.sum(-1) > 0) & (logit == 0)] = 1e-6
-        self.logit = np.clip(logit, -MAP_SPAN, MAP_SPAN).astype(np.float32)
+        self.known = Slots(known) if isinstance(known, np.ndarray) else known
 
     def scores(self, texts: list[bytes]) -> np.ndarray:
         """log10 of the probability of each text."""
@@ -185,7 +283,7 @@ class Model:
         x = np.empty((PREDICTORS, len(node)), np.float32)
         known = np.zeros(len(node) // STEP, np.int64)
         for m, c in enumerate(contexts(s, ends)):
-            self.logit[m].take(slots(c, n, node), out=x[m], mode="clip")
+            self.known.take(m, c, s, n, node, x[m])
             x[m][filler] = 0
             known += x[m][::STEP] != 0
         order = np.argsort(-length, kind="stable")
@@ -269,32 +367,47 @@ def word_hashes(texts: list[bytes]) -> Words:
     return Words([t.lower() for t in texts])
 
 
-ROWS = pa.schema([("kind", pa.int32()), ("key", pa.int64()), ("bucket", pa.int32()), ("n", pa.int64()), ("counts", pa.binary())])
+ROWS = pa.schema([("kind", pa.int32()), ("key", pa.int64()), ("bucket", pa.int32()), ("n", pa.int64()), ("pairs", pa.binary()), ("counts", pa.binary())])
 
 
-def gathered(d: DataFrame, code: Code) -> DataFrame:
-    """From bucketed documents (bucket, body, held_out): rows (kind, key, bucket, n, counts).
+def gathered(d: DataFrame, buckets: int) -> DataFrame:
+    """From bucketed documents (bucket, body, held_out): rows (kind, key, bucket, n, pairs, counts).
 
-    kind 0: piece ``key`` of the table of decision counts, compressed.  kind 1: a word of the
-    bucket and its occurrences ``n`` in training documents, possibly none.
+    kind 0: the bucket's pairs of context and symbol of range ``key``, compressed, and their occurrences in training
+    documents, possibly none; the ranges are predictors x buckets.  kind 1: a word of the bucket and its occurrences ``n`` likewise.
     """
 
     def run(t: pa.Table) -> pa.Table:
         bodies, out, bucket = t["body"].to_pylist(), t["held_out"].to_pylist(), t["bucket"][0].as_py()
-        train = [b for b, o in zip(bodies, out, strict=True) if not o]
-        table = np.zeros((PREDICTORS, 2 << SLOT_BITS), np.int32)
-        counted(train, code, table)
-        pieces = {i: x for i, x in enumerate(table.reshape(-1, PIECE)) if x.any()}
+        train, rest = ([b for b, o in zip(bodies, out, strict=True) if o == x] for x in (False, True))
+        ranges, pairs, counts = [], [], []
+        for m, (k, n) in enumerate(pair_counts(train, rest)):
+            # Contexts stay whole: their hashes' upper halves make the range.
+            own = (k >> U64(32)) * U64(buckets) >> U64(32)
+            first = np.flatnonzero(np.concatenate((np.ones(min(1, len(k)), bool), own[1:] != own[:-1])))
+            for a, b in zip(first.tolist(), [*first[1:].tolist(), len(k)], strict=True):
+                ranges.append(m * buckets + int(own[a]))
+                pairs.append(packed(np.diff(k[a:b], prepend=U64(0))))
+                counts.append(squeezed(n[a:b]))
         seen = _distinct(train)
-        other = _distinct([b for b, o in zip(bodies, out, strict=True) if o])[0]
+        other = _distinct(rest)[0]
         other = other[~np.isin(other, seen[0])]
-        key = np.concatenate((np.array([*pieces], np.int64), seen[0], other))
-        n = np.concatenate((np.zeros(len(pieces), np.int64), seen[1], np.zeros(len(other), np.int64)))
-        kind = (np.arange(len(key)) >= len(pieces)).astype(np.int32)
-        counts = pa.array([squeezed(x) for x in pieces.values()] + [None] * (len(key) - len(pieces)), pa.binary())
-        return pa.table([pa.array(kind), pa.array(key), pa.array(np.full(len(key), bucket, np.int32)), pa.array(n), counts], schema=ROWS)
+        key = np.concatenate((np.array(ranges, np.int64), seen[0], other))
+        n = np.concatenate((np.zeros(len(ranges), np.int64), seen[1], np.zeros(len(other), np.int64)))
+        kind, none = (np.arange(len(key)) >= len(ranges)).astype(np.int32), [None] * (len(key) - len(ranges))
+        return pa.table([pa.array(kind), pa.array(key), pa.array(np.full(len(key), bucket, np.int32)), pa.array(n), pa.array(pairs + none, pa.binary()), pa.array(counts + none, pa.binary())], schema=ROWS)
+
+    return d.groupBy("bucket").applyInArrow(run, "kind int, key long, bucket int, n long, pairs binary, counts binary")
+
+
+def packed(x: np.ndarray) -> bytes:
+    """Numbers by byte planes, compressed."""
+    return zlib.compress(x.view(np.uint8).reshape(len(x), -1).T.tobytes(), 1)
 
-    return d.groupBy("bucket").applyInArrow(run, "kind int, key long, bucket int, n long, counts binary")
+
+def unpacked(b: bytes, kind: type) -> np.ndarray:
+    planes = np.frombuffer(zlib.decompress(b), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
 
 
 def squeezed(x: np.ndarray) -> bytes:
@@ -303,29 +416,29 @@ def squeezed(x: np.ndarray) -> bytes:
     return zlib.compress(np.where(large, 255, x).astype(np.uint8).tobytes() + x[large].astype("<i8").tobytes(), 1)
 
 
-def stretched(b: bytes) -> np.ndarray:
+def stretched(b: bytes, size: int) -> np.ndarray:
     b = zlib.decompress(b)
-    x = np.frombuffer(b, np.uint8, PIECE).astype(np.int64)
-    x[x == 255] = np.frombuffer(b, "<i8", offset=PIECE)
+    x = np.frombuffer(b, np.uint8, size).astype(np.int64)
+    x[x == 255] = np.frombuffer(b, "<i8", offset=size)
     return x
 
 
-def summed(rows: DataFrame, buckets: int) -> DataFrame:
-    """(key, counts): the pieces' sums, FAN_IN buckets at a time, so that no task holds more than so many."""
-    schema = pa.schema([("key", pa.int64()), ("salt", pa.int32()), ("counts", pa.binary())])
+def answered(rows: DataFrame, code: Code) -> DataFrame:
+    """(key, bucket, logits): for each range and bucket, the logits of the bucket's pairs by the counts of all buckets."""
+    schema = pa.schema([("key", pa.int64()), ("bucket", pa.int32()), ("logits", pa.binary())])
 
     def run(t: pa.Table) -> pa.Table:
-        total = np.zeros(PIECE, np.int64)
-        for x in t["counts"]:
-            total += stretched(x.as_py())
-        return pa.table([[t["key"][0].as_py()], pa.array([t["salt"][0].as_py()], pa.int32()), pa.array([squeezed(total)], pa.binary())], schema=schema)
+        pairs = [np.cumsum(unpacked(x.as_py(), U64), dtype=U64) for x in t["pairs"]]
+        keys, n = added(pairs, [stretched(x.as_py(), len(p)) for x, p in zip(t["counts"], pairs, strict=True)])
+        logits = pair_logits(keys, n, code)
+        size = code.length[(keys & U64(511)).astype(np.int64)]
+        first, out = np.cumsum(size) - size, []
+        for p in pairs:
+            at = np.searchsorted(keys, p)
+            out.append(packed(logits[spread(first[at], size[at])]))
+        return pa.table([t["key"], t["bucket"], pa.array(out, pa.binary())], schema=schema)
 
-    p = rows.where("kind = 0").select("key", F.col("bucket").alias("salt"), "counts")
-    while True:
-        buckets = -(-buckets // FAN_IN)
-        p = p.withColumn("salt", F.floor(F.col("salt") / FAN_IN).cast("int")).groupBy("key", "salt").applyInArrow(run, "key long, salt int, counts binary")
-        if buckets == 1:
-            return p.select("key", "counts")
+    return rows.where("kind = 0").select("key", "bucket", "pairs", "counts").groupBy("key").applyInArrow(run, "key long, bucket int, logits binary")
 
 
 def _distinct(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -343,28 +456,28 @@ def scored(docs: DataFrame, bucket_bytes: int = BUCKET) -> DataFrame:
     symbol_counts, n_train, size = corpus(d)
     buckets = int(size // bucket_bytes) + 1
     d = d.withColumn("bucket", F.pmod(F.xxhash64("doc_id", F.length("body")), F.lit(buckets)).cast("int"))
-    rows = materialize(gathered(d.select("bucket", "body", "held_out"), Code(symbol_counts)), "counts")
-
-    # The table has a fixed number of pieces, whatever the corpus.
-    table = np.zeros((PREDICTORS * (2 << SLOT_BITS) // PIECE, PIECE), np.float32)
-    for r in summed(rows, buckets).toLocalIterator():
-        table[r.key] = stretched(bytes(r.counts))
-
+    rows = materialize(gathered(d.select("bucket", "body", "held_out"), buckets), "counts")
     words = rows.where("kind = 1").select(F.col("key").alias("word"), "bucket", "n")
     totals = materialize(words.groupBy("word").agg(F.sum("n").alias("c")), "words")
     known = totals.where("c > 0").agg(F.sum("c").alias("n"), F.count("*").alias("v")).first()
     n_all, distinct = (known.n or 0) + n_train, known.v + (n_train > 0)
-    sent = spark.sparkContext.broadcast((symbol_counts, table))
-    # A bucket's rows go back to it: one for each of its words.
-    back = words.select("word", "bucket").join(totals, "word").select("bucket", "word", "c")
-
-    def run(texts: pa.Table, counts: pa.Table) -> pa.Table:
-        m = _model(sent)
+    code = Code(symbol_counts)
+    # A bucket's rows go back to it: one for each of its words, one for each range that it has pairs of.
+    back = words.select("word", "bucket").join(totals, "word").select("bucket", "word", "c", F.lit(None).cast("binary").alias("logits"))
+    back = back.unionAll(answered(rows, code).select("bucket", "key", F.lit(0).cast("long"), "logits"))
+
+    def run(texts: pa.Table, given: pa.Table) -> pa.Table:
+        is_word = pc.is_null(given["logits"])
+        counts, ranges = given.filter(is_word), given.filter(pc.invert(is_word)).sort_by("word")
         order = np.argsort(counts["word"].to_numpy(), kind="stable")
         word, c = counts["word"].to_numpy()[order], counts["c"].to_numpy()[order]
         bodies = texts["body"].to_pylist()
         n_tokens, n_known, base = base_scores(bodies, word, c, n_train, n_all, distinct)
-        score = m.scores(bodies)
+        logits: list[list[np.ndarray]] = [[] for _ in range(PREDICTORS)]
+        for key, x in zip(ranges["word"].to_pylist(), ranges["logits"], strict=True):
+            logits[key // buckets].append(unpacked(x.as_py(), np.float32))
+        known = Known(code, [k for k, _ in pair_counts([], bodies)], [np.concatenate(x) for x in logits])
+        score = Model(symbol_counts, known).scores(bodies)
         bits = -score / np.log10(2) / np.maximum(1, [len(b) for b in bodies])
         return pa.table({"doc_id": texts["doc_id"], "held_out": texts["held_out"], "n_tokens": pa.array(n_tokens), "n_known": pa.array(n_known), "train_tokens": pa.array(np.full(len(bodies), n_all)), "base_score": pa.array(base), "score": pa.array(score), "bits_per_byte": pa.array(bits)})
 
@@ -384,14 +497,3 @@ def base_scores(texts: list[bytes], word: np.ndarray, c: np.ndarray, n_train: in
         n_known.append(np.bincount(doc[c[at] > 0], minlength=len(some)) + (n_train > 0))
         base.append(np.bincount(doc, each[at], len(some)) + end)
     return tuple(np.concatenate(x) if x else np.zeros(0) for x in (n_tokens, n_known, base))
-
-
-_models: dict[int, Model] = {}
-
-
-def _model(sent) -> Model:
-    """The worker's model; a worker keeps one."""
-    if id(sent.value) not in _models:
-        _models.clear()
-        _models[id(sent.value)] = Model(*sent.value)
-    return _models[id(sent.value)]

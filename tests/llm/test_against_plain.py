@@ -243,6 +243,66 @@ def test_lm(spark, sf, docs):
     assert sum(-r.score for r in held) / math.log10(2) < 4.5 * sum(len(text[r.doc_id].encode()) for r in held)
 
 
+def test_lm_held_out_bits(spark, sf, docs):
+    """Well under the order-0 entropy of the held-out bytes."""
+    rows = lm.scored(spark.read.parquet(f"{sf}/documents.parquet")).where("held_out").collect()
+    text = dict(zip(docs.doc_id, docs.text))
+    held = b"".join(text[r.doc_id].encode() for r in rows)
+    p = np.bincount(np.frombuffer(held, np.uint8)) / len(held)
+    p = p[p > 0]
+    assert sum(-r.score for r in rows) / math.log10(2) / len(held) < 0.75 * -(p * np.log2(p)).sum()
+
+
+class PlainCounts:
+    """The counts of every decision after every context, kept by the contexts' bytes themselves."""
+
+    def __init__(self, code, train):
+        self.code, self.n, self.texts = code, collections.defaultdict(lambda: [0, 0]), []
+        for t in train:
+            for i, s in enumerate([*t, lm.END]):
+                for m, c in enumerate(self.contexts(t, i)):
+                    for node, bit in self.path(s):
+                        self.n[m, c, node][bit] += 1
+
+    def contexts(self, t, i):
+        return [*((t[max(0, i - k) : i]) for k in lm.ORDERS), re.search(rb"[^\t-\r ]*\Z|(?<=[\t-\r ])\Z", t[:i])[0]]
+
+    def path(self, s):
+        at = slice(self.code.base[s], self.code.base[s] + self.code.length[s])
+        return zip(self.code.tree[at].tolist(), self.code.bit[at].astype(int).tolist())
+
+    def take(self, m, context, s, n, node, out):
+        got = []
+        for t in self.texts:
+            for i, x in enumerate([*t, lm.END]):
+                c, own = self.contexts(t, i)[m], []
+                for tree, _ in self.path(x):
+                    zero, one = self.n.get((m, c, tree), (0, 0))
+                    own.append(max(-lm.MAP_SPAN, min(lm.MAP_SPAN, math.log((one + lm.PRIOR) / (zero + lm.PRIOR)) or (zero + one > 0) * 1e-6)))
+                got.append(own)
+        out[:] = [v for k, own in zip(n.tolist(), got) for v in [*own, *[0.0] * (k - len(own))]]
+
+
+def test_lm_counts_grow_with_the_corpus(spark):
+    """Scores by exact counts: contexts that are many more than a table's slots aren't added together."""
+    rng = np.random.default_rng(5)
+    noise = [bytes(rng.integers(33, 120, 20_000, np.uint8)) for _ in range(7)]
+    words = [b" ".join(rng.choice([b"some", b"known", b"words", b"again."], 60)) for _ in range(20)]
+    texts = [*noise, *words]
+    out = [zlib.crc32(str(i).encode()) % 7 == 2 for i in range(len(texts))]
+    train = [t for t, o in zip(texts, out) if not o]
+    counts = np.bincount(np.frombuffer(b"".join(train), np.uint8), minlength=257)
+    counts[256] = len(train)
+    plain = PlainCounts(lm.Code(counts), train)
+    model = lm.Model(counts, plain)
+    docs = spark.createDataFrame([(i, t.decode()) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {r.doc_id: r for r in lm.scored(docs, bucket_bytes=30_000).collect()}
+    for i in range(len(noise), len(texts)):
+        plain.texts = [texts[i]]
+        assert got[i].score == pytest.approx(model.scores([texts[i]])[0], rel=1e-5)
+    assert any(out[len(noise) :])
+
+
 def test_lm_probabilities_sum_to_one():
     counts = np.zeros(257, np.int64)
     counts[[97, 98, 99, 256]] = 10, 5, 2, 3
