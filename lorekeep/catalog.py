@@ -512,6 +512,14 @@ def vector_topk_exclude_self(t: X.Tables) -> DataFrame:
     return _nearest(t, True).select("chunk_id", "source", F.round("score", 6).alias("score"))
 
 
+@query(f"""WITH {CHUNKS}, q AS (SELECT vec_id AS query_id, CAST(embedding AS DOUBLE[]) AS q FROM embeddings WHERE vec_id % 50 = 0),
+scored AS (SELECT query_id, chunk_id, list_cosine_similarity(CAST(embedding AS DOUBLE[]), q) AS score FROM embeddings JOIN chunks ON vec_id = doc_id, q)
+SELECT query_id, chunk_id, round(score, 6) AS score FROM scored QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY scored.score DESC, chunk_id) <= 10""")
+def vector_topk_each(t: X.Tables) -> DataFrame:
+    queries = t.embeddings.where("vec_id % 50 = 0").select(F.col("vec_id").alias("query_id"), "embedding")
+    return P.vector_chunks_each(X.vectors(t), queries).withColumn("score", F.round("score", 6))
+
+
 MERGED = f"""{GRAPH_CHUNKS}, {VECTORS},
 near AS (SELECT chunk_id, score FROM scored WHERE vec_id <> 0 ORDER BY score DESC, chunk_id LIMIT 10),
 g AS (SELECT chunk_id, entity_count / (max(entity_count) OVER ())::DOUBLE AS share, row_number() OVER (ORDER BY entity_count DESC, chunk_id) AS rg FROM top),

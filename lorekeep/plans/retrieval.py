@@ -48,6 +48,15 @@ def vector_chunks(chunks: DataFrame, vectors: DataFrame, query: list[float] | Da
     return chunks.select("chunk_id", "text", F.col("document_name").alias("source")).join(F.broadcast(best), "chunk_id")
 
 
+def vector_chunks_each(vectors: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
+    """For each of (query_id, embedding) the ``k`` nearest chunks, by exact cosine: (query_id, chunk_id, score)."""
+    scored = vectors.crossJoin(queries.select("query_id", F.col("embedding").alias("_q")))
+    scored = scored.select("query_id", "chunk_id", cosine(F.col("embedding"), F.col("_q")).alias("score")).where("score is not null")
+    # The limit by rank also holds before the shuffle, so only k rows a query and task cross the network.
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "chunk_id"))
+    return scored.withColumn("_rank", rank).where(F.col("_rank") <= k).drop("_rank")
+
+
 def merged_chunks(graph: DataFrame, vector: DataFrame, k: int = 10, boost: float = BOOST) -> DataFrame:
     """Full outer merge: share of the largest coverage, plus similarity and a boost where both found a chunk.
 

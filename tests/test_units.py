@@ -365,3 +365,13 @@ def test_whole_documents_are_merged(spark, sf):
     longest = docs.orderBy(F.desc(F.length("text"))).first()
     own = {r.sentence.lower() for r in rows if r.source == longest.source}
     assert longest.text.split(". ")[-1].strip().lower() in own
+
+
+def test_every_query_vector_is_searched(spark, sf):
+    from lorekeep import catalog
+
+    want = {r.vec_id for r in spark.read.parquet(f"{sf}/embeddings.parquet").where("vec_id % 50 = 0").collect()}
+    rows = catalog.QUERIES["vector_topk_each"](spark, sf).collect()
+    assert len(want) > 1 and {r.query_id for r in rows} == want and len(rows) == 10 * len(want)
+    one = {(r.chunk_id, r.score) for r in catalog.QUERIES["vector_topk"](spark, sf).collect()}
+    assert {(r.chunk_id, r.score) for r in rows if r.query_id == 0} == one
