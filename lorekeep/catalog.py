@@ -86,6 +86,13 @@ def _term_seeds(t: X.Tables) -> DataFrame:
     return X.aliases(t).orderBy("alias").limit(TERM_SEEDS).select("entity_id")
 
 
+def _graph_chunks(t: X.Tables) -> DataFrame:
+    """The chunks that mention most of the term seeds; only the seeds' own aliases are looked for."""
+    seeds = _term_seeds(t)
+    wanted = X.aliases(t).join(seeds, "entity_id", "left_semi")
+    return P.graph_chunks(X.chunks(t), G.mentions(X.chunks(t), wanted), X.terms(t), seeds)
+
+
 def _seeds(t: X.Tables, ids: tuple[str, ...]) -> DataFrame:
     return t.spark.createDataFrame([(i,) for i in ids], "entity_id string")
 
@@ -101,7 +108,7 @@ GRAPH_CHUNKS = f"""{CHUNKS}, {ALIASES}, {MENTIONS}, {TERMS}, top AS (
 
 @query(f"WITH {GRAPH_CHUNKS} SELECT chunk_id, text, document_name AS source, entity_count, mentioned FROM top JOIN chunks USING (chunk_id)")
 def graph_chunks_topk(t: X.Tables) -> DataFrame:
-    d = P.graph_chunks(X.chunks(t), _mentions(t), X.terms(t), _term_seeds(t))
+    d = _graph_chunks(t)
     return d.select("chunk_id", "text", "source", "entity_count", F.array_join("mentioned_entities", ",").alias("mentioned"))
 
 
@@ -164,9 +171,7 @@ SELECT category, count(entity_id) AS n_entities, CAST(coalesce(sum(n), 0) AS BIG
 def entities_by_category(t: X.Tables) -> DataFrame:
     # Without places, so that one category is empty.
     everything = X.nodes(t).where(F.col("label") != K.PLACE).unionByName(X.terms(t))
-    d = G.by_category(G.mention_counts(everything, _mentions(t)))
-    total = F.aggregate("entities", F.lit(0).cast("long"), lambda s, e: s + e.mention_count)
-    return d.select("category", F.size("entities").cast("long").alias("n_entities"), total.alias("n_mentions"), F.get("entities", F.lit(0)).entity_id.alias("first_entity"))
+    return G.category_totals(G.mention_counts(everything, _mentions(t)))
 
 
 @query(f"WITH {NODES}, {EDGES} SELECT 'nodes' AS kind, count(*) AS n FROM nodes UNION ALL SELECT 'edges', count(*) FROM edges")
@@ -299,7 +304,21 @@ def line_literal(s: str) -> str:
 
 @query(f"SELECT doc_id, {_cleaned_sql()} AS text FROM documents")
 def ocr_clean(t: X.Tables) -> DataFrame:
-    return t.documents.select("doc_id", T.clean(_noisy()).alias("text"))
+    return t.texts.select("doc_id", T.clean(_noisy()).alias("text"))
+
+
+def _one_rule(name: str):
+    noisy = f"({line_literal(NOISE)} || coalesce(text, ''))"
+
+    def run(t: X.Tables) -> DataFrame:
+        return t.texts.select("doc_id", F.md5(T.rule(name, _noisy())).alias("digest"))
+
+    run.__name__ = f"ocr_rule_{name}"
+    return query(f"SELECT doc_id, md5({_rule_sql(name, noisy)}) AS digest FROM documents")(run)
+
+
+for _name, _, _ in T.RULES:
+    _one_rule(_name)
 
 
 _IMAGES = "repeat(chr(10) || '![Image 1 (page 1)](embedded:x)', CAST(40 + page_id % 25 AS INTEGER))"
@@ -319,7 +338,13 @@ def split_paragraphs(t: X.Tables) -> DataFrame:
     return S.split_text(t.documents, T.paragraphs(F.regexp_replace("text", "\n", "\n\n")), "doc_id")
 
 
-@query()
+#: White space as Unicode has it, for regular expressions and for trimming.
+_BLANK = r"[\t\n\x0b\f\r \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+
+
+@query(rf"""WITH p AS (SELECT doc_id, string_split(regexp_replace(text, '(\.{_BLANK})([A-Z])', '\1' || chr(1) || '\2', 'g'), chr(1)) AS p FROM documents WHERE text IS NOT NULL),
+s AS (SELECT doc_id, list_filter(list_transform(p, lambda x: regexp_replace(x, '^{_BLANK}+|{_BLANK}+$', '', 'g')), lambda x: x <> '') AS p FROM p)
+SELECT doc_id, CAST(unnest(range(len(p))) AS INTEGER) AS pos, unnest(p) AS piece FROM s""")
 def split_sentences(t: X.Tables) -> DataFrame:
     return S.split_text(t.documents, T.sentences(F.col("text")), "doc_id")
 
@@ -328,7 +353,7 @@ def _structured(t: X.Tables) -> DataFrame:
     """Documents with paragraphs, every fourth of them under a heading."""
     lines = F.split("text", "\n")
     marked = F.transform(lines, lambda x, i: F.when(i % 4 == 0, F.concat(F.lit("## "), x)).otherwise(x))
-    return t.documents.select(F.concat(F.lit("doc-"), F.col("doc_id").cast("string")).alias("doc_name"), F.array_join(marked, "\n\n").alias("text"), "doc_id", "source")
+    return t.texts.select(F.concat(F.lit("doc-"), F.col("doc_id").cast("string")).alias("doc_name"), F.array_join(marked, "\n\n").alias("text"), "doc_id", "source")
 
 
 def _paged(t: X.Tables) -> DataFrame:
@@ -426,6 +451,40 @@ def validate_relations(t: X.Tables) -> DataFrame:
     return E.validated(_candidates(t), names).select("o_orderkey", "head_name", "tail_name", "reject_reason")
 
 
+@query("""WITH n AS (
+  SELECT p_brand AS doc_name, p_name AS name, p_partkey AS seq, 0 AS k FROM part UNION ALL SELECT p_brand, p_type, p_partkey, 1 FROM part
+), f AS (SELECT doc_name, name, min((seq, k)) AS at FROM n GROUP BY ALL) SELECT doc_name, string_agg(name, '|' ORDER BY at) AS names FROM f GROUP BY doc_name""")
+def names_by_document(t: X.Tables) -> DataFrame:
+    e = t.part.select(F.col("p_brand").alias("doc_name"), F.col("p_partkey").alias("seq"), F.col("p_name").alias("name"), F.array("p_type").alias("aliases"))
+    return E.names_by_document(e).withColumn("names", F.array_join("names", "|"))
+
+
+@query("""SELECT 'part-' || p_partkey AS source_section, p_name AS head_name, 'E22_Man-Made_Object' AS head_type, 'P45_CONSISTS_OF' AS relation_type, p_type AS tail_name, '' AS tail_type,
+  CASE p_partkey % 3 WHEN 0 THEN 0.0::DOUBLE WHEN 1 THEN p_size::DOUBLE END AS confidence FROM part""")
+def parse_relations_json(t: X.Tables) -> DataFrame:
+    # Half of the answers are fenced, the others go on from an opened array and are fenced at the end.
+    confidence = F.when(F.col("p_partkey") % 3 == 1, F.col("p_size").cast("string")).when(F.col("p_partkey") % 3 == 2, "sure")
+    item = F.to_json(F.struct(F.concat(F.lit(" "), "p_name").alias("head_name"), F.lit(K.ARTIFACT).alias("head_type"), F.lit("P45_CONSISTS_OF").alias("relation_type"), F.concat("p_type", F.lit(" ")).alias("tail_name"), confidence.alias("confidence")))
+    fenced = E.unfenced(F.concat(F.lit("```json\n["), item, F.lit("]\n```")))
+    opened = E.prefilled(E.unfenced(F.concat(item, F.lit("]\n```\n")), "end"))
+    raw = F.when(F.col("p_partkey") % 2 == 0, fenced).otherwise(opened)
+    return E.parsed_relations(t.part.select(F.concat(F.lit("part-"), F.col("p_partkey").cast("string")).alias("section_id"), raw.alias("raw_json")))
+
+
+@query(r"""SELECT doc_id, source AS doc_name FROM documents WHERE text IS NOT NULL AND regexp_matches(text, '[^\s]') AND source IN (SELECT source FROM documents JOIN labels USING (doc_id) WHERE quality = 1)""")
+def sections_to_relate(t: X.Tables) -> DataFrame:
+    sections = t.documents.select("doc_id", F.col("source").alias("doc_name"), "text")
+    entities = t.documents.join(t.labels.where("quality = 1").select("doc_id"), "doc_id").select(F.col("source").alias("doc_name"))
+    return E.to_extract(sections, entities).select("doc_id", "doc_name")
+
+
+@query("SELECT doc_id, array_to_string(string_split(text, chr(10))[1:3], chr(10)) AS preview, CAST(len(string_split(text, chr(10))) AS INTEGER) AS n_rows FROM documents WHERE text IS NOT NULL")
+def table_preview(t: X.Tables) -> DataFrame:
+    rows = F.transform(F.split("text", "\n"), lambda x: F.array(x))
+    d = E.table_preview(t.documents.where("text is not null").select("doc_id", rows.alias("rows")))
+    return d.select("doc_id", F.array_join(F.flatten("preview"), "\n").alias("preview"), "n_rows")
+
+
 # ---- resolution -------------------------------------------------------------------------------------
 
 
@@ -438,6 +497,12 @@ def resolve_exact(t: X.Tables) -> DataFrame:
     return R.exact_clusters(_variants(t)).select("seq", "cluster")
 
 
+@query("""SELECT p_partkey AS seq, min(p_partkey) OVER (PARTITION BY p_brand) AS cluster FROM part""")
+def resolve_by_alias(t: X.Tables) -> DataFrame:
+    # Different names that share one alias, the brand, are one cluster: that of the first of them.
+    return R.exact_clusters(_variants(t).withColumn("name", F.concat(F.lit("part "), F.col("seq").cast("string"))).withColumn("aliases", F.array("doc_name"))).select("seq", "cluster")
+
+
 @query()
 def resolve_fuzzy(t: X.Tables) -> DataFrame:
     return R.resolve(_variants(t))[0].withColumns({"aliases": F.array_join("aliases", "|"), "sources": F.array_join("sources", "|")})
@@ -489,6 +554,85 @@ def duplicate_keys(t: X.Tables) -> DataFrame:
     return G.duplicate_keys(t.lineitem, ["l_orderkey", "l_linenumber"])
 
 
+@query("""SELECT 'size-' || p_size AS entity_id, 'E22_Man-Made_Object' AS label, p_name AS name, p_type AS "P3_has_note", p_brand AS aliases
+FROM part QUALIFY row_number() OVER (PARTITION BY p_size ORDER BY p_partkey DESC) = 1""")
+def load_nodes_upsert(t: X.Tables) -> DataFrame:
+    e = t.part.select(F.concat(F.lit("size-"), F.col("p_size").cast("string")).alias("entity_id"), F.lit(K.ARTIFACT).alias("entity_type"), F.col("p_name").alias("name"), F.col("p_type").alias("description"), F.array("p_brand").alias("aliases"), F.col("p_partkey").alias("seq"))
+    return G.nodes(e).withColumn("aliases", F.array_join("aliases", ","))
+
+
+@query("""WITH ids AS (SELECT lower(p_name) AS l, arg_max('artifact-' || p_partkey, p_partkey) AS id FROM part GROUP BY 1),
+r AS (SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber % 2 = 0 THEN upper(h.p_name) ELSE h.p_name END AS head, CASE WHEN l_linenumber = 7 THEN 'nobody' ELSE t.p_name END AS tail, l_discount, l_returnflag, l_extendedprice, l_tax, l_quantity
+  FROM lineitem JOIN part h ON l_partkey = h.p_partkey JOIN part t ON l_suppkey = t.p_partkey)
+SELECT a.id AS src, 'P89_FALLS_WITHIN' AS rel_type, b.id AS dst, arg_max(l_discount, (l_orderkey, l_linenumber, l_extendedprice, l_tax, l_quantity, l_discount)) AS confidence,
+  arg_max(l_returnflag, (l_orderkey, l_linenumber, l_extendedprice, l_tax, l_quantity, l_discount, l_returnflag)) AS source_section
+FROM r JOIN ids a ON lower(head) = a.l JOIN ids b ON lower(tail) = b.l GROUP BY 1, 3""")
+def load_relations_by_name(t: X.Tables) -> DataFrame:
+    entities = t.part.select(F.concat(F.lit("artifact-"), F.col("p_partkey").cast("string")).alias("entity_id"), F.col("p_name").alias("name"), F.col("p_partkey").alias("seq"))
+    line = F.col("l_linenumber")
+    r = t.lineitem.join(t.part.select(F.col("p_partkey").alias("_h"), F.col("p_name").alias("_hn")), F.col("l_partkey") == F.col("_h")).join(t.part.select(F.col("p_partkey").alias("_t"), F.col("p_name").alias("_tn")), F.col("l_suppkey") == F.col("_t"))
+    r = r.select(
+        F.when(line % 2 == 0, F.upper("_hn")).otherwise(F.col("_hn")).alias("head_name"),
+        F.lit("P89_FALLS_WITHIN").alias("relation_type"),
+        F.when(line == 7, "nobody").otherwise(F.col("_tn")).alias("tail_name"),
+        F.col("l_discount").alias("confidence"),
+        F.col("l_returnflag").alias("source_section"),
+        F.struct("l_orderkey", "l_linenumber", "l_extendedprice", "l_tax", "l_quantity", "l_discount", "l_returnflag").alias("at"),
+    )
+    return G.edges(G.resolved(r, entities), [F.col("at")])
+
+
+@query("SELECT 'event-' || l_orderkey AS src, 'P8_TOOK_PLACE_ON_OR_WITHIN' AS rel_type, 'site-' || (l_suppkey % 40) AS dst FROM lineitem WHERE l_suppkey % 40 IN (SELECT s_suppkey FROM supplier) AND l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderkey % 3 = 0)")
+def connected_edges(t: X.Tables) -> DataFrame:
+    e = t.lineitem.select(F.concat(F.lit("event-"), F.col("l_orderkey").cast("string")).alias("src"), F.lit("P8_TOOK_PLACE_ON_OR_WITHIN").alias("rel_type"), F.concat(F.lit("site-"), (F.col("l_suppkey") % 40).cast("string")).alias("dst"))
+    n = t.supplier.select(F.concat(F.lit("site-"), F.col("s_suppkey").cast("string")).alias("entity_id")).unionAll(t.orders.where("o_orderkey % 3 = 0").select(F.concat(F.lit("event-"), F.col("o_orderkey").cast("string"))))
+    return G.connected(e, n)
+
+
+@query("""SELECT 'c-' || (doc_id % 97) AS chunk_id, text, source AS document_name, lang AS section_heading, doc_id AS chunk_index
+FROM documents QUALIFY row_number() OVER (PARTITION BY doc_id % 97 ORDER BY doc_id DESC) = 1""")
+def load_chunks_upsert(t: X.Tables) -> DataFrame:
+    c = t.documents.select(F.concat(F.lit("c-"), (F.col("doc_id") % 97).cast("string")).alias("chunk_id"), "text", F.col("source").alias("document_name"), F.col("lang").alias("section_heading"), F.col("doc_id").alias("chunk_index"))
+    return G.chunk_nodes(c, [F.col("chunk_index")])
+
+
+@query("SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'new ' || source ELSE source END AS source, CASE WHEN doc_id % 3 = 0 THEN lang END AS lang FROM documents WHERE doc_id % 3 = 0 OR doc_id % 2 = 0")
+def reload_upsert(t: X.Tables) -> DataFrame:
+    old = t.documents.where("doc_id % 2 = 0").select("doc_id", "source")
+    new = t.documents.where("doc_id % 3 = 0").select("doc_id", F.concat(F.lit("new "), "source").alias("source"), "lang")
+    return G.upserted(old, new, ["doc_id"])
+
+
+@query("""SELECT d.doc_id, CASE WHEN e.vec_id % 3 = 0 THEN round(-CAST(e.embedding[1] AS DOUBLE), 6) WHEN e.vec_id % 2 = 0 THEN round(CAST(e.embedding[1] AS DOUBLE), 6) END AS first
+FROM documents d LEFT JOIN embeddings e ON d.doc_id = e.vec_id""")
+def embedding_writeback(t: X.Tables) -> DataFrame:
+    v = t.embeddings.withColumnRenamed("vec_id", "doc_id")
+    had = t.documents.select("doc_id").join(v.where("doc_id % 2 = 0").select("doc_id", "embedding"), "doc_id", "left")
+    new = v.where("doc_id % 3 = 0").select("doc_id", F.transform("embedding", lambda x: -x).alias("embedding"))
+    return G.with_vectors(had, new, "doc_id").select("doc_id", F.round(F.get("embedding", F.lit(0)).cast("double"), 6).alias("first"))
+
+
+@query("SELECT count(*) AS rows, count(embedding) AS embedded, CAST(coalesce(max(len(embedding)), 0) AS INTEGER) AS dimension FROM documents LEFT JOIN embeddings ON doc_id = vec_id")
+def vector_report(t: X.Tables) -> DataFrame:
+    v = t.embeddings.select(F.col("vec_id").alias("doc_id"), "embedding")
+    return G.vector_report(t.documents.select("doc_id").join(v, "doc_id", "left"))
+
+
+@query("""WITH e AS (SELECT p_brand AS doc_name, count(*) AS n FROM part GROUP BY 1), r AS (SELECT p_mfgr AS doc_name, count(*) AS n FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1)
+SELECT coalesce(e.doc_name, r.doc_name) AS doc_name, coalesce(e.n, 0) AS n_entities, coalesce(r.n, 0) AS n_relations FROM e FULL JOIN r ON e.doc_name = r.doc_name""".replace("p_mfgr", "p_type"))
+def document_totals(t: X.Tables) -> DataFrame:
+    relations = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey")).select(F.col("p_type").alias("doc_name"))
+    return G.document_totals(t.part.select(F.col("p_brand").alias("doc_name")), relations)
+
+
+@query("""SELECT DISTINCT vec_id AS chunk_id, 'site-' || (vec_id % 30) AS entity_id FROM embeddings
+WHERE vec_id IN (SELECT doc_id FROM documents WHERE doc_id % 2 = 0) AND vec_id % 30 IN (SELECT s_suppkey FROM supplier)""")
+def load_mentions(t: X.Tables) -> DataFrame:
+    pairs = t.embeddings.select(F.col("vec_id").alias("chunk_id"), F.concat(F.lit("site-"), (F.col("vec_id") % 30).cast("string")).alias("entity_id"))
+    n = t.supplier.select(F.concat(F.lit("site-"), F.col("s_suppkey").cast("string")).alias("entity_id"))
+    return G.linked_mentions(pairs, t.documents.where("doc_id % 2 = 0").select(F.col("doc_id").alias("chunk_id")), n)
+
+
 # ---- vectors, merge, prompts --------------------------------------------------------------------------
 
 VECTORS = """q AS (SELECT CAST(embedding AS DOUBLE[]) AS q FROM embeddings WHERE vec_id = 0),
@@ -520,6 +664,19 @@ def vector_topk_each(t: X.Tables) -> DataFrame:
     return P.vector_chunks_each(X.vectors(t), queries).withColumn("score", F.round("score", 6))
 
 
+@query()
+def vector_topk_index(t: X.Tables) -> DataFrame:
+    queries = t.embeddings.where("vec_id % 50 = 0").select(F.col("vec_id").alias("query_id"), "embedding")
+    index, centres = P.vector_index(X.vectors(t))
+    return P.search_index(index, centres, queries, probes=max(1, centres.count() // 2)).withColumn("score", F.round("score", 6))
+
+
+@query(f"""WITH {CHUNKS}, {ALIASES}, {MENTIONS}, {VECTORS}, found AS (SELECT chunk_id FROM scored WHERE vec_id <> 0 ORDER BY score DESC, chunk_id LIMIT 10)
+SELECT entity_id, alias AS name, count(DISTINCT chunk_id) AS n_chunks FROM found JOIN mentions USING (chunk_id) JOIN aliases USING (entity_id) GROUP BY ALL""")
+def similar_chunk_entities(t: X.Tables) -> DataFrame:
+    return P.entities_of(_nearest(t, True), _mentions(t), X.terms(t))
+
+
 MERGED = f"""{GRAPH_CHUNKS}, {VECTORS},
 near AS (SELECT chunk_id, score FROM scored WHERE vec_id <> 0 ORDER BY score DESC, chunk_id LIMIT 10),
 g AS (SELECT chunk_id, entity_count / (max(entity_count) OVER ())::DOUBLE AS share, row_number() OVER (ORDER BY entity_count DESC, chunk_id) AS rg FROM top),
@@ -529,7 +686,7 @@ m AS (SELECT chunk_id, CASE WHEN share IS NOT NULL AND score IS NOT NULL THEN sh
 
 
 def _merged(t: X.Tables) -> DataFrame:
-    graph = P.graph_chunks(X.chunks(t), _mentions(t), X.terms(t), _term_seeds(t))
+    graph = _graph_chunks(t)
     return P.merged_chunks(graph, _nearest(t, True))
 
 
@@ -540,7 +697,7 @@ def hybrid_merge(t: X.Tables) -> DataFrame:
 
 @query(f"WITH {GRAPH_CHUNKS} SELECT CAST(row_number() OVER (ORDER BY entity_count DESC, chunk_id) AS INTEGER) AS rank, '[' || row_number() OVER (ORDER BY entity_count DESC, chunk_id) || '] Source: ' || document_name || chr(10) || trim(text, E' \\n\\t\\r') AS line FROM top JOIN chunks USING (chunk_id)")
 def prompt_sources(t: X.Tables) -> DataFrame:
-    d = P.graph_chunks(X.chunks(t), _mentions(t), X.terms(t), _term_seeds(t))
+    d = _graph_chunks(t)
     return P.source_lines(d, [F.desc("entity_count"), F.col("chunk_id")], False)
 
 
@@ -548,7 +705,7 @@ SECTIONS = f"""{NODES}, {EDGES}, {HOP1}, found AS (SELECT * FROM first), t AS ({
 s AS (SELECT subject, string_agg('  - ' || subject || ' — ' || ({DISPLAY.replace("CASE r ", "CASE relationship ").replace("lower(r)", "lower(relationship)")}) || ' — ' || object, chr(10) ORDER BY relationship, object) AS l FROM t GROUP BY subject)"""
 
 
-@query(f"WITH {SECTIONS} SELECT entity_id, '### Entity: ' || name || ' (' || {TYPE_LABEL} || ')' || chr(10) || 'Graph connections:' || coalesce(chr(10) || l, ' (none retrieved)') AS section FROM nodes LEFT JOIN s ON name = subject WHERE entity_id IN (SELECT * FROM (VALUES {_ids(DETAIL_SEEDS)}))")
+@query(f"WITH {SECTIONS.replace('nodes AS (', 'nodes AS MATERIALIZED (').replace('edges AS (', 'edges AS MATERIALIZED (').replace('s AS (SELECT subject', 's AS MATERIALIZED (SELECT subject')}, picked AS MATERIALIZED (SELECT entity_id, label, name FROM nodes WHERE entity_id IN (SELECT * FROM (VALUES {_ids(DETAIL_SEEDS)}))) SELECT entity_id, '### Entity: ' || name || ' (' || {TYPE_LABEL} || ')' || chr(10) || 'Graph connections:' || coalesce(chr(10) || l, ' (none retrieved)') AS section FROM picked LEFT JOIN s ON name = subject")
 def prompt_entities(t: X.Tables) -> DataFrame:
     seeds = _seeds(t, DETAIL_SEEDS)
     return P.entity_sections(G.details(X.nodes(t), seeds), G.triples(X.nodes(t), X.edges(t), seeds, 1))
@@ -586,7 +743,8 @@ def _faulty(t: X.Tables) -> tuple[DataFrame, DataFrame, DataFrame]:
     e = e.unionAll(t.spark.createDataFrame(extra, "src string, rel_type string, dst string"))
     names = X.nodes(t).select("entity_id", F.lit("name").alias("path"), F.col("name").alias("value"))
     kinds = t.spark.createDataFrame([("place-asia", "P2_has_type", "continent"), ("place-china", "P2_has_type", "region")], "entity_id string, path string, value string")
-    return X.nodes(t), e, names.unionAll(kinds)
+    odd = t.spark.createDataFrame([("chunk-1", "Chunk", "a chunk")], "entity_id string, label string, name string")
+    return X.nodes(t).unionAll(odd), e, names.unionAll(kinds)
 
 
 SHACL = f"""WITH {NODES}, {EDGES.replace("edges AS", "plain AS")}, edges AS (
@@ -597,7 +755,8 @@ SELECT entity_id AS focus_id, label AS shape, 'P4_HAS_TIME-SPAN' AS path, 'minCo
 UNION ALL SELECT src, 'E53_Place', 'P89_FALLS_WITHIN', 'maxCount', 'Violation', CAST(count(*) AS VARCHAR) FROM edges WHERE rel_type = 'P89_FALLS_WITHIN' GROUP BY src HAVING count(*) > 1
 UNION ALL SELECT src, 'E21_Person', rel_type, 'closed', 'Violation', dst FROM edges WHERE src LIKE 'person-%' AND rel_type = 'P53_HAS_FORMER_OR_CURRENT_LOCATION'
 UNION ALL SELECT src, 'E27_Site', rel_type, 'class', 'Violation', 'E21_Person' FROM edges WHERE src LIKE 'site-%' AND dst LIKE 'person-%'
-UNION ALL SELECT 'place-asia', 'E53_Place', 'P2_has_type', 'in', 'Violation', 'continent' FROM nodes WHERE entity_id = 'place-asia'"""
+UNION ALL SELECT 'place-asia', 'E53_Place', 'P2_has_type', 'in', 'Violation', 'continent' FROM nodes WHERE entity_id = 'place-asia'
+UNION ALL SELECT 'chunk-1', 'Chunk', 'label', 'undeclared', 'Warning', 'Chunk'"""
 
 
 @query(SHACL)
@@ -605,6 +764,18 @@ def shacl_report(t: X.Tables) -> DataFrame:
     return G.violations(*_faulty(t))
 
 
+def _one_constraint(name: str, constraint: str):
+    def run(t: X.Tables) -> DataFrame:
+        return G.violations(*_faulty(t)).where(F.col("constraint") == constraint).drop("constraint")
+
+    run.__name__ = name
+    return query(f"SELECT focus_id, shape, path, severity, observed FROM ({SHACL}) WHERE \"constraint\" = '{constraint}'")(run)
+
+
+for _name, _constraint in (("shacl_min_count", "minCount"), ("shacl_max_count", "maxCount"), ("shacl_class", "class"), ("shacl_in", "in"), ("shacl_closed", "closed"), ("shacl_undeclared", "undeclared")):
+    _one_constraint(_name, _constraint)
+
+
 @query("SELECT time_bucket(INTERVAL '1 hour', ts) AS window_start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY ALL")
 def event_counts(t: X.Tables) -> DataFrame:
     return I.event_counts(t.events)

@@ -20,6 +20,12 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.path}/{name}.parquet")
 
+    @property
+    def texts(self) -> DataFrame:
+        """The documents on all cores: a table that comes in fewer pieces than there are cores is dealt out."""
+        d, cores = self.__getattr__("documents"), self.spark.sparkContext.defaultParallelism
+        return d.repartition(cores) if d.rdd.getNumPartitions() < cores else d
+
 
 def _id(prefix: str, key) -> F.Column:
     return F.concat(F.lit(f"{prefix}-"), key if isinstance(key, F.Column) else F.col(key).cast("string"))
@@ -62,7 +68,7 @@ def edges(t: Tables) -> DataFrame:
 
 def chunks(t: Tables) -> DataFrame:
     """(chunk_id, text, document_name): a chunk a document."""
-    return t.documents.select(F.concat(F.col("source"), F.lit("-"), F.lpad(F.col("doc_id").cast("string"), 6, "0")).alias("chunk_id"), "text", F.col("source").alias("document_name"), "doc_id")
+    return t.texts.select(F.concat(F.col("source"), F.lit("-"), F.lpad(F.col("doc_id").cast("string"), 6, "0")).alias("chunk_id"), "text", F.col("source").alias("document_name"), "doc_id")
 
 
 def aliases(t: Tables) -> DataFrame:

@@ -1,14 +1,20 @@
-"""Helpers shared by the training-data operators: tables, shared folders, word hashes."""
+"""Helpers shared by the training-data operators: tables, blocks of texts, word hashes."""
 
 from __future__ import annotations
 
+import ctypes
 import itertools
-import uuid
+from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lorekeep.shared import drop_written, materialize, shared_dir
+
+__all__ = ["drop_written", "materialize", "shared_dir"]
+
 U64 = np.uint64
 _BASE = 0x9E3779B97F4A7C15
 _BASE_INV = pow(_BASE, -1, 2**64)
@@ -25,32 +31,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder below spark.checkpoint.dir, which driver and executors share.
-
-    Where the session names none (tests, local mode) one below the warehouse is set.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
-        spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: cuts lineage, survives lost executors."""
-    path = shared_dir(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def drop_written(spark: SparkSession, df: DataFrame) -> None:
-    """Remove a table that ``materialize`` wrote, once nothing reads it any more."""
-    for f in df.inputFiles()[:1]:
-        path = spark._jvm.org.apache.hadoop.fs.Path(f).getParent()
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-
-
 def utf8(column: str = "text"):
     """The column's text as UTF-8 bytes; null counts as empty."""
     return F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")
@@ -69,12 +49,36 @@ def blocks(items, size=len, limit: int = BLOCK_BYTES):
         yield out
 
 
+def slices(batches: Iterable[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """The batches in pieces of so many rows, which bounds what a worker holds as Python values."""
+    for b in batches:
+        for at in range(0, max(1, len(b)), rows):
+            yield b.slice(at, rows)
+    release()
+
+
+def release() -> None:
+    """Give freed memory back to the system: a worker lives on after its task, next to others."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def batched(iterable, n: int):
     it = iter(iterable)
     while chunk := list(itertools.islice(it, n)):
         yield chunk
 
 
+def distinct(x: np.ndarray) -> np.ndarray:
+    """The different values, sorted."""
+    x = np.sort(x)
+    keep = np.ones(len(x), bool)
+    keep[1:] = x[1:] != x[:-1]
+    return x[keep]
+
+
 def mix64(h: np.ndarray) -> np.ndarray:
     h = (h ^ (h >> U64(32))) * _MUL
     h = (h ^ (h >> U64(32))) * _MUL

@@ -1,44 +1,5 @@
-"""Connected components of a link table by alternating large-star and small-star steps.
+"""Connected components, as the library has them; here so that the operators name one place."""
 
-Every step is two aggregations and two joins over all links; the links of a round are
-written to the shared folder.  A hub's rows are pre-aggregated before each shuffle, and
-nothing is collected but a count and a checksum a round.
-"""
+from lorekeep.operators.components import components
 
-from __future__ import annotations
-
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-from lorekeep.llm.common import drop_written, materialize
-
-ROUNDS = 60
-
-
-def _state(links: DataFrame) -> tuple:
-    r = links.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
-    return r.n, r.h
-
-
-def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
-    """(node, component) of every node that has a link; component is the smallest node reachable."""
-    now = links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct()
-    now = materialize(now, "links")
-    before = _state(now)
-    for _ in range(ROUNDS):
-        if not before[0]:
-            break
-        both = now.unionAll(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionAll(least.select("u", F.col("m").alias("v"))).distinct()
-        after = materialize(small, "links")
-        state = _state(after)
-        drop_written(now.sparkSession, now)
-        now = after
-        if state == before:
-            break
-        before = state
-    nodes = now.select(F.col("u").alias("node"), F.col("v").alias("component"))
-    return nodes.unionAll(now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+__all__ = ["components"]

@@ -1,27 +1,32 @@
 """Language-model scoring by online logistic context mixing.
 
 A text is coded symbol by symbol (its bytes, then one end), a symbol as the binary
-decisions of a prefix code made from the corpus's byte counts.  Four predictors give a
-probability for every decision: hashed contexts of the last 2, 4 and 6 bytes, and of the word so
-far.  Their counts are gathered over all training documents.  A mixer combines the
-predictors' logits with weights chosen by a gate (the number of contexts that the corpus
-has shown) and moved after every ``STEP`` decisions, some four bytes, along the gradient of
-their coding cost; an adaptive map from the mixed logit to a probability refines the
+decisions of the prefix code of the byte before it; the codes are made from the corpus's counts of byte pairs.
+Several predictors give a probability for every decision: hashed contexts of the last ``ORDERS`` bytes, and of the
+word so far.  Their counts are gathered over all training documents.  A mixer combines the
+predictors' logits with weights chosen, for every decision, by a gate (the number of contexts in which
+the corpus has shown that decision); an adaptive map from the mixed logit to a probability refines the
 result.  The sum of the logarithms is the score.
 
-Documents are mixed in segments of ``SEGMENT`` bytes: the contexts reach back across
-segments, weights and map start anew, so that thousands of segments advance in
-lockstep as numpy arrays.  A score depends on nothing but the text and the corpus counts.
+Weights and map belong to a text and adapt from its first byte to its last; nothing starts anew inside it.
+They move along the gradient of the coding cost after the first ``FIRST`` symbols, and then whenever the text has
+grown by ``GROWTH`` of itself: small steps while they have much to learn, long ones later.
+Thousands of texts advance in lockstep, a step of all of them as one slice of the arrays.  A score
+depends on nothing but the text and the corpus counts.
 
-What is counted grows with the corpus: a row of counts for every distinct pair of context and symbol.
-Documents are dealt into buckets of about ``BUCKET`` bytes.  A bucket sends its pairs, cut into ranges
-of the contexts' hashes; what all buckets sent of a range is summed, and each bucket gets back the logits of
-its own pairs only, and the counts of its own words for the base score.
+Logits are kept as seen from the decision that is taken: the mixed one then says how likely that decision was,
+and the map, which treats a 0 and a 1 alike, is one of the favoured side's probability.
+
+What is counted grows with the corpus: a number for every distinct pair of context and symbol.
+Equal texts are counted and scored once, with the number of their rows.  Texts are dealt by digest into buckets of about
+``BUCKET`` bytes.  A bucket sends its pairs and its words, cut into ranges of their hashes; what all buckets
+sent of a range is summed, and each bucket gets back the logits of its own pairs, and the counts of its own
+words for the base score.
 
 Defined results: null and empty texts have no words and one end; rows with a null doc_id are
-held out and not learnt from; repeated rows are learnt from as often as they occur; without
+held out and not learnt from; repeated rows are learnt from as often as they occur and get one score; without
 training documents all counts are 0; other columns are ignored.  Words are told apart
-by 64-bit hashes, contexts by 55 bits for each predictor.
+by 64-bit hashes, contexts by the bits that ``context_bits`` gives a corpus of its size, texts by their MD5.
 """
 
 from __future__ import annotations
@@ -32,42 +37,79 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lorekeep.llm.common import U64, Words, blocks, materialize, powers, prefix_hash, utf8
+from lorekeep.llm.common import U64, Words, blocks, distinct, materialize, powers, prefix_hash, release, utf8
 
 FOLDS, HELD_OUT = 7, 2
 END = 256
-#: Slots of a table of counts, which only small models have that are made without Spark.
-SLOT_BITS = 20
-#: Pairs of context and symbol that are worked on at once.
-PAIRS = 1 << 18
+#: Stands before a text: in no UTF-8 text.
+BEFORE = 0xFF
 #: Lengths in bytes of the contexts; one more is the word so far.
-ORDERS = (2, 4, 6)
+ORDERS = (3, 6)
 PREDICTORS = len(ORDERS) + 1
-SEGMENT = 512
-#: Bytes of text that are mixed at once.
+#: Bytes of text, or pairs of context and symbol, that are worked on at once.
 LANES = 1 << 18
-#: Decisions between two moves of the weights.
-STEP = 16
-BUCKET = 16 << 20
-RATE = 0.015
-MAP_STEPS, MAP_SPAN, MAP_RATE = 33, 8.0, 0.02
+#: Symbols before the weights move for the first time, and the part of itself that a text grows by between later moves.
+FIRST, GROWTH = 8, 1 / 24
+BUCKET = 12 << 20
+RATE, RATE_POWER = 0.02, 0.75
+MAP_STEPS, MAP_SPAN, MAP_RATE = 17, 8.0, 0.02
+#: Logits are whole numbers of this part.
+UNIT = 15
 #: Counts that an unseen decision is given.
 PRIOR = 0.4
-#: The weight of each context at the start of a segment, by gate: the number of contexts known to the corpus.
-START = np.array([[0.3] * 4, [0.5] * 4, [0.4] * 4, [0.3, 0.3, 0.3, 0.4], [0.25, 0.25, 0.4, 0.4]], np.float32)
-#: Stands for the end of a document among word hashes.
-END_HASH = -1
+GATES = PREDICTORS + 1
+#: The weight of the contexts at the start of a text, by gate: the number of contexts that know the decision.
+START = (0.3, 0.5, 0.45, 0.4)
+#: The last bits of a pair: the byte before, and the symbol.
+CODE_BITS = 18
+
+
+def words_of(buf: np.ndarray) -> np.ndarray:
+    """For every place of ``buf`` a hash of the word that ends before it."""
+    at = np.arange(len(buf))
+    gap = (buf == 0x20) | ((buf >= 0x09) & (buf <= 0x0D)) | (buf == BEFORE)
+    start = np.zeros(len(buf), np.int64)
+    start[1:] = np.where(gap[:-1], at[1:], 0)
+    start = np.maximum.accumulate(start)
+    p, inv = prefix_hash(buf), powers(len(buf) + 1)[1]
+    with np.errstate(over="ignore"):
+        return (p[at] - p[start]) * inv[start]
 
 
 class Code:
-    """A prefix code of the 257 symbols: for each, the tree nodes passed and the bits taken."""
+    """For every byte before (or BEFORE) a prefix code of the 257 symbols: the tree nodes passed and the bits taken.
+
+    A symbol after a byte is the number ``byte << 9 | symbol``.
+    """
 
     def __init__(self, counts: np.ndarray):
-        heap = [(int(n) + 1, i, i) for i, n in enumerate(counts)]
+        """counts: 256 x 257, of symbols after bytes."""
+        every = counts.sum(axis=0)
+        common = 64 * every // max(1, int(every.sum())) + 1
+        self.length, self.base = np.zeros(1 << CODE_BITS, np.int64), np.zeros(1 << CODE_BITS, np.int64)
+        nodes: list[int] = []
+        bits: list[int] = []
+        plain = None
+        for before in range(256):
+            if plain is None or counts[before].any():
+                paths = self._paths((64 * counts[before] + common).tolist())
+            else:
+                paths = plain
+            if not counts[before].any():
+                plain = paths
+            for s, path in enumerate(paths):
+                self.length[before << 9 | s], self.base[before << 9 | s] = len(path), len(nodes)
+                nodes += [n for n, _ in path]
+                bits += [b for _, b in path]
+        self.tree, self.sign = np.array(nodes, np.int16), np.where(np.array(bits) == 1, 1, -1).astype(np.int8)
+
+    @staticmethod
+    def _paths(counts: list[int]) -> list[list[tuple[int, int]]]:
+        heap = [(n, i, i) for i, n in enumerate(counts)]
         heapq.heapify(heap)
         child: dict[int, tuple[int, int]] = {}
         nodes = END + 1
@@ -76,7 +118,7 @@ class Code:
             child[nodes] = (a, b)
             heapq.heappush(heap, (n + m, nodes, nodes))
             nodes += 1
-        paths: dict[int, list[tuple[int, int]]] = {}
+        paths: list[list[tuple[int, int]]] = [[] for _ in range(END + 1)]
         stack = [(heap[0][2], [])]
         while stack:
             node, path = stack.pop()
@@ -84,80 +126,135 @@ class Code:
                 stack += [(c, [*path, (node - END - 1, bit)]) for bit, c in enumerate(child[node])]
             else:
                 paths[node] = path
-        self.length = np.array([len(paths[s]) for s in range(END + 1)])
-        self.base = np.concatenate(([0], np.cumsum(self.length)[:-1]))
-        flat = [x for s in range(END + 1) for x in paths[s]]
+        return paths
+
+
+def byte_pairs(texts: list[bytes]) -> np.ndarray:
+    """256 x 257 counts of symbols after bytes."""
+    counts = np.zeros(1 << CODE_BITS, np.int64)
+    for some in blocks(texts, limit=LANES):
+        symbols = Symbols(some)
+        counts += np.bincount(symbols.after, minlength=1 << CODE_BITS)
+    return counts.reshape(512, 512)[:256, : END + 1]
+
+
+class Symbols:
+    """The symbols of a block of texts, each text with its end: ``after``, the byte before and the symbol; ``ends``, where each text ends."""
+
+    def __init__(self, texts: list[bytes]):
+        pad = bytes([BEFORE]) * max(ORDERS)
+        self.buf = np.frombuffer(pad + pad.join([*texts, b""]), np.uint8)
+        sizes = np.array([len(t) + 1 for t in texts])
+        self.ends = np.cumsum(sizes)
+        # A text's end takes the place of the first byte of what stands before the next one.
+        begin = np.cumsum(sizes + len(pad) - 1) - (sizes + len(pad) - 1) + len(pad)
+        self.place = spread(begin, sizes)
+        s = self.buf[self.place].astype(np.int64)
+        s[self.ends - 1] = END
+        self.after = self.buf[self.place - 1].astype(np.int64) << 9 | s
+
+    def pairs(self, m: int, bits: int) -> np.ndarray:
+        """One number for each symbol and predictor ``m``'s context: so many bits of the context's hash, the byte before, the symbol."""
         with np.errstate(over="ignore"):
-            self.tree = np.array([n for n, _ in flat], np.int64)
-            self.node = self.tree.astype(np.uint32) * np.uint32(0x9E3779B1)
-        self.bit = np.array([b for _, b in flat], np.float32)
-
-
-def symbols(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """The symbols of all texts, each with its end, and where each text ends."""
-    ends = np.cumsum([len(t) + 1 for t in texts])
-    out = np.frombuffer(b"\0".join([*texts, b""]), np.uint8).astype(np.int64)
-    out[ends - 1] = END
-    return out, ends
-
-
-def contexts(s: np.ndarray, ends: np.ndarray) -> list[np.ndarray]:
-    """A 64-bit hash of each context for every symbol; contexts don't reach into other texts."""
-    begin = np.repeat(ends - np.diff(np.concatenate(([0], ends))), np.diff(np.concatenate(([0], ends))))
-    at = np.arange(len(s))
-    out, key = [], np.zeros(len(s), U64)
-    with np.errstate(over="ignore"):
-        for k in range(1, ORDERS[-1] + 1):
-            before = np.zeros(len(s), U64)
-            before[k:] = s[:-k].astype(U64) + U64(1)
-            before[at - begin < k] = 0
-            key = key | (before << U64(9 * (k - 1)))
-            if k in ORDERS:
-                out.append((key + U64(k) * U64(0x9E3779B97F4A7C15)) * U64(0xD6E8FEB86659FD93))
-        gap = (s == 0x20) | ((s >= 0x09) & (s <= 0x0D))
-        start = np.zeros(len(s), np.int64)
-        start[1:] = np.where(gap[:-1], at[1:], 0)
-        start = np.maximum(np.maximum.accumulate(start), begin)
-        p, inv = prefix_hash((s & 0xFF).astype(np.uint8)), powers(len(s) + 1)[1]
-        word = (p[at] - p[start]) * inv[start]
-        out.append((word + U64(5)) * U64(0xD6E8FEB86659FD93))
-    return out
-
-
-def decisions(s: np.ndarray, n: np.ndarray, code: Code) -> tuple[np.ndarray, np.ndarray]:
-    """For every decision, ``n`` for each symbol: the scrambled tree node, the bit."""
-    first = np.cumsum(n) - n
-    flat = np.arange(int(n.sum())) + np.repeat(code.base[s] - first, n)
-    np.minimum(flat, len(code.node) - 1, out=flat)
-    return code.node.take(flat), code.bit.take(flat)
-
-
-def slots(context: np.ndarray, n: np.ndarray, node: np.ndarray) -> np.ndarray:
-    """Table slots of a context's decisions: ``n`` for each symbol, ``node`` being scrambled tree nodes."""
-    at = np.repeat((context >> U64(32)).astype(np.uint32), n)
-    at += node
-    at *= np.uint32(0x85EBCA6B)
-    at >>= np.uint32(32 - SLOT_BITS)
-    return at.astype(np.intp)
-
-
-def counted(texts: list[bytes], code: Code, out: np.ndarray) -> None:
-    """Add the texts' decisions to ``out``: predictors x (2 * slot + bit)."""
-    for some in blocks(texts, limit=1 << 18):
-        s, ends = symbols(some)
-        n = code.length[s]
-        node, bit = decisions(s, n, code)
-        bit = bit.astype(np.intp)
-        for m, c in enumerate(contexts(s, ends)):
-            at = slots(c, n, node)
-            at *= 2
-            at += bit
-            np.add.at(out[m], at, np.int32(1))
-
+            if m < len(ORDERS):
+                h, width = self._last(ORDERS[m])[self.place], ORDERS[m]
+            else:
+                h, width = words_of(self.buf)[self.place], 0
+            h += U64(width)
+            h *= U64(0x9E3779B97F4A7C15)
+            h ^= h >> U64(32)
+            h *= U64(0xD6E8FEB86659FD93)
+        h >>= U64(64 - bits)
+        h <<= U64(CODE_BITS)
+        h |= self.after.view(U64)
+        return h
+
+    def _last(self, n: int) -> np.ndarray:
+        """The ``n`` bytes before every place as one number; the places before the first text get any."""
+        out, have = np.zeros(len(self.buf), U64), 1
+        out[1:] = self.buf[:-1]
+        while have < n:
+            more = min(have, n - have)
+            longer = out.copy()
+            longer[more:] |= out[:-more] << U64(8 * more)
+            out, have = longer, have + more
+        return out
+
+
+def context_bits(size: int) -> int:
+    """Bits of a context's hash for a corpus of so many bytes; with the byte before, some thousand values for each of its places."""
+    return min(46, max(27, int(size).bit_length() + 4))
+
+
+class Pairs:
+    """For each predictor the distinct pairs of some texts, sorted: ``keys``.
+
+    Without ``times``, ``at`` holds for each block of texts which of them every symbol is; with it, ``counts``
+    holds how often each occurs if the texts count so many times.
+    """
 
-def paired(context: np.ndarray, s: np.ndarray) -> np.ndarray:
-    """One number for context and symbol: 55 bits of the context's hash, 9 of the symbol."""
-    return (context & ~U64(511)) | s.astype(U64)
+    def __init__(self, texts: list[bytes], bits: int, times: np.ndarray | None = None):
+        self.blocks, self.bits = list(blocks(texts, limit=LANES)), bits
+        weights = [None] * len(self.blocks) if times is None else np.split(times, np.cumsum([len(b) for b in self.blocks])[:-1])
+        self.keys, self.at, self.counts = [], [], []
+        for m in range(PREDICTORS):
+            own = [self._block(some, weight, m) for some, weight in zip(self.blocks, weights, strict=True)]
+            keys = distinct(np.concatenate([*(k for k, _ in own), np.zeros(0, U64)]))
+            self.keys.append(keys)
+            places = Places(keys)
+            if times is None:
+                self.at.append([places(k).astype(np.int32)[which] for k, which in own])
+            else:
+                at = [places(k) for k, _ in own]
+                n = np.bincount(np.concatenate([*at, np.zeros(0, np.int64)]), np.concatenate([*(n for _, n in own), np.zeros(0)]), len(keys))
+                self.counts.append(n.astype(np.int64))
+
+    def _block(self, texts: list[bytes], weight: np.ndarray | None, m: int) -> tuple[np.ndarray, np.ndarray]:
+        """The pairs of a block in order, hardly any of them twice, and how often each occurs or, without weights, which one each symbol is."""
+        symbols = Symbols(texts)
+        k = symbols.pairs(m, self.bits)
+        # Pair and place as one number; what doesn't fit are last bits of the symbol, so that equal pairs may lie apart.
+        room = len(k).bit_length()
+        v = k >> U64(max(0, self.bits + CODE_BITS + room - 64))
+        v <<= U64(room)
+        v |= np.arange(len(k), dtype=U64)
+        v.sort()
+        v &= U64((1 << room) - 1)
+        order = v.view(np.int64)
+        k = k[order]
+        new = np.ones(len(k), bool)
+        new[1:] = k[1:] != k[:-1]
+        if weight is not None and (weight == weight[0]).all():
+            return k[new], np.diff(np.flatnonzero(new), append=len(k)) * weight[0]
+        if weight is not None:
+            return k[new], np.add.reduceat(np.repeat(weight, np.diff(symbols.ends, prepend=0))[order], np.flatnonzero(new))
+        which = np.empty(len(k), np.int32)
+        which[order] = np.cumsum(new, dtype=np.int32) - 1
+        return k[new], which
+
+
+class Places:
+    """Where numbers are among sorted keys that hold them all: by their first bits, then a few steps on."""
+
+    def __init__(self, keys: np.ndarray):
+        self.keys = keys
+        most = int(keys[-1]).bit_length() if len(keys) else 0
+        self.shift = U64(max(0, most - len(keys).bit_length()))
+        first = (keys >> self.shift).astype(np.int64)
+        self.begin = np.concatenate(([0], np.cumsum(np.bincount(first)))) if len(keys) else np.zeros(1, np.int64)
+
+    def __call__(self, x: np.ndarray) -> np.ndarray:
+        if len(self.keys) < 1 << 18:
+            return np.searchsorted(self.keys, x)
+        out = self.begin[(x >> self.shift).astype(np.int64)]
+        left = np.flatnonzero(self.keys[out] != x)
+        for _ in range(4):
+            if not len(left):
+                return out
+            out[left] += 1
+            left = left[self.keys[out[left]] != x[left]]
+        out[left] = np.searchsorted(self.keys, x[left])
+        return out
 
 
 def added(keys: list[np.ndarray], n: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -169,30 +266,13 @@ def added(keys: list[np.ndarray], n: list[np.ndarray]) -> tuple[np.ndarray, np.n
     return k[first], np.add.reduceat(n[order], first) if len(first) else n
 
 
-def pair_counts(train: list[bytes], other: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
-    """For each predictor: the pairs of all texts, sorted, and how often each occurs in ``train``."""
-    keys: list[list[np.ndarray]] = [[] for _ in range(PREDICTORS)]
-    counts: list[list[np.ndarray]] = [[] for _ in range(PREDICTORS)]
-    for texts, weight in ((train, 1), (other, 0)):
-        for some in blocks(texts, limit=PAIRS):
-            s, ends = symbols(some)
-            for m, c in enumerate(contexts(s, ends)):
-                k = np.sort(paired(c, s))
-                first = np.flatnonzero(np.concatenate(([True], k[1:] != k[:-1])))
-                keys[m].append(k[first])
-                counts[m].append(weight * np.diff(np.concatenate((first, [len(k)]))))
-                if sum(map(len, keys[m][1:])) > max(8 * PAIRS, len(keys[m][0])):
-                    k, n = added(keys[m], counts[m])
-                    keys[m], counts[m] = [k], [n]
-    return [added(k, n) for k, n in zip(keys, counts, strict=True)]
-
-
 def logit_of(n: np.ndarray, m: np.ndarray) -> np.ndarray:
-    """The logit of a 1 that was met ``m`` times, and a 0 ``n`` times; 0 stands for a decision not met."""
-    logit = np.log((m + np.float32(PRIOR)) / (n + np.float32(PRIOR)))
-    # A decision that was met is never quite 0: that stands for an unknown context.
-    logit[(n + m > 0) & (logit == 0)] = 1e-6
-    return np.clip(logit, -MAP_SPAN, MAP_SPAN).astype(np.float32)
+    """The logit, in parts of UNIT, of a 1 that was met ``m`` times, and a 0 ``n`` times; 0 stands for a decision not met."""
+    logit = np.log((m + PRIOR) / (n + PRIOR))
+    out = np.rint(np.clip(logit, -MAP_SPAN, MAP_SPAN) * UNIT).astype(np.int8)
+    # A decision that was met is never quite 0.
+    out[(n + m > 0) & (out == 0)] = 1
+    return out
 
 
 def spread(begin: np.ndarray, n: np.ndarray) -> np.ndarray:
@@ -200,204 +280,256 @@ def spread(begin: np.ndarray, n: np.ndarray) -> np.ndarray:
     return np.arange(int(n.sum())) + np.repeat(begin - (np.cumsum(n) - n), n)
 
 
+def code_of(keys: np.ndarray) -> np.ndarray:
+    return (keys & U64((1 << CODE_BITS) - 1)).astype(np.int64)
+
+
 def pair_logits(keys: np.ndarray, n: np.ndarray, code: Code) -> np.ndarray:
-    """The logits of each pair's decisions one after the other; ``keys`` are all pairs of their contexts, sorted."""
+    """The logits of each pair's decisions, as seen from those taken, one after the other; ``keys`` are all pairs of their contexts, sorted."""
     context = np.concatenate((np.zeros(min(1, len(keys)), np.int64), np.cumsum(keys[1:] >> U64(9) != keys[:-1] >> U64(9))))
-    out, begin = [np.zeros(0, np.float32)], 0
+    out, begin = [np.zeros(0, np.int8)], 0
     while begin < len(keys):
-        end = min(begin + PAIRS, len(keys))
+        end = min(begin + LANES, len(keys))
         end = int(np.searchsorted(context, context[end - 1], "right"))
-        s = (keys[begin:end] & U64(511)).astype(np.int64)
+        s = code_of(keys[begin:end])
         size = code.length[s]
         flat = spread(code.base[s], size)
-        at = np.repeat(context[begin:end] - context[begin], size) * (END + 1) + code.tree[flat]
-        one, times = code.bit[flat] == 1, np.repeat(n[begin:end], size)
-        order = np.argsort(at)
+        at = np.repeat(context[begin:end] - context[begin], size) << 8 | code.tree[flat]
+        sign, times = code.sign[flat], np.repeat(n[begin:end], size)
+        order = np.argsort(at, kind="stable")
         first = np.flatnonzero(np.concatenate(([True], np.diff(at[order]) != 0)))
-        logit = logit_of(*(np.add.reduceat(np.where(b, times, 0)[order], first).astype(np.float64) for b in (~one, one)))
-        own = np.empty(len(at), np.float32)
+        logit = logit_of(*(np.add.reduceat(np.where(sign == b, times, 0)[order], first).astype(np.float64) for b in (-1, 1)))
+        own = np.empty(len(at), np.int8)
         own[order] = np.repeat(logit, np.diff(np.concatenate((first, [len(at)]))))
+        own *= sign
         out.append(own)
         begin = end
     return np.concatenate(out)
 
 
-class Known:
-    """For each predictor, sorted pairs and the logits of their decisions, one after the other."""
-
-    def __init__(self, code: Code, keys: list[np.ndarray], logits: list[np.ndarray]):
-        self.keys, self.logits = keys, logits
-        sizes = [code.length[(k & U64(511)).astype(np.int64)] for k in keys]
-        for n, x in zip(sizes, logits, strict=True):
-            if n.sum() != len(x):
-                raise ValueError("pairs and logits don't belong together")
-        self.first = [np.cumsum(n) - n for n in sizes]
-
-    def take(self, m: int, context: np.ndarray, s: np.ndarray, n: np.ndarray, node: np.ndarray, out: np.ndarray) -> None:
-        """The logits of the decisions, ``n`` for each symbol; all pairs must be among the keys."""
-        k = paired(context, s)
-        order = np.argsort(k)
-        begin = np.empty(len(k), np.int64)
-        begin[order] = self.first[m][np.searchsorted(self.keys[m], k[order])]
-        self.logits[m].take(spread(begin, n), out=out, mode="clip")
+def taken(logits: np.ndarray, keys: np.ndarray, some: np.ndarray, code: Code) -> np.ndarray:
+    """The part of the logits of all ``keys`` that belongs to ``some`` of them."""
+    size = code.length[code_of(keys)]
+    at = Places(keys)(some)
+    return logits[spread((np.cumsum(size) - size)[at], size[at])]
 
 
-class Slots:
-    """Logits from a table of counts: predictors x slots x 2 counts of the decision's bit."""
-
-    def __init__(self, table: np.ndarray):
-        n = table.reshape(PREDICTORS, -1, 2)
-        self.logit = [logit_of(x[:, 0], x[:, 1]) for x in n]
-
-    def take(self, m: int, context: np.ndarray, s: np.ndarray, n: np.ndarray, node: np.ndarray, out: np.ndarray) -> None:
-        self.logit[m].take(slots(context, n, node), out=out, mode="clip")
+def steps(longest: int) -> np.ndarray:
+    """Where each step of a text of ``longest`` symbols begins, and where the last one ends."""
+    out = [0]
+    while out[-1] < longest:
+        out.append(out[-1] + max(FIRST, int(out[-1] * GROWTH)))
+    return np.array(out)
 
 
 class Model:
-    def __init__(self, byte_counts: np.ndarray, known: Known | np.ndarray):
-        """known: what gives logits, or a table of counts."""
-        self.code = Code(byte_counts)
-        self.known = Slots(known) if isinstance(known, np.ndarray) else known
+    """Scores texts by the logits of their pairs' decisions, for each predictor those of one pair after the other."""
 
-    def scores(self, texts: list[bytes]) -> np.ndarray:
+    def __init__(self, code: Code, pairs: Pairs, logits: list[np.ndarray]):
+        self.code, self.pairs, self.logits, self.first = code, pairs, logits, []
+        for k, x in zip(pairs.keys, logits, strict=True):
+            n = code.length[code_of(k)]
+            if n.sum() != len(x):
+                raise ValueError("pairs and logits don't belong together")
+            self.first.append((np.cumsum(n) - n).astype(np.int32 if len(x) < 2**31 else np.int64))
+
+    @classmethod
+    def trained(cls, train: list[bytes], texts: list[bytes]) -> Model:
+        """A model of the training texts that scores ``texts``."""
+        bits = context_bits(sum(map(len, train)))
+        code, own, logits = Code(byte_pairs(train)), Pairs(texts, bits), []
+        all_ = Pairs([*train, *texts], bits, np.repeat([1, 0], [len(train), len(texts)]))
+        for k, every, n in zip(own.keys, all_.keys, all_.counts, strict=True):
+            logits.append(taken(pair_logits(every, n, code), every, k, code))
+        return cls(code, own, logits)
+
+    def scores(self) -> np.ndarray:
         """log10 of the probability of each text."""
-        parts = [self._mixed(some) for some in blocks(texts, limit=LANES)]
+        parts = [self._mixed(i, some) for i, some in enumerate(self.pairs.blocks)]
         return np.concatenate(parts) if parts else np.zeros(0)
 
-    def _mixed(self, texts: list[bytes]) -> np.ndarray:
-        s, ends = symbols(texts)
-        # Lanes are segments of each text, filled up to whole steps.
-        sizes = np.diff(np.concatenate(([0], ends)))
-        pieces = -(-sizes // SEGMENT)
-        nth = np.arange(int(pieces.sum())) - np.repeat(np.cumsum(pieces) - pieces, pieces)
-        begin = np.repeat(ends - sizes, pieces) + nth * SEGMENT
-        n = self.code.length[s]
-        own = np.add.reduceat(n, begin)
-        fill = -own % STEP
-        n[np.concatenate((begin[1:], [len(s)])) - 1] += fill
-        length = own + fill
-        first = np.cumsum(length) - length
-        filler = np.repeat(first + own, fill) + np.arange(int(fill.sum())) - np.repeat(np.cumsum(fill) - fill, fill)
-        node, bit = decisions(s, n, self.code)
-        bit[filler] = 0.5
-        x = np.empty((PREDICTORS, len(node)), np.float32)
-        known = np.zeros(len(node) // STEP, np.int64)
-        for m, c in enumerate(contexts(s, ends)):
-            self.known.take(m, c, s, n, node, x[m])
-            x[m][filler] = 0
-            known += x[m][::STEP] != 0
-        order = np.argsort(-length, kind="stable")
-        logits, refined = self._mix(x.reshape(PREDICTORS, -1, STEP), bit.reshape(-1, STEP), known, first[order] // STEP, length[order] // STEP)
-        p = 0.5 / (1 + np.exp(-logits)) + 0.5 * refined
-        p = np.abs(1 - bit - p.ravel()).astype(np.float64)
-        p[filler] = 1
-        return np.add.reduceat(np.log10(p), first[nth == 0])
+    def _mixed(self, block: int, texts: list[bytes]) -> np.ndarray:
+        symbols = Symbols(texts)
+        sizes = np.diff(symbols.ends, prepend=0)
+        order = np.argsort(-sizes, kind="stable")
+        size, begin = sizes[order], (symbols.ends - sizes)[order]
+        # Symbols by step, then by text, the longest first: a step of all texts that reach it is one slice.
+        cut = steps(int(size[0]))
+        active = np.searchsorted(-size, -cut[:-1], "left")
+        lens = [np.minimum(size[:n], b) - a for n, a, b in zip(active, cut[:-1], cut[1:], strict=True)]
+        upto = np.concatenate(([0], np.cumsum([x.sum() for x in lens])))
+        where = spread(np.concatenate([begin[:n] + a for n, a in zip(active, cut[:-1], strict=True)]), np.concatenate(lens))
+        n = self.code.length.take(symbols.after.take(where))
+        first = np.concatenate(([0], np.cumsum(n)))
+        within = np.arange(first[-1]) - np.repeat(first[:-1], n)
+        lane = np.repeat(np.repeat(np.concatenate([np.arange(k) for k in active]), np.concatenate(lens)), n)
+        row, x = lane * GATES, np.empty((PREDICTORS, first[-1]), np.float32)
+        for m, (begins, logits) in enumerate(zip(self.first, self.logits, strict=True)):
+            at = np.repeat(begins.take(self.pairs.at[m][block].take(where)), n)
+            logit = logits.take(at + within)
+            row += logit != 0
+            np.multiply(logit, np.float32(1 / UNIT), out=x[m])
+        p = self._mix(x, row, lane, first[upto], active, cut)
+        out = np.empty(len(size))
+        out[order] = np.bincount(lane, np.log(p), len(size)) / np.log(10)
+        return out
 
     @staticmethod
-    def _mix(x: np.ndarray, bit: np.ndarray, known: np.ndarray, first: np.ndarray, count: np.ndarray):
-        """Advance all lanes by one step at a time; lanes are ordered by falling ``count``.
-
-        Returns for each decision the mixed logit and the refined probability of a 1.
-        """
-        lanes, gates = len(first), len(START)
-        weights = np.tile(START, (lanes, 1)).T.copy()
-        curve = np.tile((1 / (1 + np.exp(-np.linspace(-MAP_SPAN, MAP_SPAN, MAP_STEPS)))).astype(np.float32), lanes)
-        lane_gate, lane_map = np.arange(lanes) * gates, (np.arange(lanes) * MAP_STEPS)[:, None]
-        logits, refined = np.empty(bit.shape, np.float32), np.empty(bit.shape, np.float32)
-        active = np.searchsorted(-count, -np.arange(1, count[0] + 1), "right")
-        scale, most = np.float32((MAP_STEPS - 1) / (2 * MAP_SPAN)), np.float32(MAP_SPAN - 0.01)
-        for t, n in enumerate(active.tolist()):
-            at = first[:n] + t
-            inputs = x.take(at, 1)
-            row = lane_gate[:n] + known.take(at)
-            w = weights.take(row, 1)
-            z = inputs[0] * w[0][:, None]
-            for m in range(1, PREDICTORS):
-                z += inputs[m] * w[m][:, None]
-            np.clip(z, -most, most, out=z)
-            b = bit.take(at, 0)
-            step = (b - 1 / (1 + np.exp(-z))) * np.float32(RATE)
-            for m in range(PREDICTORS):
-                w[m] += np.einsum("ij,ij->i", inputs[m], step)
-            weights[:, row] = w
-            where = (z + np.float32(MAP_SPAN)) * scale
-            low = where.astype(np.intp)
-            part = where - low
-            low += lane_map[:n]
+    def _mix(x: np.ndarray, row: np.ndarray, lane: np.ndarray, upto: np.ndarray, active: np.ndarray, cut: np.ndarray) -> np.ndarray:
+        """The probability of each decision; ``upto`` are the bounds of the steps."""
+        lanes = int(active[0])
+        weights = [np.tile(np.array(START[:GATES], np.float32), lanes) for _ in range(PREDICTORS)]
+        curve = np.tile((1 / (1 + np.exp(-np.linspace(0, MAP_SPAN, MAP_STEPS)))).astype(np.float32), lanes)
+        out = np.empty(len(row), np.float32)
+        scale, most, half = np.float32((MAP_STEPS - 1) / MAP_SPAN), np.float32(MAP_SPAN - 0.01), np.float32(0.5)
+        for n, a, b, width in zip(active.tolist(), upto[:-1].tolist(), upto[1:].tolist(), np.diff(cut).tolist(), strict=True):
+            at, inputs = row[a:b], [v[a:b] for v in x]
+            z = inputs[0] * weights[0].take(at)
+            for v, w in zip(inputs[1:], weights[1:], strict=True):
+                z += v * w.take(at)
+            np.minimum(z, most, out=z)
+            np.maximum(z, -most, out=z)
+            mixed = np.exp(-z)
+            mixed += np.float32(1)
+            np.reciprocal(mixed, out=mixed)
+            error = (np.float32(1) - mixed) * np.float32(RATE * (FIRST / width) ** RATE_POWER)
+            for v, w in zip(inputs, weights, strict=True):
+                w[: n * GATES] += np.bincount(at, v * error, n * GATES)
+            # The favoured side's probability by the size of the logit; each cell moves towards the mean of what it met.
+            favoured = z > 0
+            np.abs(z, out=z)
+            z *= scale
+            low = np.floor(z)
+            z -= low
+            low = low.astype(np.int64)
+            low += lane[a:b] * MAP_STEPS
             p = curve.take(low)
-            q = curve.take(low + 1)
-            refined[at] = p + (q - p) * part
-            nearer = part > 0.5
-            p = np.where(nearer, q, p)
-            curve[low + nearer] = p + (b - p) * np.float32(MAP_RATE)
-            logits[at] = z
-        return logits, np.clip(refined, 1e-4, 1 - 1e-4)
+            low += 1
+            q = curve.take(low)
+            further = z > half
+            met = np.where(further, q, p)
+            q -= p
+            q *= z
+            q += p
+            np.minimum(q, np.float32(1 - 1e-4), out=q)
+            low -= ~further
+            out[a:b] = mixed * half + np.where(favoured, q, 1 - q) * half
+            times = np.bincount(low, minlength=n * MAP_STEPS)
+            missed = np.bincount(low, favoured - met, n * MAP_STEPS)
+            curve[: n * MAP_STEPS] += missed * ((1 - (1 - MAP_RATE) ** times) / np.maximum(times, 1))
+            curve[: n * MAP_STEPS : MAP_STEPS] = half
+        return out
 
 
 # ---- the distributed operator ------------------------------------------------------------
 
 
 def _dealt(docs: DataFrame) -> DataFrame:
+    """doc_id, held_out, body, and the body's digest ``key``."""
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), utf8().alias("body"))
     fold = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(FOLDS))
-    return d.withColumn("held_out", F.coalesce(fold == HELD_OUT, F.lit(True)))
+    return d.withColumn("held_out", F.coalesce(fold == HELD_OUT, F.lit(True))).withColumn("key", F.unhex(F.md5("body")))
 
 
-def corpus(d: DataFrame) -> tuple[np.ndarray, int, int]:
-    """Symbol counts of the training documents; how many these are; bytes of all documents."""
+def in_buckets(d: DataFrame, buckets: int) -> DataFrame:
+    """(bucket, key, body, times): compressed texts and how many training rows have them; equal ones meet in a bucket.
+
+    Equal texts of a batch are one row already, so that a group of copies crosses the network once a batch.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, n, size = np.zeros(END + 1, np.int64), 0, 0
+        small = zstandard.ZstdCompressor(level=1).compress
         for b in batches:
-            for body, out in zip(b["body"].to_pylist(), b["held_out"].to_pylist(), strict=True):
-                size += len(body)
-                if not out:
-                    counts[:END] += np.bincount(np.frombuffer(body, np.uint8), minlength=END)
-                    n += 1
-        counts[END] = n
-        yield pa.RecordBatch.from_arrays([pa.array([*range(END + 1), -1]), pa.array([*counts.tolist(), size])], names=["symbol", "n"])
+            first: dict[bytes, int] = {}
+            which = [first.setdefault(k, len(first)) for k in b["key"].to_pylist()]
+            at = np.unique(which, return_index=True)[1] if which else np.zeros(0, np.int64)
+            times = np.bincount(which, ~b["held_out"].to_numpy(zero_copy_only=False), len(first)) if which else at
+            bodies = [small(x.as_py()) for x in b["body"].take(pa.array(at))]
+            yield pa.RecordBatch.from_arrays([pa.array(list(first), pa.binary()), pa.array(bodies, pa.binary()), pa.array(times.astype(np.int64))], names=["key", "body", "times"])
 
-    rows = d.select("body", "held_out").mapInArrow(run, "symbol long, n long").groupBy("symbol").agg(F.sum("n").alias("n")).collect()
-    found = {r.symbol: r.n for r in rows}  # 258 rows at most
-    counts = np.array([found.get(s, 0) for s in range(END + 1)])
-    return counts, int(counts[END]), found.get(-1, 0)
+    out = d.select("key", "body", "held_out").mapInArrow(run, "key binary, body binary, times long")
+    return out.withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(buckets)).cast("int"))
+
+
+def merged(t: pa.Table) -> tuple[list[bytes], list[bytes], np.ndarray]:
+    """Distinct digests, their texts, and the sum of each one's ``times``."""
+    first: dict[bytes, int] = {}
+    which = [first.setdefault(k, len(first)) for k in t["key"].to_pylist()]
+    at = np.unique(which, return_index=True)[1]
+    whole = zstandard.ZstdDecompressor().decompress
+    return list(first), [whole(x) for x in t["body"].take(pa.array(at)).to_pylist()], np.bincount(which, t["times"].to_numpy()).astype(np.int64)
+
+
+def corpus(d: DataFrame) -> tuple[np.ndarray, int, int]:
+    """Byte pairs of the training documents; how many these are; bytes of all documents."""
+    schema = pa.schema([("pair", pa.int32()), ("n", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts, size = np.zeros((256, END + 1), np.int64), 0
+        for b in batches:
+            bodies = b["body"].to_pylist()
+            size += sum(map(len, bodies))
+            counts += byte_pairs([body for body, out in zip(bodies, b["held_out"].to_pylist(), strict=True) if not out])
+        at = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array([*at.tolist(), -1], pa.int32()), pa.array([*counts.ravel()[at].tolist(), size], pa.int64())], schema=schema)
+        release()
+
+    rows = d.select("body", "held_out").mapInArrow(run, "pair int, n long").groupBy("pair").agg(F.sum("n").alias("n")).collect()
+    found = {r.pair: r.n for r in rows}  # 65,793 rows at most
+    size = found.pop(-1, 0)
+    counts = np.zeros(256 * (END + 1), np.int64)
+    counts[list(found)] = list(found.values())
+    counts = counts.reshape(256, END + 1)
+    return counts, int(counts[:, END].sum()), size
 
 
 def word_hashes(texts: list[bytes]) -> Words:
     return Words([t.lower() for t in texts])
 
 
-ROWS = pa.schema([("kind", pa.int32()), ("key", pa.int64()), ("bucket", pa.int32()), ("n", pa.int64()), ("pairs", pa.binary()), ("counts", pa.binary())])
+def range_of(k: np.ndarray, bits: int, buckets: int) -> np.ndarray:
+    """Which of ``buckets`` ranges numbers of so many bits fall into; a context's pairs, whose last 9 bits differ, fall into one."""
+    return ((k >> U64(bits - 32)) * U64(buckets) >> U64(32)).astype(np.int64)
 
 
-def gathered(d: DataFrame, buckets: int) -> DataFrame:
-    """From bucketed documents (bucket, body, held_out): rows (kind, key, bucket, n, pairs, counts).
+def gathered(texts: DataFrame, buckets: int, bits: int) -> DataFrame:
+    """From (bucket, key, body, times): rows (range, bucket, pairs, counts).
 
-    kind 0: the bucket's pairs of context and symbol of range ``key``, compressed, and their occurrences in training
-    documents, possibly none; the ranges are predictors x buckets.  kind 1: a word of the bucket and its occurrences ``n`` likewise.
+    Compressed, a bucket's pairs of one predictor, or after the predictors its words, that fall into the range, and how often
+    each is learnt from, possibly never.  There are (predictors + 1) x buckets ranges.
     """
+    schema = pa.schema([("range", pa.int64()), ("bucket", pa.int32()), ("pairs", pa.binary()), ("counts", pa.binary())])
 
     def run(t: pa.Table) -> pa.Table:
-        bodies, out, bucket = t["body"].to_pylist(), t["held_out"].to_pylist(), t["bucket"][0].as_py()
-        train, rest = ([b for b, o in zip(bodies, out, strict=True) if o == x] for x in (False, True))
+        bucket = t["bucket"][0].as_py()
+        _, bodies, times = merged(t)
+        # Texts that count alike are next to each other, so that few blocks have to add up different counts.
+        order = np.argsort(times, kind="stable")
+        bodies, times = [bodies[i] for i in order.tolist()], times[order]
+        p = Pairs(bodies, bits, times)
         ranges, pairs, counts = [], [], []
-        for m, (k, n) in enumerate(pair_counts(train, rest)):
-            # Contexts stay whole: their hashes' upper halves make the range.
-            own = (k >> U64(32)) * U64(buckets) >> U64(32)
+        for m, (k, n) in enumerate([*zip(p.keys, p.counts, strict=True), word_counts(bodies, times)]):
+            own = range_of(k, bits + CODE_BITS if m < PREDICTORS else 64, buckets)
             first = np.flatnonzero(np.concatenate((np.ones(min(1, len(k)), bool), own[1:] != own[:-1])))
             for a, b in zip(first.tolist(), [*first[1:].tolist(), len(k)], strict=True):
                 ranges.append(m * buckets + int(own[a]))
                 pairs.append(packed(np.diff(k[a:b], prepend=U64(0))))
                 counts.append(squeezed(n[a:b]))
-        seen = _distinct(train)
-        other = _distinct(rest)[0]
-        other = other[~np.isin(other, seen[0])]
-        key = np.concatenate((np.array(ranges, np.int64), seen[0], other))
-        n = np.concatenate((np.zeros(len(ranges), np.int64), seen[1], np.zeros(len(other), np.int64)))
-        kind, none = (np.arange(len(key)) >= len(ranges)).astype(np.int32), [None] * (len(key) - len(ranges))
-        return pa.table([pa.array(kind), pa.array(key), pa.array(np.full(len(key), bucket, np.int32)), pa.array(n), pa.array(pairs + none, pa.binary()), pa.array(counts + none, pa.binary())], schema=ROWS)
+        release()
+        return pa.table([pa.array(ranges, pa.int64()), pa.array(np.full(len(ranges), bucket, np.int32)), pa.array(pairs, pa.binary()), pa.array(counts, pa.binary())], schema=schema)
 
-    return d.groupBy("bucket").applyInArrow(run, "kind int, key long, bucket int, n long, pairs binary, counts binary")
+    return texts.groupBy("bucket").applyInArrow(run, "range long, bucket int, pairs binary, counts binary")
+
+
+def word_counts(texts: list[bytes], times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct words' hashes, sorted, and how often each occurs if the texts count so many times."""
+    keys, counts, done = [], [], 0
+    for some in blocks(texts):
+        w = word_hashes(some)
+        k, n = added([w.hash], [np.repeat(times[done : done + len(some)], np.diff(w.first))])
+        keys.append(k), counts.append(n)
+        done += len(some)
+    return added(keys, counts)
 
 
 def packed(x: np.ndarray) -> bytes:
@@ -423,77 +555,78 @@ def stretched(b: bytes, size: int) -> np.ndarray:
     return x
 
 
-def answered(rows: DataFrame, code: Code) -> DataFrame:
-    """(key, bucket, logits): for each range and bucket, the logits of the bucket's pairs by the counts of all buckets."""
-    schema = pa.schema([("key", pa.int64()), ("bucket", pa.int32()), ("logits", pa.binary())])
+def summed(t: pa.Table) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """The pairs of each row of a range, all of them, and the sums of their counts."""
+    pairs = [np.cumsum(unpacked(x.as_py(), U64), dtype=U64) for x in t["pairs"]]
+    return pairs, *added(pairs, [stretched(x.as_py(), len(p)) for x, p in zip(t["counts"], pairs, strict=True)])
 
-    def run(t: pa.Table) -> pa.Table:
-        pairs = [np.cumsum(unpacked(x.as_py(), U64), dtype=U64) for x in t["pairs"]]
-        keys, n = added(pairs, [stretched(x.as_py(), len(p)) for x, p in zip(t["counts"], pairs, strict=True)])
-        logits = pair_logits(keys, n, code)
-        size = code.length[(keys & U64(511)).astype(np.int64)]
-        first, out = np.cumsum(size) - size, []
-        for p in pairs:
-            at = np.searchsorted(keys, p)
-            out.append(packed(logits[spread(first[at], size[at])]))
-        return pa.table([t["key"], t["bucket"], pa.array(out, pa.binary())], schema=schema)
 
-    return rows.where("kind = 0").select("key", "bucket", "pairs", "counts").groupBy("key").applyInArrow(run, "key long, bucket int, logits binary")
+def answered(rows: DataFrame, code: Code, buckets: int) -> DataFrame:
+    """(range, bucket, answer, words): for each row of ``gathered`` the logits of its pairs, or the counts of its words, by what all buckets sent.
 
+    The first bucket that sent words of a range gets the number of different training words in it, the others 0.
+    """
+    schema = pa.schema([("range", pa.int64()), ("bucket", pa.int32()), ("answer", pa.binary()), ("words", pa.int64())])
+
+    def run(t: pa.Table) -> pa.Table:
+        pairs, keys, n = summed(t)
+        bucket, words = t["bucket"].to_numpy(), np.zeros(len(t), np.int64)
+        if t["range"][0].as_py() >= PREDICTORS * buckets:
+            out = [squeezed(n[np.searchsorted(keys, p)]) for p in pairs]
+            words[np.argmin(bucket)] = (n > 0).sum()
+        else:
+            logits = pair_logits(keys, n, code)
+            out = [packed(taken(logits, keys, p, code)) for p in pairs]
+        return pa.table([t["range"], t["bucket"], pa.array(out, pa.binary()), pa.array(words)], schema=schema)
 
-def _distinct(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    parts = [word_hashes(some).hash.view(np.int64) for some in blocks(texts)]
-    return np.unique(np.concatenate([*parts, np.zeros(0, np.int64)]), return_counts=True)
+    return rows.groupBy("range").applyInArrow(run, "range long, bucket int, answer binary, words long")
 
 
-SCHEMA = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, bits_per_byte double"
+SCHEMA = "key binary, times long, words long, n_tokens long, n_known long, seen double, score double, bits_per_byte double"
 
 
 def scored(docs: DataFrame, bucket_bytes: int = BUCKET) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte of every row."""
-    spark = docs.sparkSession
     d = _dealt(docs)
-    symbol_counts, n_train, size = corpus(d)
-    buckets = int(size // bucket_bytes) + 1
-    d = d.withColumn("bucket", F.pmod(F.xxhash64("doc_id", F.length("body")), F.lit(buckets)).cast("int"))
-    rows = materialize(gathered(d.select("bucket", "body", "held_out"), buckets), "counts")
-    words = rows.where("kind = 1").select(F.col("key").alias("word"), "bucket", "n")
-    totals = materialize(words.groupBy("word").agg(F.sum("n").alias("c")), "words")
-    known = totals.where("c > 0").agg(F.sum("c").alias("n"), F.count("*").alias("v")).first()
-    n_all, distinct = (known.n or 0) + n_train, known.v + (n_train > 0)
-    code = Code(symbol_counts)
-    # A bucket's rows go back to it: one for each of its words, one for each range that it has pairs of.
-    back = words.select("word", "bucket").join(totals, "word").select("bucket", "word", "c", F.lit(None).cast("binary").alias("logits"))
-    back = back.unionAll(answered(rows, code).select("bucket", "key", F.lit(0).cast("long"), "logits"))
-
-    def run(texts: pa.Table, given: pa.Table) -> pa.Table:
-        is_word = pc.is_null(given["logits"])
-        counts, ranges = given.filter(is_word), given.filter(pc.invert(is_word)).sort_by("word")
-        order = np.argsort(counts["word"].to_numpy(), kind="stable")
-        word, c = counts["word"].to_numpy()[order], counts["c"].to_numpy()[order]
-        bodies = texts["body"].to_pylist()
-        n_tokens, n_known, base = base_scores(bodies, word, c, n_train, n_all, distinct)
-        logits: list[list[np.ndarray]] = [[] for _ in range(PREDICTORS)]
-        for key, x in zip(ranges["word"].to_pylist(), ranges["logits"], strict=True):
-            logits[key // buckets].append(unpacked(x.as_py(), np.float32))
-        known = Known(code, [k for k, _ in pair_counts([], bodies)], [np.concatenate(x) for x in logits])
-        score = Model(symbol_counts, known).scores(bodies)
-        bits = -score / np.log10(2) / np.maximum(1, [len(b) for b in bodies])
-        return pa.table({"doc_id": texts["doc_id"], "held_out": texts["held_out"], "n_tokens": pa.array(n_tokens), "n_known": pa.array(n_known), "train_tokens": pa.array(np.full(len(bodies), n_all)), "base_score": pa.array(base), "score": pa.array(score), "bits_per_byte": pa.array(bits)})
-
-    return d.groupBy("bucket").cogroup(back.groupBy("bucket")).applyInArrow(run, SCHEMA)
-
-
-def base_scores(texts: list[bytes], word: np.ndarray, c: np.ndarray, n_train: int, n_all: int, distinct: int):
-    """Tokens, known tokens and unigram log10 probability of each text; ``word`` is sorted."""
-    n_tokens, n_known, base = [], [], []
-    each = np.log10((c + 1) / (n_all + distinct + 1))
-    end = np.log10((n_train + 1) / (n_all + distinct + 1))
+    counts, n_train, size = corpus(d)
+    buckets, bits, code = int(size // bucket_bytes) + 1, context_bits(size), Code(counts)
+    texts = in_buckets(d, buckets)
+
+    def run(t: pa.Table, given: pa.Table) -> pa.Table:
+        keys, bodies, times = merged(t)
+        answers: list[list[bytes]] = [[] for _ in range(PREDICTORS + 1)]
+        for i in np.argsort(given["range"].to_numpy()).tolist():
+            answers[given["range"][i].as_py() // buckets].append(given["answer"][i].as_py())
+        n_tokens, n_known, seen = base_scores(bodies, answers.pop(), buckets, n_train)
+        logits = [np.concatenate([np.zeros(0, np.int8), *(unpacked(x, np.int8) for x in own)]) for own in answers]
+        score = Model(code, Pairs(bodies, bits), logits).scores()
+        per_byte = -score / np.log10(2) / np.maximum(1, [len(b) for b in bodies])
+        words = np.zeros(len(keys), np.int64)
+        words[0] = given["words"].to_numpy().sum()
+        out = pa.table({"key": pa.array(keys, pa.binary()), "times": times, "words": words, "n_tokens": n_tokens, "n_known": n_known, "seen": seen, "score": score, "bits_per_byte": per_byte})
+        release()
+        return out
+
+    given = answered(gathered(texts, buckets, bits), code, buckets)
+    by_text = materialize(texts.groupBy("bucket").cogroup(given.groupBy("bucket")).applyInArrow(run, SCHEMA), "scores")
+    r = by_text.agg(F.coalesce(F.sum(F.col("times") * F.col("n_tokens")), F.lit(0)).alias("n"), F.coalesce(F.sum("words"), F.lit(0)).alias("v")).first()
+    least = float(np.log10(r.n + r.v + (n_train > 0) + 1))
+    out = d.select("doc_id", "held_out", "key").join(by_text, "key")
+    return out.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(r.n).cast("long").alias("train_tokens"), (F.col("seen") - F.col("n_tokens") * least).alias("base_score"), "score", "bits_per_byte")
+
+
+def base_scores(texts: list[bytes], answers: list[bytes], buckets: int, n_train: int):
+    """Tokens, known tokens, and the sum of log10(count + 1) of each text; ``answers`` are the counts of the texts' words by range."""
+    word = word_counts(texts, np.zeros(len(texts), np.int64))[0]
+    sizes = np.bincount(range_of(word, 64, buckets), minlength=buckets)
+    c = np.concatenate([np.zeros(0, np.int64), *(stretched(x, n) for x, n in zip(answers, sizes[sizes > 0].tolist(), strict=True))])
+    n_tokens, n_known, seen = [], [], []
+    each, end = np.log10(c + 1), np.log10(n_train + 1)
     for some in blocks(texts):
         w = word_hashes(some)
-        at = np.searchsorted(word, w.hash.view(np.int64))
+        at = np.searchsorted(word, w.hash)
         doc = np.repeat(np.arange(len(some)), np.diff(w.first))
         n_tokens.append(np.diff(w.first) + 1)
         n_known.append(np.bincount(doc[c[at] > 0], minlength=len(some)) + (n_train > 0))
-        base.append(np.bincount(doc, each[at], len(some)) + end)
-    return tuple(np.concatenate(x) if x else np.zeros(0) for x in (n_tokens, n_known, base))
+        seen.append(np.bincount(doc, each[at], len(some)) + end)
+    return tuple(np.concatenate(x) if x else np.zeros(0) for x in (n_tokens, n_known, seen))

@@ -11,8 +11,9 @@ steps (4,096 hash buckets per source, then inside a bucket), so that a source wi
 a third of all rows is spread over as many tasks as any other.
 
 Defined results: null text has size 0; a null source is a source of its own, last in
-order; rows with equal doc_id and source are told apart by their size, and equal
-rows get equal places; empty tables give no rows; other columns are ignored.
+order; rows with equal doc_id and source are told apart by size and text, and each has a place of its own;
+empty tables give no rows; other columns are ignored.  Of rows that agree in doc_id, source and text, the mix
+holds one of them (by a hash of all columns) as often as all of them are taken.
 """
 
 from __future__ import annotations
@@ -30,6 +31,11 @@ def words(text: str = "text"):
     return F.coalesce(F.regexp_count(F.col(text).cast("string"), F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def text_key(text: str = "text"):
+    """Tells texts of one doc_id apart."""
+    return F.xxhash64(F.coalesce(F.col(text).cast("string"), F.lit("")))
+
+
 def targets(sizes: DataFrame, weights=WEIGHTS, share: float = 1.5, cap: float = 2.0, slopes=SLOPES) -> DataFrame:
     """From (source, source_size), one row a source: add weight, slope and target.
 
@@ -59,13 +65,13 @@ def targets(sizes: DataFrame, weights=WEIGHTS, share: float = 1.5, cap: float =
 
 
 def plan(docs: DataFrame, weights=WEIGHTS, share: float = 1.5, cap: float = 2.0, slopes=SLOPES) -> DataFrame:
-    """One row a document: doc_id, source, size, source_size, target, taken, offset, slope, position.
+    """One row a document: doc_id, source, size, source_size, target, taken, offset, slope, position, text_key.
 
     offset: words of the source before the document, in the order of md5(doc_id).
     position: the training time, in [0, 1], of the document's first words that are taken
     (null if none are).  The last pass over a source may take only a document's first words.
     """
-    d = docs.select(F.col("doc_id"), F.col("source"), words().alias("size"))
+    d = docs.select(F.col("doc_id"), F.col("source"), words().alias("size"), text_key().alias("text_key"))
     d = d.withColumn("_key", F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))).withColumn("_bucket", F.substring("_key", 1, 3))
     d = d.withColumn("_src", F.struct(F.col("source").isNull().alias("none"), F.coalesce(F.col("source").cast("string"), F.lit("")).alias("name")))
     buckets = d.groupBy("_src", "_bucket").agg(F.first("source").alias("source"), F.sum("size").alias("_sum"))
@@ -73,7 +79,7 @@ def plan(docs: DataFrame, weights=WEIGHTS, share: float = 1.5, cap: float = 2.0,
     before = Window.partitionBy("_src").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     buckets = buckets.withColumn("_before", F.sum("_sum").over(before) - F.col("_sum"))
     buckets = buckets.join(goal, buckets["source"].eqNullSafe(goal["source"])).select("_src", "_bucket", "_before", "source_size", "target", "slope")
-    inside = Window.partitionBy("_src", "_bucket").orderBy("_key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    inside = Window.partitionBy("_src", "_bucket").orderBy("_key", "doc_id", "size", "text_key").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     d = d.withColumn("_in", F.sum("size").over(inside) - F.col("size")).join(buckets, ["_src", "_bucket"])
     d = d.withColumn("offset", F.col("_before") + F.col("_in"))
     whole = F.floor("target").cast("long")
@@ -81,7 +87,7 @@ def plan(docs: DataFrame, weights=WEIGHTS, share: float = 1.5, cap: float = 2.0,
     d = d.withColumn("_passes", passes).withColumn("_rest", whole - F.col("_passes") * F.col("source_size"))
     d = d.withColumn("taken", F.col("_passes") * F.col("size") + F.greatest(F.lit(0), F.least(F.col("_rest") - F.col("offset"), F.col("size"))))
     d = d.withColumn("position", F.when(F.col("taken") > 0, arrival(F.col("offset") / F.col("target"), F.col("slope"))))
-    return d.select("doc_id", "source", "size", "source_size", "target", "taken", "offset", "slope", "position")
+    return d.select("doc_id", "source", "size", "source_size", "target", "taken", "offset", "slope", "position", "text_key")
 
 
 def arrival(share, slope):
@@ -103,16 +109,15 @@ def mixed(docs: DataFrame, **settings) -> DataFrame:
     last pass takes at least half of its words: rows are whole documents, and each
     source's sum is within half a document of its target.
     """
-    columns = docs.columns
-    # Content, not only the id, joins a row to its plan: repeated rows stay as many as they are.
-    p = plan(docs, **settings).where("taken > 0").groupBy("doc_id", "source", "size").agg(
-        F.collect_list(F.struct("taken", "offset", "slope", "target", "source_size")).alias("_plan")
-    )
-    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("_row"), F.col("doc_id").alias("_id"), F.col("source").alias("_source"), words().alias("_size"))
-    p = p.select(F.col("doc_id").alias("_pid"), F.col("source").alias("_psource"), F.col("size").alias("_psize"), F.element_at("_plan", 1).alias("_p"))
-    out = keyed.join(p, keyed["_id"].eqNullSafe(p["_pid"]) & keyed["_source"].eqNullSafe(p["_psource"]) & (keyed["_size"] == p["_psize"]))
-    copies = F.round(F.col("_p.taken") / F.col("_size")).cast("int")
-    out = out.where(copies > 0).withColumn("_copy", F.explode(F.sequence(F.lit(0), copies - 1)))
-    share = F.least(F.lit(1.0), (F.col("_p.offset") + F.col("_copy") * F.col("_p.source_size")) / F.col("_p.target"))
-    out = out.withColumn("_at", arrival(share, F.col("_p.slope")))
-    return out.orderBy("_at", "_id", "_copy").select("_row.*")
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    keys = ["_id", "_source", "_text"]
+    rows = docs.select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), text_key().alias("_text"), F.struct(*columns).alias("_row"), F.xxhash64(*columns).alias("_hash"))
+    # Rows of one key are one text: one of them stands for all, and every place that any of them has is taken by it.
+    rows = rows.groupBy(*keys).agg(F.min_by("_row", "_hash").alias("_row"))
+    p = plan(docs, **settings).withColumn("_copies", F.round(F.col("taken") / F.col("size")).cast("int")).where("taken > 0 and _copies > 0")
+    p = p.select(F.col("doc_id").alias("_pid"), F.col("source").alias("_psource"), F.col("text_key").alias("_ptext"), "_copies", "offset", "slope", "target", "source_size")
+    out = p.join(rows, p["_pid"].eqNullSafe(rows["_id"]) & p["_psource"].eqNullSafe(rows["_source"]) & (p["_ptext"] == rows["_text"]))
+    out = out.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.col("_copies") - 1)))
+    share = F.least(F.lit(1.0), (F.col("offset") + F.col("_copy") * F.col("source_size")) / F.col("target"))
+    out = out.select("_id", "_text", "_copy", arrival(share, F.col("slope")).alias("_at"), "_row")
+    return out.orderBy("_at", "_id", "_text", "_copy").select("_row.*")

@@ -20,13 +20,12 @@ Of the classes:
    (again 24 of 64) and confirmed on whole sets: first each class with its most similar
    candidate, then only pairs that are still in different components.
 
-No list, block or candidate is cut.  Shingles are told apart by 40 bits of their hash
-in the confirmation, which is by far enough within two documents.
+No list, block or candidate is cut.  Shingles are told apart by 63-bit hashes throughout.
 
 Defined results: null and empty texts have no shingles and are linked with nothing; a
 document of fewer than five words is one shingle; rows with a null doc_id stand
 alone (component null, kept); rows that share a doc_id are one document with the links
-of all of them; other columns are ignored; empty tables give no rows.
+of all of them and one component, whatever their texts; other columns are ignored; empty tables give no rows.
 """
 
 from __future__ import annotations
@@ -39,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lorekeep.llm.common import U64, Words, blocks, drop_written, materialize, mix64, utf8
+from lorekeep.llm.common import U64, Words, blocks, distinct, drop_written, materialize, mix64, release, slices, utf8
 from lorekeep.llm.components import components
 
 SHINGLE = 5
@@ -66,7 +65,7 @@ def shingle_sets(texts: list[bytes], size: int = SHINGLE) -> Iterator[np.ndarray
             roll = (mix64(roll) >> U64(1)).astype(np.int64)
             for a, b in zip(w.first[:-1].tolist(), w.first[1:].tolist(), strict=True):
                 if b - a >= size:
-                    yield np.unique(roll[a : b - size + 1])
+                    yield distinct(roll[a : b - size + 1])
                 elif b > a:
                     h = U64(b - a)
                     for x in w.hash[a:b]:
@@ -76,14 +75,8 @@ def shingle_sets(texts: list[bytes], size: int = SHINGLE) -> Iterator[np.ndarray
                     yield np.zeros(0, np.int64)
 
 
-def packed(s: np.ndarray) -> bytes:
-    """40 bits of each hash of a set: the low 32 of all, then the next 8 of all."""
-    return (s & 0xFFFFFFFF).astype("<u4").tobytes() + ((s >> 32) & 0xFF).astype(np.uint8).tobytes()
-
-
 def unpacked(b: bytes) -> np.ndarray:
-    n = len(b) // 5
-    return np.frombuffer(b, "<u4", n).astype(np.int64) | (np.frombuffer(b, np.uint8, n, 4 * n).astype(np.int64) << 32)
+    return np.frombuffer(b, "<i8")
 
 
 def sketches(docs: DataFrame) -> DataFrame:
@@ -91,7 +84,7 @@ def sketches(docs: DataFrame) -> DataFrame:
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), utf8().alias("body"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             sets = list(shingle_sets(b["body"].to_pylist()))
             keys = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
             heads = [s[:SKETCH] for s in sets]
@@ -147,8 +140,8 @@ def whole_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
     d = among(docs.select(F.col("doc_id").cast("long").alias("_doc"), utf8().alias("body")), ids, "_doc")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            yield pa.RecordBatch.from_arrays([b["_doc"], pa.array([packed(s) for s in shingle_sets(b["body"].to_pylist())], pa.binary())], names=["rep", "set"])
+        for b in slices(batches):
+            yield pa.RecordBatch.from_arrays([b["_doc"], pa.array([s.astype("<i8").tobytes() for s in shingle_sets(b["body"].to_pylist())], pa.binary())], names=["rep", "set"])
 
     return d.mapInArrow(run, "rep long, set binary").where("length(set) > 0").distinct()
 
@@ -194,7 +187,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     p = pairs.select("a", "b").join(a, "a").join(b, "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in batches:
+        for t in slices(batches):
             keep = []
             for i, (x, y) in enumerate(zip(t["sa"], t["sb"], strict=True)):
                 x, y = unpacked(x.as_py()), unpacked(y.as_py())
@@ -221,6 +214,7 @@ def compared(lists_: DataFrame, sets: DataFrame) -> DataFrame:
         i, j = t["_i"][0].as_py(), t["_j"][0].as_py()
         left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
         out = [] if not len(left) or not len(right) else forest(sets_, left, right, i == j)
+        release()
         return pa.table([pa.array([int(min(reps[x], reps[y])) for x, y in out], pa.int64()), pa.array([int(max(reps[x], reps[y])) for x, y in out], pa.int64())], schema=schema)
 
     return d.groupBy("v", "_i", "_j").applyInArrow(run, "a long, b long").where("a <> b").distinct()
@@ -239,7 +233,7 @@ def forest(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, same: bo
     place = np.full(len(sets), -1)
     order = np.argsort(code, kind="stable")
     owner, code = owner[order], code[order]
-    width = 4096  # shared shingles at a time
+    width = 1024  # shared shingles at a time
     for c in range(0, int(common.sum()), width):
         a, b = np.searchsorted(code, (c, c + width))
         parts = []
@@ -278,6 +272,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     sk = materialize(sketches(docs), "sketches")
     classes = sk.where("set_key is not null and doc_id is not null").groupBy("set_key").agg(F.min("doc_id").alias("rep"))
     classes = materialize(classes, "classes")
+    several = materialize(_several(sk), "several")
     known = sk.where("set_key is not null and doc_id is not null").select(F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), "sketch", "set_key")
     reps = materialize(known.join(classes, ["set_key", "rep"], "left_semi").select("rep", "n", "sketch").dropDuplicates(["rep", "n", "sketch"]), "reps")
 
@@ -295,7 +290,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     shingles = among(sets, third, "rep").mapInArrow(_exploded, "v long, rep long, n long")
     links = compared(rarest_first(shingles, quarter()), sets)
     nearest = pairs.groupBy("b").agg(F.max(F.struct("est", (-F.col("a")).alias("a"))).alias("m")).select((-F.col("m.a")).alias("a"), "b")
-    links = materialize(links.unionAll(confirmed(nearest, sets)), "links")
+    # The sets of one document are one node: each of their classes is linked with the smallest.
+    own = sk.join(several, "doc_id", "left_semi").join(classes, "set_key").select("doc_id", "rep").distinct()
+    least = own.groupBy("doc_id").agg(F.min("rep").alias("a"))
+    same = own.join(least, "doc_id").where("a < rep").select("a", F.col("rep").alias("b"))
+    links = materialize(links.unionAll(confirmed(nearest, sets)).unionAll(same), "links")
     joined = components(links)
 
     side = lambda x: joined.select(F.col("node").alias(x), F.col("component").alias("c" + x))
@@ -306,20 +305,28 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         more = materialize(confirmed(apart, among(sets, ends, "rep")), "links")
         if more.take(1):
             joined = components(joined.select(F.col("node").alias("a"), F.col("component").alias("b")).unionAll(more))
-    for t in (first, second, pairs, sets, reps):
+    for t in (first, second, third, pairs, sets, reps, links, apart):
         drop_written(spark, t)
 
     merged = classes.join(joined.withColumnRenamed("node", "rep"), "rep", "left").select("set_key", F.coalesce("component", "rep").alias("_c"))
-    # Rows that share a doc_id: the smallest component of any of their sets.
-    out = sk.join(merged, "set_key", "left")
-    mine = F.when(F.col("doc_id").isNotNull(), F.coalesce("_c", "doc_id"))
-    return out.select("doc_id", "n_shingles", mine.alias("component_id"), F.coalesce(mine == F.col("doc_id"), F.lit(True)).alias("kept"))
+    out = sk.join(merged, "set_key", "left").withColumn("_c", F.when(F.col("doc_id").isNotNull(), F.coalesce("_c", "doc_id")))
+    # Rows without shingles get the component of their document's other rows.
+    shared = out.join(several, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("_c").alias("_least"))
+    mine = F.coalesce("_least", "_c")
+    out = out.join(shared, "doc_id", "left").withColumn("component_id", mine)
+    return out.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("component_id") == F.col("doc_id"), F.lit(True)).alias("kept"))
+
+
+def _several(sk: DataFrame) -> DataFrame:
+    """The doc_ids whose rows have different sets."""
+    key = F.coalesce("set_key", F.lit(b""))
+    return sk.where("doc_id is not null").groupBy("doc_id").agg(F.min(F.hex(key)).alias("x"), F.max(F.hex(key)).alias("y")).where("x <> y").select("doc_id")
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
     """The rows of ``docs``, all columns, one document of each group: the one with the smallest doc_id.
 
-    Rows that share a doc_id are one document, of which the first row by text stays.
+    Rows that share a doc_id are one document, of which the first row by text stays; rows without one all stay.
     """
     decided = near_duplicates(docs)
     ids = materialize(decided.where("kept and doc_id is not null").groupBy(F.col("doc_id").alias("rep")).agg(F.count("*").alias("rows")), "kept")
@@ -327,8 +334,9 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     out = single.unionByName(docs.where("doc_id is null"))
     if ids.where("rows > 1").take(1):
         again = among(docs, ids.where("rows > 1").select("rep"), "doc_id")
-        rank = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
-        first = again.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), "doc_id", "text").withColumn("_rank", rank).where("_rank = 1")
+        row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+        # Of rows with one text, whose other columns may differ, the smallest as JSON.
+        first = again.groupBy(F.col("doc_id").alias("_id")).agg(F.min_by(row, F.struct("text", F.to_json(row))).alias("_row"))
         out = out.unionByName(first.select("_row.*"))
     return out
 

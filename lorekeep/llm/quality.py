@@ -4,7 +4,7 @@ A document is the average of learned vectors of its words, of word pairs and of
 character n-grams, all hashed into one table; a softmax over the average gives the
 label.  Table and output layer are trained together by stochastic gradient descent in numpy.
 
-Training reads a bounded sample (``SAMPLE`` labelled documents, whole texts) in one task
+Training reads a bounded sample (``SAMPLE`` labelled rows, whole texts) in one task
 and returns the model, whose size is fixed.  As the output is linear in the average,
 scoring needs one number a bucket: the documents are scored in one narrow pass.
 
@@ -13,7 +13,7 @@ word that occurred two words before: repetition is a property of its own.
 
 Defined results: null and empty texts have no features and are scored by the bias
 alone; a null doc_id counts as held out; without labels every score is 0.5; repeated rows
-each get the same score; documents that are labelled twice are trained on twice.
+each get the same score; a document that is labelled twice, or occurs twice, is that many labelled rows.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lorekeep.llm.common import U64, Words, blocks, mix64, utf8
+from lorekeep.llm.common import U64, Words, blocks, mix64, slices, utf8
 
 SAMPLE = 6000
 BITS = 18
@@ -34,6 +34,8 @@ WIDTH = 16
 EPOCHS = 6
 RATE = 0.5
 NGRAMS = (2, 3, 4)
+#: Bytes of text whose features are worked out at once.
+BLOCK = 1 << 18
 THRESHOLD = 0.7
 FOLDS, HELD_OUT = 4, 2
 _MULT = U64(0x9E3779B97F4A7C15)
@@ -90,7 +92,7 @@ class Model:
 
     def scores(self, texts: list[bytes]) -> np.ndarray:
         out = []
-        for some in blocks(texts):
+        for some in blocks(texts, limit=BLOCK):
             total, count = np.zeros(len(some)), np.zeros(len(some))
             for bucket, doc in features(some, self.bits):
                 total += np.bincount(doc, self.values[bucket], len(some))
@@ -111,19 +113,21 @@ def train(texts: list[bytes], labels: list[int], bits: int = BITS, width: int =
     rng = np.random.default_rng(seed)
     table = rng.uniform(-1 / width, 1 / width, (1 << bits, width)).astype(np.float32)
     layer, bias = np.zeros((width, 2), np.float32), np.zeros(2, np.float32)
-    rows: list[tuple[np.ndarray, np.ndarray]] = []
-    for some in blocks(texts):
+    rows: list[tuple[np.ndarray, np.ndarray, int]] = []
+    for some in blocks(texts, limit=BLOCK):
         parts = features(some, bits)
         bucket, doc = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
         order = np.argsort(doc, kind="stable")
         cuts = np.searchsorted(doc[order], np.arange(len(some) + 1))
         for a, b in zip(cuts[:-1], cuts[1:], strict=True):
             ids, n = np.unique(bucket[order[a:b]], return_counts=True)
-            rows.append((ids.astype(np.int32), (n / max(1, b - a)).astype(np.float32)))
+            few = n.astype(np.uint16 if b - a < 1 << 16 else np.uint32)
+            rows.append((ids.astype(np.int32), few, max(1, b - a)))
     steps, done = epochs * len(rows), 0
     for _ in range(epochs):
         for i in rng.permutation(len(rows)):
-            ids, share = rows[i]
+            ids, n, size = rows[i]
+            share = (n / size).astype(np.float32)
             pace = rate * (1 - done / steps)
             done += 1
             mean = share @ table[ids] if len(ids) else np.zeros(width, np.float32)
@@ -141,18 +145,23 @@ def train(texts: list[bytes], labels: list[int], bits: int = BITS, width: int =
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
-    """Train on at most ``sample`` labelled documents that aren't held out, the first in the order of a hash of doc_id."""
+    """Train on at most ``sample`` labelled rows that aren't held out: the first in the order of a hash of doc_id and text.
+
+    The bound holds for joined rows, so that no repeated doc_id, in either table, brings more of them to the task that trains.
+    """
     rows = labels.where("doc_id is not null and quality in (0, 1)").select(F.col("doc_id").cast("long").alias("_id"), F.col("quality").cast("int").alias("_y"))
-    rows = rows.where(fold(F.col("_id")) != HELD_OUT).orderBy(F.xxhash64("_id"), "_id", "_y").limit(sample)
+    # At most `sample` different labelled ids are needed, two numbers each: small enough to be sent to every executor.
+    rows = rows.where(fold(F.col("_id")) != HELD_OUT).groupBy("_id", "_y").agg(F.least(F.count("*"), F.lit(sample)).alias("_n"))
+    rows = rows.orderBy(F.xxhash64("_id"), "_id", "_y").limit(sample)
     d = docs.select(F.col("doc_id").cast("long").alias("_doc"), utf8().alias("body"))
-    # At most `sample` rows of two numbers: small enough to be sent to every executor.
-    d = d.join(F.broadcast(rows), d["_doc"] == F.col("_id")).select("_id", "_y", "body")
+    d = d.join(F.broadcast(rows), d["_doc"] == F.col("_id")).withColumn("_n", F.explode(F.sequence(F.lit(1), F.col("_n").cast("int"))))
+    d = d.orderBy(F.xxhash64("_id"), "_id", "_y", F.xxhash64("body"), "_n").limit(sample).select("_id", "_y", "body")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: list[tuple[int, int, bytes]] = []
-        for b in batches:
+        for b in slices(batches):
             seen += zip(b["_id"].to_pylist(), b["_y"].to_pylist(), b["body"].to_pylist(), strict=True)
-        seen = sorted(seen)[: 2 * sample]
+        seen.sort()
         if seen:
             model = train([x[2] for x in seen], [x[1] for x in seen])
             yield pa.RecordBatch.from_arrays([pa.array([model.to_bytes()], pa.binary())], names=["model"])
@@ -169,7 +178,7 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = Model.from_bytes(sent.value)
-        for b in batches:
+        for b in slices(batches):
             s = m.scores(b["body"].to_pylist())
             yield pa.RecordBatch.from_arrays([b["doc_id"], b["held_out"], pa.array(s), pa.array((s >= THRESHOLD).astype(np.int32))], names=["doc_id", "held_out", "score", "predicted"])
 
@@ -182,7 +191,7 @@ def accepted(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> Dat
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = Model.from_bytes(sent.value)
-        for b in batches:
+        for b in slices(batches):
             texts = [(t or "").encode() for t in b["text"].to_pylist()]
             yield b.filter(pa.array(m.scores(texts) >= threshold, pa.bool_()))
 

@@ -1,11 +1,11 @@
 """Secret scanning: candidates by pattern, false positives removed by a random forest.
 
-A candidate is a run of 16 or more characters of the kind that keys are written in, with a digit
-or with letters of both cases.  The forest judges it by its length, its character
-transitions, how much of it dictionary words cover, whether it is part of a path, and the
-words around it.  It is trained from labelled findings; by default those of
-``labelled_findings``, made from a seed, and any table of the same form can take
-their place.  The trees are a few thousand numbers; the scan is one narrow pass.
+A candidate is a run of 8 or more characters of the kind that keys are written in, with letters and digits; or of 16 or more with
+capital letters; or, of any of these characters, what is assigned to a name that speaks for a secret.  The forest judges
+it by its length, its character transitions, how much of it dictionary words cover, whether it is part of a path, and the
+words around it.  It is trained from labelled findings; by default those of ``labelled_findings``, made from a
+seed with words of their own, and any table of the same form can take their place.  The trees are a few thousand numbers; the
+scan is one narrow pass.
 
 Defined results: null and empty texts have no candidates; rows with a null doc_id
 keep it; repeated rows are scanned each; candidates of any length are judged whole; other
@@ -27,7 +27,11 @@ from pyspark.sql import functions as F
 
 from lorekeep.llm.common import utf8
 
-CANDIDATE = re.compile(rb"[A-Za-z0-9_+/=\-]{16,}")
+CANDIDATE = re.compile(rb"[A-Za-z0-9_+/=\-]{8,}")
+#: From so many characters on a run with capital letters is one too.
+LONG = 16
+#: What stands before a value that is a candidate whatever it is made of.
+ASSIGNED = re.compile(rb"(?i)(?:api_?key|auth|credential|passwd|password|private_?key|pwd|secret|token)s?[\"']?\s*(?::|=|:=|=>)\s*[\"'`]?\Z")
 #: Bytes of text on either side that give the neighbouring words.
 AROUND = 48
 THRESHOLD = 0.5
@@ -54,11 +58,15 @@ _KIND[list(b"_+/=-")] = 4
 _DICTIONARY = re.compile("|".join(sorted(map(re.escape, {*WORDS, *FOR, *AGAINST} - {"id"}), key=lambda w: -len(w))).encode())
 
 
+_DIGIT, _LETTER = re.compile(rb"[0-9]").search, re.compile(rb"[A-Za-z]").search
+
+
 def candidates(body: bytes) -> Iterator[tuple[int, int]]:
     """(start, end) of each run that could be a secret."""
     for m in CANDIDATE.finditer(body):
-        kinds = {k for k, part in ((3, string.digits), (2, string.ascii_uppercase), (1, string.ascii_lowercase)) if any(c in m[0] for c in part.encode())}
-        if 3 in kinds and len(kinds) > 1 or {1, 2} <= kinds:
+        run = m[0]
+        kinds = bool(_LETTER(run)) and (bool(_DIGIT(run)) or len(run) >= LONG and not run.islower())
+        if kinds or ASSIGNED.search(body, max(0, m.start() - AROUND), m.start()):
             yield m.span()
 
 
@@ -160,17 +168,23 @@ def labelled_findings(n: int = 4000, seed: int = 5) -> list[tuple[str, int, int,
     rng = random.Random(seed)
     some = lambda alphabet, k: "".join(rng.choice(alphabet) for _ in range(k))
     hexes, mixed = "0123456789abcdef", string.ascii_letters + string.digits
+    # Words of their own: the dictionary, which is a feature, knows a part of them only.
+    onsets, nuclei, codas = ("b", "br", "c", "d", "f", "fl", "g", "h", "l", "m", "n", "p", "pr", "r", "s", "st", "t", "tr", "v", "w"), ("a", "e", "i", "o", "u", "ea", "ou"), ("", "", "n", "r", "s", "t", "l", "ck", "ng")
+    invented = lambda: "".join(rng.choice(onsets) + rng.choice(nuclei) + rng.choice(codas) for _ in range(rng.randint(1, 3)))
+    some_words = lambda k: [rng.choice(WORDS) if rng.random() < 0.4 else invented() for _ in range(k)]
     filler = lambda k: " ".join(some("aeinorst", rng.randint(2, 9)) for _ in range(k))
 
     def secret() -> tuple[str, str, str]:
         name = rng.choice(("token", "api_key", "secret", "password", "auth", "AWS_SECRET_ACCESS_KEY", "key", "private_key"))
-        body = rng.choice((lambda: some(hexes, rng.choice((32, 40, 64))), lambda: "AKIA" + some(string.ascii_uppercase + "234567", 16), lambda: some(mixed, rng.randint(20, 48)), lambda: some(mixed + "+/", 40), lambda: rng.choice(("ghp_", "sk_live_", "xoxb-")) + some(mixed, rng.randint(24, 40)), lambda: some(mixed + "-_", rng.randint(24, 64)) + rng.choice(("", "=", "=="))))()
+        body = rng.choice((lambda: some(hexes, rng.choice((32, 40, 64))), lambda: "AKIA" + some(string.ascii_uppercase + "234567", 16), lambda: some(mixed, rng.randint(20, 48)), lambda: some(mixed + "+/", 40), lambda: rng.choice(("ghp_", "sk_live_", "xoxb-")) + some(mixed, rng.randint(24, 40)), lambda: some(mixed + "-_", rng.randint(24, 64)) + rng.choice(("", "=", "==")), lambda: some(mixed, rng.randint(8, 15)), lambda: some(hexes, rng.randint(10, 24)), lambda: some(string.ascii_lowercase, rng.randint(12, 32))))()
         quote = rng.choice(('"', "'", ""))
-        lead = rng.choice((f"{name} = {quote}", f"{name}: {quote}", f"{name}={quote}" if quote else f"{name} ", f"Bearer {quote}", f"{filler(2)} {quote}"))
+        lead = rng.choice((f"{name} = {quote}", f"{name}: {quote}", f"{name}={quote}" if quote else f"{name}: ", f"Bearer {quote}", f"{filler(2)} {quote}"))
+        if len(body) < 16 or body.isalpha() and body.islower():  # short ones, and letters alone, are only known by their name
+            lead = rng.choice((f"{name}: {quote}", f"{name} = {quote}"))
         return lead, body, quote
 
     def mistaken() -> tuple[str, str, str]:
-        words = rng.sample(WORDS, 6)
+        words = some_words(6)
         made = rng.choice(
             (
                 lambda: ("commit ", some(hexes, 40), ""), lambda: (rng.choice(("sha256:", "md5 ", "checksum: ", "etag ")), some(hexes, rng.choice((32, 64))), ""),
@@ -181,6 +195,10 @@ def labelled_findings(n: int = 4000, seed: int = 5) -> list[tuple[str, int, int,
                 lambda: (rng.choice(("token = ", "password: ", "key=")), rng.choice(("xxxxxxxxxxxxxxxxxxxxxxx1", "YOUR_API_KEY_GOES_HERE", "changeme-changeme-1", "<example>-EXAMPLE_VALUE_0")).lstrip("<"), ""),
                 lambda: ("", some("etaoinshrdlu", rng.randint(8, 14)).title() + "-" + some("etaoinshrdlu", rng.randint(7, 14)).title(), ","),
                 lambda: ("", some(string.ascii_lowercase, rng.randint(3, 6)) + "=" + some(string.digits, rng.randint(12, 20)), ""),
+                lambda: (rng.choice(("", "room ", "model ", "flight ")), words[0].title() + some(string.digits, rng.randint(2, 6)) + rng.choice(("", "b", "-" + words[1])), rng.choice(("", ".", ","))),
+                lambda: (rng.choice(("", "since ", "at ")), rng.choice(("2024-05-17T10", "12th-century", "v2-release-" + words[0], "10-4-" + words[1], "3rd-" + words[2] + "-" + words[3])), ""),
+                lambda: (rng.choice(("token: ", "password = ", "secret: ")), rng.choice(("required", "changeme", "undefined", "password", "your-password", "disabled", "<hidden>-value".lstrip("<")) ), ""),
+                lambda: ("", words[0] + "-" + words[1] + "-" + some(string.digits, 2), ""),
                 lambda: ("data:image/png;base64,", some(mixed + "+/", rng.randint(200, 400)), ""),
             )
         )

@@ -17,7 +17,7 @@ Suffix arrays find the repeats; what makes this distributed is how text is dealt
    prefix of LENGTH with a neighbour repeat.
 4. The marks of a segment go back to all its occurrences, and the documents are cut.
 
-Anchors and segments are told apart by 64-bit hashes, windows by their bytes.
+Anchors and segments are told apart by 64-bit hashes, windows by their bytes, rows by two 64-bit hashes of doc_id and text.
 
 Defined results: null and empty texts have no bytes, and the digest of nothing; texts shorter
 than LENGTH are kept whole; repeated rows are copies of each other, so they are
@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lorekeep.llm.common import U64, blocks, drop_written, materialize, mix64, powers, prefix_hash, utf8
+from lorekeep.llm.common import U64, blocks, drop_written, materialize, mix64, powers, prefix_hash, release, slices, utf8
 
 LENGTH = 200
 KMER = 64
@@ -42,8 +42,9 @@ KMER = 64
 CROWD = 20_000
 #: Bytes of text in a shard, about.
 SHARD = 2 << 20
-#: Ids that are broadcast at most: 8 bytes each.
+#: Ids that are broadcast at most: 16 bytes each.
 BROADCAST_IDS = 1_000_000
+ROW = ["rid", "rid2"]
 _GAP = 0xFF  # in no UTF-8 text
 
 
@@ -97,13 +98,13 @@ def runs(texts: list[bytes], length: int = LENGTH, kmer: int = KMER):
 
 def _runs(kmer: int, length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            ids, bodies = b["rid"].to_numpy(), b["body"].to_pylist()
+        for b in slices(batches):
+            ids, others, bodies = b["rid"].to_numpy(), b["rid2"].to_numpy(), b["body"].to_pylist()
             done = 0
             for some in blocks(bodies):
                 doc, first, n, anchor, content, doubled = runs(some, length, kmer)
                 at = (first.astype(np.int64) << 32) | n.astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(ids[done + doc]), pa.array(at), pa.array(anchor.view(np.int64)), pa.array(content.view(np.int64)), pa.array(1 + doubled.astype(np.int64))], names=["rid", "at", "anchor", "content", "places"])
+                yield pa.RecordBatch.from_arrays([pa.array(ids[done + doc]), pa.array(others[done + doc]), pa.array(at), pa.array(anchor.view(np.int64)), pa.array(content.view(np.int64)), pa.array(1 + doubled.astype(np.int64))], names=["rid", "rid2", "at", "anchor", "content", "places"])
                 done += len(some)
 
     return run
@@ -123,11 +124,14 @@ def eight(t: np.ndarray) -> np.ndarray:
 def suffix_array(text: np.ndarray, depth: int = LENGTH) -> np.ndarray:
     """Places of all suffixes of ``text`` in the order of their first ``depth`` bytes at least, by two-stage sorting.
 
-    The byte 255 ends a string: suffixes that are equal up to one are next to each other in any order.
+    The byte 255 ends a string, and is the largest: suffixes that are equal up to one are next to each other in any
+    order.  The end of the text is the end of a string.
     """
-    n = len(text)
-    if n == 0:
+    if len(text) == 0:
         return np.zeros(0, np.int64)
+    last = len(text)
+    text = np.append(text, np.uint8(_GAP))
+    n = len(text)
     # Types: a suffix is smaller than its successor if the first different byte after its run is larger.
     turn = np.flatnonzero(text[1:] != text[:-1])
     lengths = np.diff(np.concatenate(([-1], turn, [n - 1])))
@@ -158,7 +162,8 @@ def suffix_array(text: np.ndarray, depth: int = LENGTH) -> np.ndarray:
             cuts = np.flatnonzero(byte[1:] != byte[:-1]) + 1
             for part in np.split(before, cuts):
                 waiting[text[part[0]]].append(part)
-    return np.concatenate(out)
+    order = np.concatenate(out)
+    return order[order < last]
 
 
 def sort_directly(text: np.ndarray, places: np.ndarray, depth: int) -> np.ndarray:
@@ -248,9 +253,9 @@ def spans_of(mask: np.ndarray) -> list[tuple[int, int]]:
 
 
 def _with_ids(docs: DataFrame) -> DataFrame:
-    """doc_id, rid, body; rid stands for the row: rows that share it are equal."""
+    """doc_id, rid, rid2, body; the two stand for the row: rows that share them are equal."""
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), utf8().alias("body"))
-    return d.withColumn("rid", F.xxhash64("doc_id", "body"))
+    return d.withColumn("rid", F.xxhash64("doc_id", "body")).withColumn("rid2", F.xxhash64(F.lit(1), "body", "doc_id"))
 
 
 def _few(ids: DataFrame, n: int) -> DataFrame:
@@ -258,45 +263,45 @@ def _few(ids: DataFrame, n: int) -> DataFrame:
 
 
 def found(d: DataFrame, length: int = LENGTH, kmer: int = KMER, crowd: int = CROWD, shard: int = SHARD) -> DataFrame:
-    """(rid, spans): the repeated byte spans of each row that has any, one entry a run, not merged."""
+    """(rid, rid2, spans): the repeated byte spans of each row that has any, one entry a run, not merged."""
     spark = d.sparkSession
-    schema = "rid long, at long, anchor long, content long, places long"
-    every = d.select("rid", "body").where(F.length("body") >= length).mapInArrow(_runs(kmer, length), schema)
+    schema = "rid long, rid2 long, at long, anchor long, content long, places long"
+    every = d.select(*ROW, "body").where(F.length("body") >= length).mapInArrow(_runs(kmer, length), schema)
     counts = every.groupBy("anchor").agg(F.sum("places").alias("_n")).where("_n > 1").select("anchor")
-    occurring = materialize(every.join(counts, "anchor").select("rid", "at", "anchor", "content"), "runs")
+    occurring = materialize(every.join(counts, "anchor").select(*ROW, "at", "anchor", "content"), "runs")
 
     crowded = materialize(occurring.select("anchor", "content").distinct().groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") > crowd).select("anchor"), "crowded")
     written = [occurring, crowded]
     if crowded.take(1):
-        whole = occurring.join(crowded, "anchor", "left_semi").groupBy("rid").agg(F.collect_list("at").alias("ats"))
-        single = d.select("rid", "body").dropDuplicates(["rid"]).join(whole, "rid").mapInArrow(_windows(length), schema)
-        copies = d.groupBy("rid").agg(F.count("*").alias("_rows"))
+        whole = occurring.join(crowded, "anchor", "left_semi").groupBy(*ROW).agg(F.collect_list("at").alias("ats"))
+        single = d.select(*ROW, "body").dropDuplicates(ROW).join(whole, ROW).mapInArrow(_windows(length), schema)
+        copies = d.groupBy(*ROW).agg(F.count("*").alias("_rows"))
         # Equal rows: two of them stand for all.
-        single = single.join(copies.where("_rows > 1"), "rid", "left").withColumn("_k", F.explode(F.sequence(F.lit(1), F.least(F.coalesce("_rows", F.lit(1)), F.lit(2)))))
+        single = single.join(copies.where("_rows > 1"), ROW, "left").withColumn("_k", F.explode(F.sequence(F.lit(1), F.least(F.coalesce("_rows", F.lit(1)), F.lit(2)))))
         counts = single.groupBy("anchor").agg(F.sum("places").alias("_n")).where("_n > 1").select("anchor")
-        single = single.join(counts, "anchor").select("rid", "at", "anchor", "content")
+        single = single.join(counts, "anchor").select(*ROW, "at", "anchor", "content")
         occurring = materialize(occurring.join(crowded, "anchor", "left_anti").unionByName(single), "runs")
         written.append(occurring)
 
     # Two occurrences stand for all equal segments; of rows that are equal themselves one text is read twice.
-    place = F.struct("rid", "at")
+    place = F.struct(*ROW, "at")
     segments = occurring.groupBy("anchor", "content").agg(F.min(place).alias("x"), F.max(place).alias("y"), F.count("*").alias("n"))
     segments = segments.select("anchor", "content", F.when(F.col("n") == 1, F.array("x")).otherwise(F.array("x", "y")).alias("two"))
-    segments = materialize(segments.select("anchor", "content", F.explode("two").alias("p")).select("anchor", "content", "p.rid", "p.at"), "segments")
+    segments = materialize(segments.select("anchor", "content", F.explode("two").alias("p")).select("anchor", "content", "p.rid", "p.rid2", "p.at"), "segments")
     written.append(segments)
     total = segments.agg(F.sum(F.col("at").bitwiseAND(0xFFFFFFFF) + length)).first()[0] or 0
     shards = total // shard + 1
-    asked = segments.groupBy("rid").agg(F.collect_list(F.struct("at", "anchor", "content")).alias("asked"))
-    ids = segments.select("rid").distinct()
-    texts = d.select("rid", "body").join(_few(ids, ids.count()), "rid", "left_semi").dropDuplicates(["rid"])
-    cut = texts.join(asked, "rid").select("body", "asked").mapInArrow(_cut(length), "anchor long, content long, segment binary")
+    asked = segments.groupBy(*ROW).agg(F.collect_list(F.struct("at", "anchor", "content")).alias("asked"))
+    ids = segments.select(*ROW).distinct()
+    texts = d.select(*ROW, "body").join(_few(ids, ids.count()), ROW, "left_semi").dropDuplicates(ROW)
+    cut = texts.join(asked, ROW).select("body", "asked").mapInArrow(_cut(length), "anchor long, content long, segment binary")
     marked = cut.withColumn("_shard", F.pmod(F.xxhash64("anchor"), F.lit(shards))).groupBy("_shard").applyInArrow(_search(length), "anchor long, content long, spans array<struct<a:int,b:int>>")
     marked = materialize(marked, "marks")
     written.append(marked)
     base = F.shiftright("at", 32)
-    spans = occurring.join(marked, ["anchor", "content"]).select("rid", F.transform("spans", lambda s: F.struct((s.a + base).alias("a"), (s.b + base + length - 1).alias("b"))).alias("spans"))
-    # Equal rows of one rid have the same spans, so their number doesn't matter.
-    out = materialize(spans.groupBy("rid").agg(F.flatten(F.collect_set("spans")).alias("spans")), "spans")
+    spans = occurring.join(marked, ["anchor", "content"]).select(*ROW, F.transform("spans", lambda s: F.struct((s.a + base).alias("a"), (s.b + base + length - 1).alias("b"))).alias("spans"))
+    # Equal rows have the same spans, so their number doesn't matter.
+    out = materialize(spans.groupBy(*ROW).agg(F.flatten(F.collect_set("spans")).alias("spans")), "spans")
     for t in written:
         drop_written(spark, t)
     return out
@@ -307,13 +312,13 @@ def _windows(length: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for rid, body, ats in zip(b["rid"].to_pylist(), b["body"].to_pylist(), b["ats"].to_pylist(), strict=True):
+            for rid, rid2, body, ats in zip(b["rid"].to_pylist(), b["rid2"].to_pylist(), b["body"].to_pylist(), b["ats"].to_pylist(), strict=True):
                 buf = np.frombuffer(body, np.uint8)
                 with np.errstate(over="ignore"):
                     p, inv = prefix_hash(buf), powers(len(buf) + 1)[1]
                     first = np.unique(np.concatenate([np.arange(x >> 32, (x >> 32) + (x & 0xFFFFFFFF)) for x in ats]))
                     h = mix64((p[first + length] - p[first]) * inv[first] + U64(1)).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(h), rid)), pa.array((first << 32) | 1), pa.array(h), pa.array(h), pa.array(np.ones(len(h), np.int64))], names=["rid", "at", "anchor", "content", "places"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(h), rid)), pa.array(np.full(len(h), rid2)), pa.array((first << 32) | 1), pa.array(h), pa.array(h), pa.array(np.ones(len(h), np.int64))], names=["rid", "rid2", "at", "anchor", "content", "places"])
 
     return run
 
@@ -322,7 +327,7 @@ def _cut(length: int):
     schema = pa.schema([("anchor", pa.int64()), ("content", pa.int64()), ("segment", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             for body, asked in zip(b["body"].to_pylist(), b["asked"].to_pylist(), strict=True):
                 parts = [body[x["at"] >> 32 : (x["at"] >> 32) + (x["at"] & 0xFFFFFFFF) + length - 1] for x in asked]
                 yield pa.RecordBatch.from_arrays([pa.array([x["anchor"] for x in asked], pa.int64()), pa.array([x["content"] for x in asked], pa.int64()), pa.array(parts, pa.binary())], schema=schema)
@@ -336,6 +341,7 @@ def _search(length: int):
 
     def run(t: pa.Table) -> pa.Table:
         masks = repeats(t["segment"].to_pylist(), length)
+        release()
         rows = {}
         for anchor, content, m in zip(t["anchor"].to_pylist(), t["content"].to_pylist(), masks, strict=True):
             if m.any():
@@ -359,15 +365,15 @@ def without_repeats(docs: DataFrame, keep_bytes: bool = False, **settings) -> Da
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every row, and its remaining bytes if asked for."""
     d = _with_ids(docs)
     spans = found(d, **settings)
-    ids = spans.select("rid")
+    ids = spans.select(*ROW)
     n = ids.count()
-    hit = d.join(_few(ids, n), "rid", "left_semi").join(spans, "rid").select("doc_id", "body", "spans")
-    rest = d.join(_few(ids, n), "rid", "left_anti").select("doc_id", "body", F.lit(None).cast("array<struct<a:bigint,b:bigint>>").alias("spans"))
+    hit = d.join(_few(ids, n), ROW, "left_semi").join(spans, ROW).select("doc_id", "body", "spans")
+    rest = d.join(_few(ids, n), ROW, "left_anti").select("doc_id", "body", F.lit(None).cast("array<struct<a:bigint,b:bigint>>").alias("spans"))
     fields = [("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string())] + [("kept", pa.binary())] * keep_bytes
     schema = pa.schema(fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             rows = []
             for body, s in zip(b["body"].to_pylist(), b["spans"].to_pylist(), strict=True):
                 s = merged(s)

@@ -36,15 +36,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lorekeep.llm.common import shared_dir
+from lorekeep.llm.common import release, shared_dir, slices
 
 MAGIC = b"DACTOK01"
 STEP = 512
 END_ID = 2
 #: A shard is closed at so many tokens (a single longer document makes a longer shard).
 SHARD_TOKENS = 1 << 20
-#: Pieces that a worker remembers, some 150 bytes each; a full memo is emptied.
-MEMO = 800_000
+#: Pieces that a worker remembers, some 200 bytes each; a full memo is emptied.
+MEMO = 450_000
 #: Shards whose starts are broadcast: 24 bytes each.
 BROADCAST_SHARDS = 1_000_000
 DEFAULT = "byte_bpe_50k.json"
@@ -196,7 +196,7 @@ def write(docs: DataFrame, path: str, tokenizer: str | None = None, end_id: int
         def close() -> pa.RecordBatch:
             return pa.RecordBatch.from_pylist([{"part": part, "shard": shard, "n_docs": len(ids), "n_tokens": n, "payload": pack(ids, body)}], schema=_SHARDS)
 
-        for b in batches:
+        for b in slices(batches):
             for d, text in zip(b["doc_id"].to_pylist(), b["text"].to_pylist(), strict=True):
                 ids.append(d)
                 body.append(np.frombuffer(enc.ids(text or "") + end, np.uint32))
@@ -206,6 +206,7 @@ def write(docs: DataFrame, path: str, tokenizer: str | None = None, end_id: int
                     ids, body, n, shard = [], [], 0, shard + 1
         if ids:
             yield close()
+        release()
 
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     d = d.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
@@ -250,6 +251,7 @@ def summary(shards: DataFrame) -> DataFrame:
                     [pa.array(s.doc_ids, pa.int64()), pa.array([start + a for a in begins], pa.int64()), pa.array([e - a for a, e in zip(begins, ends, strict=True)], pa.int64()), pa.array(crcs, pa.int64())],
                     names=["doc_id", "start", "n_tokens", "ids_crc32"],
                 )
+        release()
 
     return shards.select("payload", "start").mapInArrow(decode, "doc_id long, start long, n_tokens long, ids_crc32 long")
 

@@ -21,6 +21,8 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lorekeep.llm.common import drop_written, materialize
+
 #: (verdict, host, path)
 RULES = (
     ("allow", "org", "/"),
@@ -80,14 +82,15 @@ def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence:
     rules = model.associationRules.where(F.element_at("consequent", 1).isin(GOOD, BAD))
     rules = rules.where(~F.arrays_overlap("antecedent", F.array(F.lit(GOOD), F.lit(BAD))))
     rules = rules.select(F.array_sort("antecedent").alias("tokens"), F.when(F.element_at("consequent", 1) == BAD, "block").otherwise("allow").alias("verdict"), "confidence", "support")
-    # A rule adds nothing if a rule with a part of its tokens says the same as confidently.
-    less = rules.select(F.col("tokens").alias("_t"), F.col("verdict").alias("_v"), F.col("confidence").alias("_c"), F.explode("tokens").alias("_k"))
-    more = rules.select("*", F.explode("tokens").alias("_k"))
-    covered = more.join(less, "_k").where((F.size("_t") < F.size("tokens")) & (F.col("_v") == F.col("verdict")) & (F.col("_c") >= F.col("confidence")) & (F.size(F.array_except("_t", "tokens")) == 0))
-    rules = rules.join(covered.select("tokens", "verdict").distinct(), ["tokens", "verdict"], "left_anti")
     single = model.freqItemsets.where(F.size("items") == 1).select(F.element_at("items", 1).alias("_k"), "freq")
     rarest = rules.select("tokens", "verdict", F.explode("tokens").alias("_k")).join(single, "_k").groupBy("tokens", "verdict").agg(F.min(F.struct("freq", "_k")).alias("_m"))
-    return rules.join(rarest, ["tokens", "verdict"]).select("tokens", "verdict", "confidence", "support", F.col("_m._k").alias("key"))
+    rules = rules.join(rarest, ["tokens", "verdict"]).select("tokens", "verdict", "confidence", "support", F.col("_m._k").alias("key"))
+    # A rule adds nothing if a rule with a part of its tokens says the same as confidently.  That rule's rarest token is
+    # one of its own tokens, so the index that URLs are matched by finds it.
+    less = rules.select(F.col("tokens").alias("_t"), F.col("verdict").alias("_v"), F.col("confidence").alias("_c"), F.col("key").alias("_k"))
+    more = rules.select("*", F.explode("tokens").alias("_k"))
+    covered = more.join(less, "_k").where((F.size("_t") < F.size("tokens")) & (F.col("_v") == F.col("verdict")) & (F.col("_c") >= F.col("confidence")) & (F.size(F.array_except("_t", "tokens")) == 0))
+    return rules.join(covered.select("tokens", "verdict").distinct(), ["tokens", "verdict"], "left_anti")
 
 
 def match(urls: DataFrame, rules: DataFrame) -> DataFrame:
@@ -114,16 +117,14 @@ def labelled_urls(pages: DataFrame, labels: DataFrame) -> DataFrame:
 
 def verdicts(pages: DataFrame, labels: DataFrame, rules=RULES, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
     """page_id, host, path, rule, verdict of every page."""
-    seen = labelled_urls(pages, labels).cache()
-    try:
-        n = seen.count()
-        mined = mine(seen, min(1.0, max(min_support, MIN_PAGES / n)), min_confidence).cache() if n else None
-        d = parsed(pages.select("page_id", F.col("url").cast("string").alias("url"))).withColumn("_fixed", fixed_rule(rules))
-        if mined is None:
-            return d.select("page_id", "host", "path", F.col("_fixed.rule").alias("rule"), F.coalesce(F.col("_fixed.verdict"), F.lit(DEFAULT)).alias("verdict"))
-        open_urls = d.where("_fixed is null and url is not null").select("url", "host", "path").distinct().withColumn("tokens", tokens())
-        m = match(open_urls, mined)
-        d = d.join(m, d["url"] == m["_url"], "left")
-        return d.select("page_id", "host", "path", F.col("_fixed.rule").alias("rule"), F.coalesce(F.col("_fixed.verdict"), F.col("mined"), F.lit(DEFAULT)).alias("verdict"))
-    finally:
-        seen.unpersist()
+    seen = materialize(labelled_urls(pages, labels), "labelled")
+    n = seen.count()
+    mined = materialize(mine(seen, min(1.0, max(min_support, MIN_PAGES / n)), min_confidence), "rules") if n else None
+    drop_written(pages.sparkSession, seen)
+    d = parsed(pages.select("page_id", F.col("url").cast("string").alias("url"))).withColumn("_fixed", fixed_rule(rules))
+    if mined is None:
+        return d.select("page_id", "host", "path", F.col("_fixed.rule").alias("rule"), F.coalesce(F.col("_fixed.verdict"), F.lit(DEFAULT)).alias("verdict"))
+    open_urls = d.where("_fixed is null and contains(url, '://')").select("url", "host", "path").distinct().withColumn("tokens", tokens())
+    m = match(open_urls, mined)
+    d = d.join(m, d["url"] == m["_url"], "left")
+    return d.select("page_id", "host", "path", F.col("_fixed.rule").alias("rule"), F.coalesce(F.col("_fixed.verdict"), F.col("mined"), F.lit(DEFAULT)).alias("verdict"))

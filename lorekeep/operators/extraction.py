@@ -8,6 +8,7 @@ rows carry a status.
 from __future__ import annotations
 
 import json
+import time
 from collections.abc import Callable
 
 import pandas as pd
@@ -141,31 +142,45 @@ def names_by_document(entities_: DataFrame, doc: str = "doc_name", seq: str = "s
 # ---- model slots -------------------------------------------------------------------------------------
 
 
-def with_model(rows: DataFrame, call: Callable[..., str], inputs: list[str], output: str = "raw_json", attempts: int = 3, parallel: int | None = None) -> DataFrame:
-    """Call a model for every row; ``error`` holds why a row has no output.
+def with_model(
+    rows: DataFrame, call: Callable[..., str], inputs: list[str], output: str = "raw_json", attempts: int = 3, parallel: int | None = None,
+    waits: Callable[[int, Exception], float] | None = None, per_minute: float | None = None, fallback: str | None = None,
+) -> DataFrame:
+    """Call a model for every row; ``error`` holds why a row has no output of its own.
 
-    ``call`` gets the row's input values and returns text.  ``parallel`` bounds how many calls run at once.
+    ``call`` gets the row's input values and returns text.  ``parallel`` bounds how many calls run at once, ``per_minute`` how many
+    begin in a minute, in equal shares of the tasks; ``waits`` says how many seconds to wait after an attempt (from 1) that raised.
+    A row whose attempts all failed gets the column ``fallback`` instead, if one is named.
     Retries happen inside the call's task: a lost task must not repeat paid calls that were written already, so
     write the result before using it.
     """
+    gap = 60.0 * (parallel or 1) / per_minute if per_minute else 0.0
+    if per_minute and not parallel:
+        parallel = 1
 
     @F.pandas_udf(f"struct<{output}:string,error:string>")
     def run(*columns: pd.Series) -> pd.DataFrame:
-        out = []
-        for values in zip(*columns, strict=True):
+        out, last = [], 0.0
+        for *values, other in zip(*columns, strict=True):
             error = None
-            for _ in range(attempts):
+            for attempt in range(1, attempts + 1):
+                if gap:
+                    time.sleep(max(0.0, last + gap - time.monotonic()) if last else 0.0)
+                    last = time.monotonic()
                 try:
                     out.append((call(*values), None))
                     break
                 except Exception as e:  # noqa: BLE001 - whatever a model's client raises is the row's error
                     error = f"{type(e).__name__}: {e}"
+                    if waits and attempt < attempts:
+                        time.sleep(waits(attempt, e))
             else:
-                out.append((None, error))
+                out.append((other, error))
         return pd.DataFrame(out, columns=[output, "error"])
 
     rows = rows.repartition(parallel) if parallel else rows
-    return rows.withColumn("_m", run(*map(F.col, inputs))).select(*rows.columns, f"_m.{output}", "_m.error")
+    other = F.col(fallback) if fallback else F.lit(None).cast("string")
+    return rows.withColumn("_m", run(*map(F.col, inputs), other)).select(*rows.columns, f"_m.{output}", "_m.error")
 
 
 def embedded(rows: DataFrame, embed: Callable[[list[str]], list[list[float]]], text: Column, output: str = "embedding", batch: int = 128) -> DataFrame:
@@ -179,6 +194,22 @@ def embedded(rows: DataFrame, embed: Callable[[list[str]], list[list[float]]], t
     return rows.withColumn(output, run(text))
 
 
+def to_extract(sections: DataFrame, entities_: DataFrame | None = None, doc: str = "doc_name", text: str = "text") -> DataFrame:
+    """Sections that a model is asked about: not blank and, for relations, of documents that have entities."""
+    out = sections.where(T.strip(F.col(text)) != "")
+    return out if entities_ is None else out.join(entities_.select(doc).distinct(), doc, "left_semi")
+
+
+def table_preview(tables: DataFrame, rows: int = 3) -> DataFrame:
+    """Add the first rows of each table, ``preview``, and their number, ``n_rows``."""
+    return tables.withColumn("preview", F.slice("rows", 1, rows)).withColumn("n_rows", F.size("rows"))
+
+
+def page_base64(content: Column) -> Column:
+    """A rasterised page as models take it."""
+    return F.base64(content)
+
+
 def table_json(raw: Column) -> Column:
     """Tables that a vision model returned: an array of title, headers, rows."""
     return F.from_json(unfenced(raw), "array<struct<title:string,headers:array<string>,rows:array<array<string>>>>")

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lorekeep import constants as K
+from lorekeep.shared import drop_written, materialize
 
 #: Broadcast at most so many alias rows; more are joined by shuffle.
 BROADCAST_ALIASES = 500_000
@@ -63,6 +64,49 @@ def graph_counts(nodes_: DataFrame, edges_: DataFrame) -> DataFrame:
     return one("nodes", nodes_).unionAll(one("edges", edges_))
 
 
+def upserted(old: DataFrame, new: DataFrame, keys: list[str], order: list[Column] | None = None) -> DataFrame:
+    """The rows of ``new``, of each key the last in ``order``, and those of ``old`` whose key isn't among them.
+
+    Columns that only one side has are null on the other.
+    """
+    if order:
+        row = F.struct(*[F.col(c) for c in new.columns if c not in keys])
+        new = new.groupBy(*keys).agg(F.max_by(row, F.struct(*order)).alias("_row")).select(*keys, "_row.*")
+    return new.unionByName(old.join(new.select(*keys), keys, "left_anti"), allowMissingColumns=True)
+
+
+def chunk_nodes(chunks: DataFrame, order: list[Column]) -> DataFrame:
+    """(chunk_id, text, document_name, section_heading, chunk_index): the last row of each chunk_id."""
+    fields = ["text", "document_name", "section_heading", "chunk_index"]
+    return chunks.groupBy("chunk_id").agg(F.max_by(F.struct(*fields), F.struct(*order)).alias("_c")).select("chunk_id", "_c.*")
+
+
+def with_vectors(rows: DataFrame, vectors: DataFrame, key: str) -> DataFrame:
+    """Rows with their embedding: the new one of ``vectors`` (key, embedding) where there is one, else their own."""
+    new = vectors.where("embedding is not null").select(key, F.col("embedding").alias("_new"))
+    own = rows if "embedding" in rows.columns else rows.withColumn("embedding", F.lit(None).cast("array<float>"))
+    return own.join(new, key, "left").withColumn("embedding", F.coalesce("_new", "embedding")).drop("_new")
+
+
+def vector_report(rows: DataFrame) -> DataFrame:
+    """(rows, embedded, dimension): how many rows there are, how many have a vector, and the longest one's length (0 without)."""
+    return rows.agg(F.count("*").alias("rows"), F.count("embedding").alias("embedded"), F.coalesce(F.max(F.size("embedding")), F.lit(0)).alias("dimension"))
+
+
+def document_totals(entities: DataFrame, relations: DataFrame, doc: str = "doc_name") -> DataFrame:
+    """(doc, n_entities, n_relations) of every document of either table."""
+    e = entities.groupBy(doc).agg(F.count("*").alias("n_entities"))
+    r = relations.groupBy(doc).agg(F.count("*").alias("n_relations"))
+    out = e.join(r, doc, "full")
+    return out.select(doc, F.coalesce("n_entities", F.lit(0)).alias("n_entities"), F.coalesce("n_relations", F.lit(0)).alias("n_relations"))
+
+
+def connected(edges_: DataFrame, nodes_: DataFrame) -> DataFrame:
+    """The edges whose two ends are nodes."""
+    n = nodes_.select("entity_id").distinct()
+    return edges_.join(n.withColumnRenamed("entity_id", "src"), "src", "left_semi").join(n.withColumnRenamed("entity_id", "dst"), "dst", "left_semi")
+
+
 def document_nodes(chunks: DataFrame) -> DataFrame:
     """(entity_id, name): one node a document of the chunks."""
     return chunks.select("document_name").where("document_name is not null").distinct().select(F.concat(F.lit("doc-"), "document_name").alias("entity_id"), F.col("document_name").alias("name"))
@@ -75,26 +119,37 @@ def chunk_documents(chunks: DataFrame, documents: DataFrame) -> DataFrame:
 
 # ---- mentions -----------------------------------------------------------------------------------------
 
-_TOKEN = r"[^\p{L}\p{N}_]+"
+
+def _words(text: Column) -> Column:
+    """Maximal runs of word characters, those between which patterns see a word boundary."""
+    return F.filter(F.split(text, r"(?U)\W+"), lambda w: w != "")
 
 
 def mentions(chunks: DataFrame, aliases: DataFrame) -> DataFrame:
     """(chunk_id, entity_id): chunks in which an alias of more than two characters occurs as whole words, whatever the case.
 
-    An alias that begins with a word character is looked for only in chunks with its first word: an equi-join on
-    words, then the exact pattern.  The few others are compared with all chunks.
+    Every word of an alias is a whole word of the text, so chunks and aliases meet by an equi-join on words, an alias by its
+    longest one; no text takes part in it.  An alias that is one word is found by that.  The others are looked up in
+    the text, which joins the candidates of its chunk once.  Aliases without any word are compared with all chunks.
     """
-    a = aliases.where(F.length("alias") > 2).select(F.lower("alias").alias("alias"), "entity_id")
-    a = a.withColumn("_first", F.element_at(F.split("alias", _TOKEN), 1))
-    few = a.limit(BROADCAST_ALIASES + 1).count() <= BROADCAST_ALIASES
-    small = F.broadcast if few else (lambda d: d)
-    c = chunks.select("chunk_id", "text", F.lower("text").alias("_low"))
-    hit = F.contains("_low", F.col("alias")) & F.rlike("text", F.concat(F.lit(r"(?iu)(?U)\b\Q"), F.replace(F.col("alias"), F.lit("\\E"), F.lit("\\E\\\\E\\Q")), F.lit(r"\E\b")))
-    words = c.withColumn("_first", F.explode(F.array_distinct(F.split("_low", _TOKEN))))
-    by_word = words.join(small(a.where("_first <> ''")), "_first").where(hit).select("chunk_id", "entity_id")
-    odd = a.where("_first = ''").drop("_first")
-    others = c.join(small(odd), hit).select("chunk_id", "entity_id")
-    return by_word.unionAll(others).distinct()
+    a = aliases.where(F.length("alias") > 2).select(F.lower("alias").alias("alias"), "entity_id").distinct()
+    a = a.withColumn("_word", F.array_max(F.transform(_words(F.col("alias")), lambda w: F.struct(F.length(w).alias("n"), w.alias("w")))).w)
+    kinds = {r.kind: r.n for r in a.select(F.when(F.col("_word").isNull(), "none").when(F.col("_word") == F.col("alias"), "whole").otherwise("part").alias("kind")).groupBy("kind").agg(F.count("*").alias("n")).collect()}
+    small = F.broadcast if sum(kinds.values()) <= BROADCAST_ALIASES else (lambda d: d)
+    words = chunks.select("chunk_id", F.explode(F.array_distinct(_words(F.lower("text")))).alias("_word"))
+    out = words.join(small(a.where("_word = alias").select("_word", "entity_id")), "_word").select("chunk_id", "entity_id")
+
+    def occurs(alias: Column) -> Column:
+        pattern = F.concat(F.lit(r"(?iu)(?U)\b\Q"), F.replace(alias, F.lit("\\E"), F.lit("\\E\\\\E\\Q")), F.lit(r"\E\b"))
+        return F.contains(F.lower("text"), alias) & F.rlike("text", pattern)
+
+    if kinds.get("part"):
+        met = words.join(small(a.where("_word <> alias")), "_word").groupBy("chunk_id").agg(F.collect_set(F.struct("alias", "entity_id")).alias("_met"))
+        found = chunks.select("chunk_id", "text").join(met, "chunk_id").select("chunk_id", F.explode(F.filter("_met", lambda m: occurs(m.alias))).alias("_m"))
+        out = out.unionAll(found.select("chunk_id", "_m.entity_id"))
+    if kinds.get("none"):
+        out = out.unionAll(chunks.join(small(a.where("_word is null")), occurs(F.col("alias"))).select("chunk_id", "entity_id"))
+    return out.distinct()
 
 
 def linked_mentions(pairs: DataFrame, chunks: DataFrame, nodes_: DataFrame) -> DataFrame:
@@ -111,22 +166,25 @@ def violations(nodes_: DataFrame, edges_: DataFrame, literals: DataFrame) -> Dat
     ``literals`` is (entity_id, path, value).  Object paths are checked for number and type of their targets,
     literal paths for number and allowed values; labels and edges no shape knows are warnings.
     """
+    # 49 shapes: a constant.
     shapes = F.broadcast(K.shapes_table(nodes_.sparkSession))
     n = nodes_.select(F.col("entity_id").alias("focus_id"), F.col("label").alias("shape"))
-    e = edges_.select(F.col("src").alias("focus_id"), F.col("rel_type").alias("path"), F.col("dst").alias("value"))
-    values = e.unionAll(literals.select(F.col("entity_id").alias("focus_id"), "path", "value"))
-    counts = values.groupBy("focus_id", "path").agg(F.count("*").alias("n"))
-    wanted = n.join(shapes.select("shape", "path", "min_count", "max_count").where("min_count > 0 or max_count is not null"), "shape").join(counts, ["focus_id", "path"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    e = edges_.select(F.col("src").alias("focus_id"), F.col("rel_type").alias("path"), F.col("dst").alias("value"), F.lit(True).alias("_edge"))
+    values = e.unionAll(literals.select(F.col("entity_id").alias("focus_id"), "path", "value", F.lit(False)))
+    # One row for each node without regard to its values, so that each node and value is joined once.
+    every = n.join(values, "focus_id", "left").join(shapes.select("shape", "path", "kind", "allowed", F.lit(True).alias("_declared")), ["shape", "path"], "left")
+    ends = every.where("_edge").join(nodes_.select(F.col("entity_id").alias("value"), F.col("label").alias("_target")), "value", "left")
     report = lambda d, what, seen, severity="Violation": d.select("focus_id", "shape", "path", F.lit(what).alias("constraint"), F.lit(severity).alias("severity"), seen.cast("string").alias("observed"))
-    out = report(wanted.where("n < min_count"), "minCount", F.col("n")).unionAll(report(wanted.where("n > max_count"), "maxCount", F.col("n")))
-    allowed = shapes.select("shape", "path", "kind", "allowed")
-    ends = e.join(n, "focus_id").join(nodes_.select(F.col("entity_id").alias("value"), F.col("label").alias("_target")), "value", "left")
-    typed = ends.join(allowed.where("kind = 'object'"), ["shape", "path"])
-    out = out.unionAll(report(typed.where(~F.coalesce(F.array_contains("allowed", F.col("_target")), F.lit(False))), "class", F.coalesce("_target", F.lit("(missing)"))))
-    undeclared = ends.join(allowed, ["shape", "path"], "left_anti")
-    out = out.unionAll(report(undeclared, "closed", F.col("value")))
-    values_in = literals.select(F.col("entity_id").alias("focus_id"), "path", "value").join(n, "focus_id").join(allowed.where("kind = 'literal' and size(allowed) > 0"), ["shape", "path"])
-    out = out.unionAll(report(values_in.where(~F.array_contains("allowed", F.col("value"))), "in", F.col("value")))
+    allowed = F.coalesce(F.array_contains("allowed", F.col("_target")), F.lit(False))
+    what = F.when(F.col("_declared").isNull(), "closed").when((F.col("kind") == "object") & ~allowed, "class")
+    wrong = ends.withColumn("_what", what).where("_what is not null")
+    out = wrong.select("focus_id", "shape", "path", F.col("_what").alias("constraint"), F.lit("Violation").alias("severity"), F.when(F.col("_what") == "closed", F.col("value")).otherwise(F.coalesce("_target", F.lit("(missing)"))).alias("observed"))
+    listed = every.where((F.col("_edge") == F.lit(False)) & (F.col("kind") == "literal") & (F.size("allowed") > 0) & ~F.array_contains("allowed", F.col("value")))
+    out = out.unionAll(report(listed, "in", F.col("value")))
+    counts = every.where("path is not null").groupBy("focus_id", "path").agg(F.count("*").alias("n"))
+    wanted = n.join(shapes.select("shape", "path", "min_count", "max_count").where("min_count > 0 or max_count is not null"), "shape").join(counts, ["focus_id", "path"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    which = F.when(F.col("n") < F.col("min_count"), "minCount").when(F.col("n") > F.col("max_count"), "maxCount")
+    out = out.unionAll(wanted.withColumn("_what", which).where("_what is not null").select("focus_id", "shape", "path", "_what", F.lit("Violation"), F.col("n").cast("string")))
     unknown = n.join(shapes.select("shape").distinct(), "shape", "left_anti").withColumn("path", F.lit("label"))
     return out.unionAll(report(unknown, "undeclared", F.col("shape"), "Warning"))
 
@@ -138,7 +196,7 @@ def details(nodes_: DataFrame, seeds: DataFrame) -> DataFrame:
     """(entity_id, name, type, label) of the seeds that exist."""
     from lorekeep.functions.text import type_label
 
-    return nodes_.join(F.broadcast(seeds.select("entity_id").distinct()), "entity_id", "left_semi").select("entity_id", "name", type_label(F.col("label")).alias("type"), "label")
+    return nodes_.join(seeds.select("entity_id").distinct(), "entity_id", "left_semi").select("entity_id", "name", type_label(F.col("label")).alias("type"), "label")
 
 
 def triples(nodes_: DataFrame, edges_: DataFrame, seeds: DataFrame, hops: int = 2) -> DataFrame:
@@ -146,7 +204,7 @@ def triples(nodes_: DataFrame, edges_: DataFrame, seeds: DataFrame, hops: int =
 
     An edge isn't followed by itself.
     """
-    s = F.broadcast(seeds.select(F.col("entity_id").alias("src")).distinct())
+    s = seeds.select(F.col("entity_id").alias("src")).distinct()
     first = edges_.join(s, "src", "left_semi").select("src", "rel_type", "dst")
     found = first
     if hops >= 2:
@@ -162,24 +220,46 @@ def triples(nodes_: DataFrame, edges_: DataFrame, seeds: DataFrame, hops: int =
 def shortest_paths(nodes_: DataFrame, edges_: DataFrame, seeds: DataFrame, most: int = 3) -> DataFrame:
     """(from_id, to_id, hops, rel_types) of every pair of seeds, from_id < to_id; hops -1 if none has ``most`` or fewer.
 
-    Edges count in both directions.  The frontier grows from the seeds a hop a round; only the first path in
-    order of relation types is kept for each pair reached, and nodes that were reached earlier aren't left again.
+    Edges count in both directions.  Paths are put together in the middle: from every seed, and to every seed, nodes are reached
+    in as many hops as half of ``most``; a path of one hop more has an edge between the two.  So the edges are never joined with
+    a frontier that has gone through a hub.  Of the shortest paths the first in the order of relation types counts.
     """
-    ends = nodes_.join(F.broadcast(seeds.select("entity_id").distinct()), "entity_id", "left_semi").select("entity_id")
-    both = edges_.select("src", "rel_type", "dst").unionAll(edges_.select(F.col("dst").alias("src"), "rel_type", F.col("src").alias("dst"))).where("src <> dst").persist()
-    reached = frontier = ends.select(F.col("entity_id").alias("from_id"), F.col("entity_id").alias("at"), F.array().cast("array<string>").alias("rel_types"))
-    for hop in range(most):
-        new = frontier.join(both, F.col("at") == F.col("src")).select("from_id", F.col("dst").alias("at"), F.array_append("rel_types", F.col("rel_type")).alias("rel_types"))
-        if hop == most - 1:  # the last hop only matters where it reaches a seed
-            new = new.join(ends.select(F.col("entity_id").alias("at")), "at", "left_semi").select("from_id", "at", "rel_types")
-        new = new.groupBy("from_id", "at").agg(F.min("rel_types").alias("rel_types"))
-        # Each round is used by the next ones and by the result: computed once.
-        frontier = new.join(reached.select("from_id", "at"), ["from_id", "at"], "left_anti").persist()
-        reached = reached.unionAll(frontier)
+    spark, radius = nodes_.sparkSession, most // 2
+    ends = materialize(nodes_.join(seeds.select("entity_id").distinct(), "entity_id", "left_semi").select("entity_id"), "ends")
+    both = edges_.select("src", "rel_type", "dst").unionAll(edges_.select(F.col("dst").alias("src"), "rel_type", F.col("src").alias("dst"))).where("src <> dst")
+    none = F.array().cast("array<string>")
+    start = ends.select(F.col("entity_id").alias("seed"), F.col("entity_id").alias("at"), none.alias("rels"))
+    out_of, into, written = [start], [start], [ends]
+    reached = start.select("seed", "at")
+    for _ in range(radius):
+        near = out_of[-1].join(into[-1].select("seed", "at", F.col("rels").alias("back")), ["seed", "at"]).withColumnRenamed("at", "src")
+        new = near.join(both, "src").groupBy("seed", F.col("dst").alias("at")).agg(F.min(F.array_append("rels", F.col("rel_type"))).alias("rels"), F.min(F.array_prepend("back", F.col("rel_type"))).alias("back"))
+        new = materialize(new.join(reached, ["seed", "at"], "left_anti"), "reached")
+        written.append(new)
+        reached = reached.unionAll(new.select("seed", "at"))
+        out_of.append(new.select("seed", "at", "rels"))
+        into.append(new.select("seed", "at", F.col("back").alias("rels")))
     pairs = ends.select(F.col("entity_id").alias("from_id")).join(ends.select(F.col("entity_id").alias("to_id")), F.col("from_id") < F.col("to_id"))
-    found = reached.withColumnRenamed("at", "to_id")
-    out = pairs.join(found, ["from_id", "to_id"], "left")
-    return out.select("from_id", "to_id", F.when(F.col("rel_types").isNull(), -1).otherwise(F.size("rel_types")).alias("hops"), F.coalesce("rel_types", F.array().cast("array<string>")).alias("rel_types"))
+    left = [d.select(F.col("seed").alias("from_id"), "at", F.col("rels").alias("_a")) for d in out_of]
+    right = [d.select(F.col("seed").alias("to_id"), "at", F.col("rels").alias("_b")) for d in into]
+    found = None
+    for hops in range(1, most + 1):
+        if hops <= 2 * radius:
+            one = left[hops - hops // 2].join(right[hops // 2], "at").select("from_id", "to_id", F.concat("_a", "_b").alias("rels"))
+        else:
+            # Both ends of the edge in the middle are nodes that were reached, so only such edges are joined.
+            edge = both.join(left[-1].select(F.col("at").alias("src")).distinct(), "src", "left_semi").join(right[-1].select(F.col("at").alias("dst")).distinct(), "dst", "left_semi").distinct()
+            one = left[-1].withColumnRenamed("at", "src").join(edge, "src").join(right[-1].withColumnRenamed("at", "dst"), "dst")
+            one = one.select("from_id", "to_id", F.concat(F.array_append("_a", F.col("rel_type")), F.col("_b")).alias("rels"))
+        one = one.where("from_id < to_id")
+        found = one if found is None else found.unionAll(one)
+    best = found.groupBy("from_id", "to_id").agg(F.min(F.struct(F.size("rels").alias("hops"), "rels")).alias("_p"))
+    out = pairs.join(best, ["from_id", "to_id"], "left").select("from_id", "to_id", F.coalesce("_p.hops", F.lit(-1)).alias("hops"), F.coalesce("_p.rels", none).alias("rel_types"))
+    # A row for each pair of seeds: written, so that what it was made from can go.
+    out = materialize(out, "paths")
+    for t in written:
+        drop_written(spark, t)
+    return out
 
 
 def mention_counts(nodes_: DataFrame, mentions_: DataFrame) -> DataFrame:
@@ -188,13 +268,30 @@ def mention_counts(nodes_: DataFrame, mentions_: DataFrame) -> DataFrame:
     return nodes_.select("entity_id", "label", "name").join(counts, "entity_id", "left").select("entity_id", "label", "name", F.coalesce("_n", F.lit(0)).alias("mention_count"))
 
 
-def by_category(counts: DataFrame) -> DataFrame:
-    """(category, entities): every category, entities by falling mention count."""
-    spark = counts.sparkSession
+def with_category(counts: DataFrame) -> DataFrame:
+    """Add category and type."""
     from lorekeep.functions.text import type_label
 
     category = F.coalesce(*[F.when(F.col("label") == c, g) for c, g in K.CATEGORY.items()], F.lit(K.OTHER))
-    e = counts.withColumn("category", category).withColumn("type", type_label(F.col("label")))
+    return counts.withColumn("category", category).withColumn("type", type_label(F.col("label")))
+
+
+def category_totals(counts: DataFrame) -> DataFrame:
+    """(category, n_entities, n_mentions, first_entity) of every category; no row grows with it."""
+    order = F.struct(-F.col("mention_count"), F.col("entity_id"))
+    e = with_category(counts).groupBy("category").agg(F.count("*").alias("n_entities"), F.sum("mention_count").alias("n_mentions"), F.min_by("entity_id", order).alias("first_entity"))
+    names = counts.sparkSession.createDataFrame([(c,) for c in K.CATEGORIES], "category string")
+    out = names.join(e, "category", "full")
+    return out.select("category", F.coalesce("n_entities", F.lit(0)).alias("n_entities"), F.coalesce("n_mentions", F.lit(0)).alias("n_mentions"), "first_entity")
+
+
+def by_category(counts: DataFrame, most: int | None = None) -> DataFrame:
+    """(category, entities): every category, entities by falling mention count, the first ``most`` of them if that is given."""
+    spark = counts.sparkSession
+    e = with_category(counts)
+    if most is not None:
+        rank = F.row_number().over(Window.partitionBy("category").orderBy(F.desc("mention_count"), "entity_id"))
+        e = e.withColumn("_rank", rank).where(F.col("_rank") <= most)
     listed = F.array_sort(F.collect_list(F.struct((-F.col("mention_count")).alias("k"), "entity_id", "name", "type", "mention_count")))
     e = e.groupBy("category").agg(listed.alias("_e"))
     names = spark.createDataFrame([(c,) for c in K.CATEGORIES], "category string").unionByName(e.select("category")).distinct()

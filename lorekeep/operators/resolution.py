@@ -1,9 +1,9 @@
 """Entity resolution: clustering names within a type, canonical entities, alias maps.
 
 The two clustering tiers depend on the order of the input (a later entity can take over a name, a
-merged cluster stops matching), so a type's names are folded in order.  What reaches a fold is compact: the
-quadratic part, comparing cluster names, runs before it as a join pruned by length
-bounds, on all executors, and only pairs at or above the flagging threshold go on.
+merged cluster stops matching), so names are folded in order; but only names that are connected, by a shared name or by a chain
+of similar ones, ever meet.  Each connected component is folded by itself.  Similar names are
+found by a join on rare characters, which no similar pair escapes, and compared on all executors.
 """
 
 from __future__ import annotations
@@ -15,6 +15,10 @@ from pyspark.sql import functions as F
 from lorekeep import constants as K
 from lorekeep.functions import text as T
 from lorekeep.functions.similarity import may_reach, ratios
+from lorekeep.operators.components import few_components
+
+#: Characters from common to rare; what isn't listed is rarer still.
+COMMON = " eaiontrslcudphmgbfywvkxzjq0123456789"
 
 
 def canonical_name(names: Column) -> Column:
@@ -34,6 +38,11 @@ def exact_clusters(entities: DataFrame, kind: str = "entity_type", seq: str = "s
     """
     keys = F.transform(F.concat(F.array("name"), "aliases"), T.normalized)
     d = entities.select(kind, seq, keys.alias("_keys"))
+    named = d.select(kind, F.col(seq).alias("a"), F.explode("_keys").alias("_key"))
+    first = named.groupBy(kind, "_key").agg(F.min("a").alias("b"), F.count("*").alias("_n")).where("_n > 1")
+    # Entities that share a name, directly or through others, are one component.
+    met = few_components(named.join(first, [kind, "_key"]).select("a", "b"))
+    d = d.join(met, d[seq] == met["node"])
 
     def fold(group: pd.DataFrame) -> pd.DataFrame:
         owner: dict[str, int] = {}
@@ -42,18 +51,32 @@ def exact_clusters(entities: DataFrame, kind: str = "entity_type", seq: str = "s
             cluster = next((owner[n] for n in names if n in owner), s)
             owner.update(dict.fromkeys(names, cluster))
             home.append((s, cluster))
-        return pd.DataFrame(home, columns=["_seq", "cluster"]).assign(_kind=group[kind].iloc[0])[["_kind", "_seq", "cluster"]]
+        return pd.DataFrame(home, columns=["_seq", "cluster"])
+
+    found = d.groupBy("component").applyInPandas(fold, "_seq long, cluster long")
+    out = entities.join(found, F.col(seq) == F.col("_seq"), "left")
+    return out.withColumn("cluster", F.coalesce("cluster", F.col(seq).cast("long"))).drop("_seq")
+
 
-    found = d.groupBy(kind).applyInPandas(fold, "_kind string, _seq long, cluster long")
-    return entities.join(found, (F.col(kind) == F.col("_kind")) & (F.col(seq) == F.col("_seq"))).drop("_kind", "_seq")
+def rare_characters(key: Column, least: float) -> Column:
+    """The rarest characters of a string, numbered by occurrence, of which any string as similar as ``least`` has one too.
+
+    Similar strings share at least ``least / (2 - least)`` of either one's characters, so that of all characters in one
+    order, rare first, those that remain can't all be missing.
+    """
+    own = F.filter(F.split(key, ""), lambda c: c != "")
+    numbered = F.transform(own, lambda c, i: F.concat(F.lpad(F.locate(c, F.lit(COMMON[::-1])).cast("string"), 2, "0"), c, F.size(F.filter(F.slice(own, 1, i + 1), lambda x: x == c)).cast("string")))
+    keep = F.size(own) - F.ceil(F.size(own) * F.lit(least / (2 - least)) - 1e-9).cast("int") + 1
+    return F.when(F.size(own) == 0, F.array(F.lit(""))).otherwise(F.slice(F.array_sort(numbered), F.lit(1), keep))
 
 
 def similar_names(names: DataFrame, kind: str = "entity_type", seq: str = "seq", least: float = K.FLAG_AT) -> DataFrame:
     """(type, seq_a, seq_b, name_a, name_b, similarity) of names of a type, a before b, with similarity >= ``least``."""
-    n = names.select(F.col(kind).alias("entity_type"), F.col(seq).alias("s"), F.col("name"), T.normalized(F.col("name")).alias("key"), F.length(T.normalized(F.col("name"))).alias("len"))
-    a, b = (n.select("entity_type", *[F.col(c).alias(f"{c}_{x}") for c in ("s", "name", "key", "len")]) for x in "ab")
-    pairs = a.join(b, "entity_type").where((F.col("s_a") < F.col("s_b")) & may_reach(F.col("key_a"), F.col("key_b"), least))
-    pairs = pairs.withColumn("similarity", ratios("key_a", "key_b")).where(F.col("similarity") >= least)
+    n = names.select(F.col(kind).alias("entity_type"), F.col(seq).alias("s"), F.col("name"), T.normalized(F.col("name")).alias("key"))
+    n = n.withColumn("rare", F.explode(rare_characters(F.col("key"), least)))
+    a, b = (n.select("entity_type", "rare", *[F.col(c).alias(f"{c}_{x}") for c in ("s", "name", "key")]) for x in "ab")
+    pairs = a.join(b, ["entity_type", "rare"]).where((F.col("s_a") < F.col("s_b")) & may_reach(F.col("key_a"), F.col("key_b"), least))
+    pairs = pairs.drop("rare").distinct().withColumn("similarity", ratios("key_a", "key_b")).where(F.col("similarity") >= least)
     return pairs.select("entity_type", F.col("s_a").alias("seq_a"), F.col("s_b").alias("seq_b"), "name_a", "name_b", "similarity")
 
 
@@ -78,7 +101,9 @@ def merged_clusters(pairs: DataFrame) -> DataFrame:
         d = pd.DataFrame(out, columns=["seq", "into", "flagged_with", "similarity"]).astype({"into": "Int64", "flagged_with": "Int64"})
         return d.assign(entity_type=group["entity_type"].iloc[0])[["entity_type", "seq", "into", "flagged_with", "similarity"]]
 
-    return pairs.groupBy("entity_type").applyInPandas(fold, "entity_type string, seq long, into long, flagged_with long, similarity double")
+    # Names of one type only are paired, so a component has one type.
+    pairs = pairs.join(few_components(pairs, "seq_a", "seq_b"), F.col("seq_a") == F.col("node"))
+    return pairs.groupBy("component").applyInPandas(fold, "entity_type string, seq long, into long, flagged_with long, similarity double")
 
 
 def first_seen(rows: DataFrame, group: list[str], value: str, key: Column, order: list[str]) -> DataFrame:
@@ -154,6 +179,18 @@ def alias_map(entities: DataFrame, seq: str = "seq") -> DataFrame:
     return names.groupBy(F.lower("_n").alias("alias")).agg(F.min_by("entity_id", order).alias("entity_id"))
 
 
+def registry(entities: DataFrame, ambiguous: DataFrame) -> DataFrame:
+    """One row: entity_count, the entities by type and name, and the ambiguous pairs, null if there are none.
+
+    It is the registry as one document and grows with it; ``entities`` itself is the table to work with.
+    """
+    fields = ["entity_id", "name", "entity_type", "aliases", "description", "sources"]
+    listed = F.array_sort(F.collect_list(F.struct("entity_type", "name", F.struct(*fields).alias("e"))))
+    pairs = F.array_sort(F.collect_list(F.struct("entity_a", "entity_b", "entity_type", "similarity")))
+    e = entities.agg(F.count("*").alias("entity_count"), F.transform(listed, lambda s: s.e).alias("entities"))
+    return e.crossJoin(ambiguous.agg(F.when(F.count("*") > 0, pairs).alias("ambiguous_candidates")))
+
+
 def last_rows(rows: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """One row a key: the last in ``order``."""
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*[o.desc() for o in order]))

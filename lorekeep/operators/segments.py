@@ -1,19 +1,23 @@
 """Cutting documents into sections, chunks and line windows: one row in, many rows out.
 
-These are folds whose next step depends on the sizes so far, which the built-in functions
-can't express well, so each is an Arrow-batched function from a text to an array of
-structs that the plan explodes.  A document is the unit of work: nothing is shuffled.
+Where a text is cut depends on the sizes of what was cut before, which the built-in functions can't express
+well, so each cutter is an Arrow-batched function from a text to an array of structs that the plan explodes.
+All of them work alike: the pieces' lengths are summed up once, each cut is looked up in the sums, and only then are
+texts put together.  A document is the unit of work: nothing is shuffled.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Iterator
+from bisect import bisect_right
+from collections.abc import Callable, Sequence
+from itertools import accumulate, groupby, pairwise
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Page markers, headings, ends of sentences.
 _PAGE = re.compile(r"<!--\s*PAGE\s+(\d+)\s*-->", re.IGNORECASE)
 _HEADING = re.compile(r"^(#{2,3})\s+(.+)", re.MULTILINE)
 _ANY_HEADING = re.compile(r"^#{1,4}\s+.+", re.MULTILINE)
@@ -23,91 +27,83 @@ GAP = "\n\n"
 Section = tuple[str, str]
 
 
-# ---- sections ------------------------------------------------------------------------------
+class Sums:
+    """Lengths of texts that are joined by GAP, as running sums with a gap after each."""
+
+    def __init__(self, texts: Sequence[str]):
+        self.upto = [0, *accumulate(len(t) + len(GAP) for t in texts)]
+
+    def reach(self, first: int, room: int) -> int:
+        """The end of the longest run from ``first`` on whose joined length is at most ``room``."""
+        return bisect_right(self.upto, self.upto[first] + room + len(GAP), first) - 1
 
 
-def grouped(paragraphs: Iterable[str], target: int) -> Iterator[str]:
-    """Join paragraphs until the next one would exceed ``target``; a long paragraph stays whole."""
-    held: list[str] = []
-    size = 0
-    for p in paragraphs:
-        if held and size + len(p) > target:
-            yield GAP.join(held)
-            held, size = [], 0
-        held.append(p)
-        size += len(p) + len(GAP)
-    if held:
-        yield GAP.join(held)
+def marked(pattern: re.Pattern[str], text: str) -> list[tuple[re.Match[str] | None, int, int]]:
+    """Each match with the bounds of the text from its end to the next match; first, without a match, what comes before all."""
+    found = list(pattern.finditer(text))
+    begins = [0, *(m.end() for m in found)]
+    ends = [*(m.start() for m in found), len(text)]
+    return list(zip([None, *found], begins, ends, strict=True))
+
+
+# ---- sections ------------------------------------------------------------------------------
 
 
 def in_parts(text: str, name: str, target: int) -> list[Section]:
-    return [(f"{name}_part{i}", t) for i, t in enumerate(grouped(re.split(r"\n\n+", text), target))]
+    """Runs of paragraphs of at most ``target`` characters; a longer paragraph is a part of its own."""
+    paragraphs = re.split(r"\n\n+", text)
+    sums, cuts = Sums(paragraphs), [0]
+    while cuts[-1] < len(paragraphs):
+        cuts.append(max(cuts[-1] + 1, sums.reach(cuts[-1], target)))
+    return [(f"{name}_part{i}", GAP.join(paragraphs[a:b])) for i, (a, b) in enumerate(pairwise(cuts))]
 
 
-def balanced(pieces: Iterable[tuple[str, str]], least: int, most: int, target: int, joined_name) -> list[Section]:
+def balanced(pieces: Sequence[Section], least: int, most: int, target: int, run_name: Callable[[Sequence[str]], str]) -> list[Section]:
     """Sections of moderate size from (name, text) pieces.
 
-    A short piece opens a group that takes in what follows as long as it fits ``most``; a long one is cut at
-    paragraphs; a group that is open at the end goes into the last section if it fits.
+    A piece under ``least`` begins a run of as many pieces as fit ``most``; one over ``most`` is cut at paragraphs. A run
+    that takes in the last piece is added to the section before it if that fits.
     """
-    out: list[Section] = []
-    group: list[tuple[str, str]] = []
-
-    def close() -> Section:
-        return joined_name([n for n, _ in group]), GAP.join(t for _, t in group)
-
-    for name, text in pieces:
-        if group:
-            if sum(len(t) + len(GAP) for _, t in group) + len(text) <= most:
-                group.append((name, text))
-                continue
-            out.append(close())
-            group = []
-        if len(text) < least:
-            group = [(name, text)]
-        elif len(text) > most:
-            out += in_parts(text, name, target)
-        else:
-            out.append((name, text))
-    if group:
-        name, text = close()
-        if out and len(out[-1][1]) + len(GAP) + len(text) <= most:
-            out[-1] = (out[-1][0], out[-1][1] + GAP + text)
-        else:
-            out.append((name, text))
+    names, texts = [n for n, _ in pieces], [t for _, t in pieces]
+    sums, out, at = Sums(texts), [], 0
+    while at < len(texts):
+        if len(texts[at]) > most and len(texts[at]) >= least:
+            out += in_parts(texts[at], names[at], target)
+            at += 1
+            continue
+        short = len(texts[at]) < least
+        end = max(at + 1, sums.reach(at, most)) if short else at + 1
+        name, text = run_name(names[at:end]), GAP.join(texts[at:end])
+        if short and end == len(texts) and out and len(out[-1][1]) + len(GAP) + len(text) <= most:
+            name, text = out[-1][0], out.pop()[1] + GAP + text
+        out.append((name, text))
+        at = end
     return out
 
 
 def page_sections(text: str, least: int = 1000, most: int = 5000, target: int = 3500) -> list[Section]:
     """Sections by page markers; text before the first marker isn't part of any."""
-    cuts = _PAGE.split(text)
-    pages = [(f"page-{int(n)}", body.strip()) for n, body in zip(cuts[1::2], cuts[2::2], strict=True) if body.strip()]
+    pages = [(str(int(m[1])), text[a:b].strip()) for m, a, b in marked(_PAGE, text)[1:]]
+    pages = [p for p in pages if p[1]]
     if not pages:
         return [("page-1", text.strip())]
-
-    def name(names: list[str]) -> str:
-        return names[0] if len(names) == 1 else f"{names[0]}-{names[-1].removeprefix('page-')}"
-
-    return balanced(pages, least, most, target, name)
+    return balanced([(f"page-{n}", t) for n, t in pages], least, most, target, lambda run: "-".join([run[0], *(n.removeprefix("page-") for n in run[1:][-1:])]))
 
 
 def heading_sections(text: str, least: int = 1000, most: int = 5000, target: int = 3500) -> list[Section]:
-    """Sections by headings of levels 1 to 4; a group keeps its first heading as its name."""
-    starts = [m.start() for m in _ANY_HEADING.finditer(text)]
-    if not starts:
+    """Sections by headings of levels 1 to 4; a run keeps its first heading as its name."""
+    before, *found = marked(_ANY_HEADING, text)
+    if not found:
         return in_parts(text, "section", target)
-    pieces = [("preamble", text[: starts[0]].strip())] if text[: starts[0]].strip() else []
-    for a, b in zip(starts, [*starts[1:], len(text)], strict=True):
-        body = text[a:b].strip()
-        pieces.append((body.split("\n", 1)[0].strip().lstrip("#").strip(), body))
-    return balanced(pieces, least, most, target, lambda names: names[0])
+    pieces = [("preamble", text[: before[2]].strip())] if text[: before[2]].strip() else []
+    pieces += [(m[0].strip().lstrip("#").strip(), text[m.start() : b].strip()) for m, _, b in found]
+    return balanced(pieces, least, most, target, lambda run: run[0])
 
 
-def titled(text: str) -> list[tuple[str, str]]:
+def by_heading(text: str) -> list[Section]:
     """(heading, body) of headings of levels 2 and 3; what comes before the first has an empty heading."""
-    cuts = _HEADING.split(text)
-    head = [("", cuts[0].strip())] if cuts[0].strip() else []
-    return head + [(t.strip(), b.strip()) for t, b in zip(cuts[2::3], cuts[3::3], strict=True)]
+    parts = [(m[2].strip() if m else "", text[a:b].strip()) for m, a, b in marked(_HEADING, text)]
+    return parts if parts[0][1] else parts[1:]
 
 
 def rendered(heading: str, body: str) -> str:
@@ -115,15 +111,13 @@ def rendered(heading: str, body: str) -> str:
 
 
 def relation_sections(text: str, least: int = 3000) -> list[Section]:
-    """Sections by headings for relation extraction: joined while under ``least`` together, never cut."""
-    out: list[list[str]] = []
-    for title, body in titled(text):
-        whole = body if not title else rendered(title, body) if body else f"## {title}"
-        if out and len(out[-1][1]) + len(whole) < least:
-            out[-1][1] += GAP + whole
-        else:
-            out.append([title or "preamble", whole])
-    return [(f"sec-{i:03d}-{_slug(t)}", b) for i, (t, b) in enumerate(out)]
+    """Sections by headings for relation extraction: joined while under ``least`` without the gap between, never cut."""
+    parts = by_heading(text)
+    texts = [rendered(h, b) if b else f"## {h}" for h, b in parts]
+    sums, cuts = Sums(texts), [0]
+    while cuts[-1] < len(texts):
+        cuts.append(max(cuts[-1] + 1, sums.reach(cuts[-1], least - 1 + len(GAP))))
+    return [(f"sec-{i:03d}-{_slug(parts[a][0] or 'preamble')}", GAP.join(texts[a:b])) for i, (a, b) in enumerate(pairwise(cuts))]
 
 
 def _slug(title: str, most: int = 40) -> str:
@@ -133,61 +127,63 @@ def _slug(title: str, most: int = 40) -> str:
 # ---- chunks -----------------------------------------------------------------------------------
 
 
-def without_tiny(sections: list[tuple[str, str]], least: int = 100) -> list[tuple[str, str]]:
-    """Append sections shorter than ``least`` to the one before; a tiny first one goes before the second."""
-    out: list[tuple[str, str]] = []
-    for heading, body in sections:
-        whole = rendered(heading, body)
-        if out and len(whole.strip()) < least:
-            out[-1] = (out[-1][0], (out[-1][1] + GAP + whole).strip())
-        else:
-            out.append((heading, body))
+def without_tiny(sections: list[Section], least: int = 100) -> list[Section]:
+    """Sections shorter than ``least`` belong to the one before; if the first is still tiny with its own, to the second."""
+    small = [len(rendered(*s).strip()) < least for s in sections]
+    # A section that isn't small opens a family; the first one always does.
+    family = list(accumulate(i == 0 or not x for i, x in enumerate(small)))
+    out = []
+    for _, members in groupby(zip(family, sections, strict=True), key=lambda x: x[0]):
+        (heading, body), *others = [s for _, s in members]
+        out.append((heading, GAP.join([body, *(rendered(*s).strip() for s in others)]).strip() if others else body))
     if len(out) > 1 and len(rendered(*out[0]).strip()) < least:
-        (first, (heading, body)), rest = out[:2], out[2:]
-        out = [(heading, (rendered(*first) + GAP + body).strip()), *rest]
+        out[:2] = [(out[1][0], GAP.join([rendered(*out[0]), out[1][1]]).strip())]
     return out
 
 
 def in_sentences(text: str) -> list[str]:
-    return [s.strip() for s in _SENTENCE.split(text) if s.strip()]
+    cuts = [0, *(m.start() for m in _SENTENCE.finditer(text)), len(text)]
+    return [s for s in (text[a:b].strip() for a, b in pairwise(cuts)) if s]
 
 
 def packed(pieces: list[str], most: int, overlap: int) -> list[str]:
-    """Fill chunks with pieces; a new chunk begins with the last ``overlap`` characters of the one before.
+    """Chunks of as many pieces as fit ``most``; each begins with the last ``overlap`` characters of the one before.
 
-    A piece too long for an empty chunk is packed by its sentences, the last of whose chunks stays open; one
-    that has only one sentence is a chunk of its own.  A chunk that begins with an overlap isn't
-    checked against ``most`` again.
+    The overlap counts, but the first piece after a chunk goes into the next one however long it is. Where there
+    is no chunk to follow, a piece too long for one is packed by its sentences, and what comes next goes on in the last of
+    these; with a single sentence it is a chunk that nothing follows.
     """
-    done: list[str] = []
-    held = ""
-    for piece in pieces:
-        longer = (held + GAP + piece).strip() if held else piece
-        if len(longer) <= most:
-            held = longer
-        elif held:
-            done.append(held)
-            held = (held[-overlap:] + GAP + piece).strip() if overlap else piece
-        elif len(parts := in_sentences(piece)) > 1:
-            *full, held = packed(parts, most, overlap) or [""]
-            done += full
-        else:
-            done.append(piece)
-    return [*done, held] if held else done
-
-
-def chunks(text: str, most: int = 1500, overlap: int = 200, least: int = 100) -> list[tuple[str, str]]:
+    sums, out, at = Sums(pieces), [], 0
+    follows = False
+    while at < len(pieces):
+        lead, end = "", at
+        if follows:
+            lead, end = (out[-1][-overlap:].lstrip() if overlap else ""), at + 1
+        elif len(pieces[at]) > most:
+            sentences = in_sentences(pieces[at])
+            at += 1
+            if len(sentences) < 2:
+                out.append(pieces[at - 1])
+                continue
+            out += packed(sentences, most, overlap)
+            lead, end = out.pop(), at
+        room = most - len(lead) - len(GAP) if lead else most
+        end = max(end, sums.reach(at, room)) if at < len(pieces) else at
+        out.append(GAP.join([*([lead] if lead else []), *pieces[at:end]]))
+        at, follows = end, True
+    return out
+
+
+def chunks(text: str, most: int = 1500, overlap: int = 200, least: int = 100) -> list[Section]:
     """(heading, text) of a document's chunks in order."""
     out = []
-    for heading, body in without_tiny(titled(text), least):
+    for heading, body in without_tiny(by_heading(text), least):
         whole = rendered(heading, body)
         if len(whole) <= most:
             out.append((heading, whole))
             continue
-        paragraphs = [p.strip() for p in re.split(r"\n{2,}", body) if p.strip()]
-        if paragraphs:
-            paragraphs[0] = rendered(heading, paragraphs[0])
-        out += [(heading, c) for c in packed(paragraphs, most, overlap)]
+        paragraphs = [p for p in map(str.strip, re.split(r"\n{2,}", body)) if p]
+        out += [(heading, c) for c in packed([rendered(heading, p) if i == 0 else p for i, p in enumerate(paragraphs)], most, overlap)]
     return out
 
 

@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from lorekeep.functions.text import display
-from lorekeep.functions.vectors import cosine
+from lorekeep.functions.vectors import cosine, norm
 from lorekeep.operators import graph as G
+from lorekeep.shared import drop_written, materialize, shared_dir
 
 BOOST = 0.3
 #: What is said where nothing can be looked up.
@@ -24,7 +25,7 @@ SYSTEM = (
 
 def graph_chunks(chunks: DataFrame, mentions: DataFrame, nodes: DataFrame, seeds: DataFrame, k: int = 10) -> DataFrame:
     """The ``k`` chunks that mention most of the seeds: (chunk_id, text, source, entity_count, mentioned_entities)."""
-    s = F.broadcast(seeds.select("entity_id").distinct())
+    s = seeds.select("entity_id").distinct()
     hit = mentions.join(s, "entity_id", "left_semi").join(nodes.select("entity_id", "name"), "entity_id")
     best = hit.groupBy("chunk_id").agg(F.countDistinct("entity_id").alias("entity_count"), F.array_sort(F.collect_set("name")).alias("mentioned_entities"))
     best = best.join(chunks.select("chunk_id"), "chunk_id", "left_semi").orderBy(F.desc("entity_count"), "chunk_id").limit(k)
@@ -57,6 +58,51 @@ def vector_chunks_each(vectors: DataFrame, queries: DataFrame, k: int = 10) -> D
     return scored.withColumn("_rank", rank).where(F.col("_rank") <= k).drop("_rank")
 
 
+def vector_index(vectors: DataFrame, lists: int | None = None, sample: int = 20_000, seed: int = 7) -> tuple[DataFrame, DataFrame]:
+    """An inverted-file index for approximate search: (chunk_id, embedding, list) of every vector, and (list, centre).
+
+    The centres are fitted by cosine on at most ``sample`` vectors, the first in the order of a hash of chunk_id; every vector
+    is filed under its nearest one.  Both tables are written to the shared folder, the first in a folder a list, so that a
+    search reads the lists it probes and no others.  ``lists`` is the root of the number of vectors, 1,024 at most.
+    """
+    from pyspark.ml.clustering import KMeans
+    from pyspark.ml.functions import array_to_vector
+
+    spark = vectors.sparkSession
+    rows = vectors.select("chunk_id", "embedding").where("embedding is not null")
+    rows = rows.where(norm(F.col("embedding")) > 0).withColumn("features", array_to_vector("embedding"))
+    some = materialize(rows.orderBy(F.xxhash64("chunk_id"), "chunk_id").limit(sample), "sample")
+    k = lists or max(1, min(1024, round(rows.count() ** 0.5)))
+    model = KMeans(k=max(2, k), seed=seed, distanceMeasure="cosine", maxIter=15).fit(some)
+    path = shared_dir(spark, "index")
+    model.transform(rows).select("chunk_id", "embedding", F.col("prediction").alias("list")).write.partitionBy("list").parquet(path)
+    centres = spark.createDataFrame([(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())], "list int, centre array<double>")
+    drop_written(spark, some)
+    return spark.read.parquet(path), centres
+
+
+def search_index(index: DataFrame, centres: DataFrame, queries: DataFrame, k: int = 10, probes: int = 8) -> DataFrame:
+    """As ``vector_chunks_each``, but only among the vectors in the ``probes`` lists whose centres are nearest to a query."""
+    q = queries.select("query_id", F.col("embedding").alias("_q"))
+    nearest = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("_c"), "list"))
+    # Centres are at most 1,024 rows.
+    probed = q.crossJoin(F.broadcast(centres)).withColumn("_c", cosine(F.col("_q"), F.col("centre"))).withColumn("_n", nearest).where(F.col("_n") <= probes)
+    scored = index.join(probed.select("query_id", "_q", "list"), "list").select("query_id", "chunk_id", cosine(F.col("embedding"), F.col("_q")).alias("score")).where("score is not null")
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "chunk_id"))
+    return scored.withColumn("_rank", rank).where(F.col("_rank") <= k).drop("_rank")
+
+
+def chunks_with(chunks: DataFrame, term: str, most: int = 1) -> DataFrame:
+    """(chunk_id) of the first chunks that hold a term, whatever its case: seeds for a search by what is like them."""
+    return chunks.where(F.contains(F.lower("text"), F.lit(term.lower()))).select("chunk_id").orderBy("chunk_id").limit(most)
+
+
+def entities_of(found: DataFrame, mentions: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(entity_id, name, n_chunks): what the chunks that were found mention."""
+    hit = mentions.join(found.select("chunk_id").distinct(), "chunk_id", "left_semi").groupBy("entity_id").agg(F.countDistinct("chunk_id").alias("n_chunks"))
+    return hit.join(nodes.select("entity_id", "name"), "entity_id").select("entity_id", "name", "n_chunks")
+
+
 def merged_chunks(graph: DataFrame, vector: DataFrame, k: int = 10, boost: float = BOOST) -> DataFrame:
     """Full outer merge: share of the largest coverage, plus similarity and a boost where both found a chunk.
 
