@@ -362,7 +362,7 @@ def test_whole_documents_are_merged(spark, sf):
 
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     long = {r.doc_id for r in docs.where("length(text) >= 600").select("doc_id").collect()}
-    rows = catalog.QUERIES["merge_descriptions_whole"](spark, sf).collect()
+    rows = catalog.QUERIES["merge_descriptions"](spark, sf).collect()
     assert long & {r.doc_id for r in rows}
     longest = docs.orderBy(F.desc(F.length("text"))).first()
     own = {r.sentence.lower() for r in rows if r.source == longest.source}
