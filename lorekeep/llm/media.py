@@ -70,7 +70,7 @@ def transform() -> np.ndarray:
     k = np.arange(8)
     basis = np.cos((2 * k[None, :] + 1) * k[:, None] * np.pi / 16) / 2
     basis[0] /= np.sqrt(2)
-    return np.kron(basis, basis)[ZIGZAG].astype(np.float32)
+    return np.kron(basis, basis)[ZIGZAG]
 
 
 TRANSFORM = transform()
@@ -411,8 +411,9 @@ class Image:
             x = np.empty((len(c.blocks), 64), np.float32)
             q = self.quantisers[c.table]
             for i in range(0, len(x), CHUNK):
-                x[i : i + CHUNK] = (c.blocks[i : i + CHUNK] * q) @ TRANSFORM
-            x = np.clip(np.rint(x + 128), 0, 255).astype(np.uint8)
+                # Rounded once to single precision, so that what lies halfway doesn't hang on the order of the sums.
+                x[i : i + CHUNK] = (c.blocks[i : i + CHUNK] * q) @ TRANSFORM + 128
+            x = np.clip(np.rint(x), 0, 255).astype(np.uint8)
             x = x.reshape(c.rows, c.columns, 8, 8).transpose(0, 2, 1, 3).reshape(8 * c.rows, 8 * c.columns)
             if (c.v, c.h) != (self.v, self.h):
                 x = x.repeat(self.v // c.v, axis=0).repeat(self.h // c.h, axis=1)
