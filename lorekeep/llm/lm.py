@@ -32,7 +32,7 @@ by 64-bit hashes, contexts by the bits that ``context_bits`` gives a corpus of i
 from __future__ import annotations
 
 import heapq
-import zlib
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -52,6 +52,8 @@ ORDERS = (3, 6)
 PREDICTORS = len(ORDERS) + 1
 #: Bytes of text, or pairs of context and symbol, that are worked on at once.
 LANES = 1 << 18
+#: Bytes of text whose pairs are sorted at once to be counted.
+RUN = 1 << 21
 #: Symbols before the weights move for the first time, and the part of itself that a text grows by between later moves.
 FIRST, GROWTH = 8, 1 / 24
 BUCKET = 12 << 20
@@ -194,28 +196,46 @@ class Pairs:
     """
 
     def __init__(self, texts: list[bytes], bits: int, times: np.ndarray | None = None):
-        self.blocks, self.bits = list(blocks(texts, limit=LANES)), bits
-        weights = [None] * len(self.blocks) if times is None else np.split(times, np.cumsum([len(b) for b in self.blocks])[:-1])
-        self.keys, self.at, self.counts = [], [], []
-        for m in range(PREDICTORS):
-            own = [self._block(some, weight, m) for some, weight in zip(self.blocks, weights, strict=True)]
-            keys = distinct(np.concatenate([*(k for k, _ in own), np.zeros(0, U64)]))
-            self.keys.append(keys)
-            places = Places(keys)
-            if times is None:
-                self.at.append([places(k).astype(np.int32)[which] for k, which in own])
-            else:
-                at = [places(k) for k, _ in own]
-                n = np.bincount(np.concatenate([*at, np.zeros(0, np.int64)]), np.concatenate([*(n for _, n in own), np.zeros(0)]), len(keys))
-                self.counts.append(n.astype(np.int64))
+        self.bits = bits
+        if times is None:
+            self.blocks = list(blocks(texts, limit=LANES))
+            self.keys, self.at = [], []
+            for m in range(PREDICTORS):
+                own = [self._block(some, m) for some in self.blocks]
+                keys = distinct(np.concatenate([*(k for k, _ in own), np.zeros(0, U64)]))
+                self.keys.append(keys)
+                self.at.append([np.searchsorted(keys, k).astype(np.int32)[which] for k, which in own])
+        else:
+            own = [self._run(some, n) for some, n in runs(texts, times)]
+            self.keys = [distinct(np.concatenate([*(r[m][0] for r in own), np.zeros(0, U64)])) for m in range(PREDICTORS)]
+            self.counts = [np.zeros(len(k), np.int64) for k in self.keys]
+            for r in own:
+                for all_, total, (k, n) in zip(self.keys, self.counts, r, strict=True):
+                    total[np.searchsorted(all_, k)] += n
+
+    def _run(self, texts: list[bytes], times: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each predictor the distinct pairs, in order, of texts that count equally, and how often each occurs."""
+        own: list[list[np.ndarray]] = [[] for _ in range(PREDICTORS)]
+        for some in blocks(texts, limit=LANES):
+            symbols = Symbols(some)
+            for m in range(PREDICTORS):
+                own[m].append(symbols.pairs(m, self.bits))
+        out = []
+        while own:
+            k = np.concatenate(own.pop(0))
+            k.sort()
+            first = np.flatnonzero(np.concatenate(([True], k[1:] != k[:-1])))
+            out.append((k[first], np.diff(first, append=len(k)) * times))
+        return out
 
-    def _block(self, texts: list[bytes], weight: np.ndarray | None, m: int) -> tuple[np.ndarray, np.ndarray]:
-        """The pairs of a block in order, hardly any of them twice, and how often each occurs or, without weights, which one each symbol is."""
-        symbols = Symbols(texts)
-        k = symbols.pairs(m, self.bits)
-        # Pair and place as one number; what doesn't fit are last bits of the symbol, so that equal pairs may lie apart.
+    def _block(self, texts: list[bytes], m: int) -> tuple[np.ndarray, np.ndarray]:
+        """The pairs of a block, nearly in order and hardly any of them twice, and which one each symbol is."""
+        k = Symbols(texts).pairs(m, self.bits)
+        # Pair and place as one number; what doesn't fit are the hash's last bits, so that hardly any equal pairs lie apart.
         room = len(k).bit_length()
-        v = k >> U64(max(0, self.bits + CODE_BITS + room - 64))
+        v = k >> U64(CODE_BITS + max(0, self.bits + CODE_BITS + room - 64))
+        v <<= U64(CODE_BITS)
+        v |= k & U64((1 << CODE_BITS) - 1)
         v <<= U64(room)
         v |= np.arange(len(k), dtype=U64)
         v.sort()
@@ -224,37 +244,16 @@ class Pairs:
         k = k[order]
         new = np.ones(len(k), bool)
         new[1:] = k[1:] != k[:-1]
-        if weight is not None and (weight == weight[0]).all():
-            return k[new], np.diff(np.flatnonzero(new), append=len(k)) * weight[0]
-        if weight is not None:
-            return k[new], np.add.reduceat(np.repeat(weight, np.diff(symbols.ends, prepend=0))[order], np.flatnonzero(new))
         which = np.empty(len(k), np.int32)
         which[order] = np.cumsum(new, dtype=np.int32) - 1
         return k[new], which
 
 
-class Places:
-    """Where numbers are among sorted keys that hold them all: by their first bits, then a few steps on."""
-
-    def __init__(self, keys: np.ndarray):
-        self.keys = keys
-        most = int(keys[-1]).bit_length() if len(keys) else 0
-        self.shift = U64(max(0, most - len(keys).bit_length()))
-        first = (keys >> self.shift).astype(np.int64)
-        self.begin = np.concatenate(([0], np.cumsum(np.bincount(first)))) if len(keys) else np.zeros(1, np.int64)
-
-    def __call__(self, x: np.ndarray) -> np.ndarray:
-        if len(self.keys) < 1 << 18:
-            return np.searchsorted(self.keys, x)
-        out = self.begin[(x >> self.shift).astype(np.int64)]
-        left = np.flatnonzero(self.keys[out] != x)
-        for _ in range(4):
-            if not len(left):
-                return out
-            out[left] += 1
-            left = left[self.keys[out[left]] != x[left]]
-        out[left] = np.searchsorted(self.keys, x[left])
-        return out
+def runs(texts: list[bytes], times: np.ndarray) -> Iterator[tuple[list[bytes], int]]:
+    """Consecutive texts that count equally, about ``RUN`` bytes at a time, and how often they count."""
+    for n, some in itertools.groupby(zip(times.tolist(), texts, strict=True), key=lambda x: x[0]):
+        for part in blocks((t for _, t in some), limit=RUN):
+            yield part, n
 
 
 def added(keys: list[np.ndarray], n: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -310,7 +309,7 @@ def pair_logits(keys: np.ndarray, n: np.ndarray, code: Code) -> np.ndarray:
 def taken(logits: np.ndarray, keys: np.ndarray, some: np.ndarray, code: Code) -> np.ndarray:
     """The part of the logits of all ``keys`` that belongs to ``some`` of them."""
     size = code.length[code_of(keys)]
-    at = Places(keys)(some)
+    at = np.searchsorted(keys, some)
     return logits[spread((np.cumsum(size) - size)[at], size[at])]
 
 
@@ -534,22 +533,22 @@ def word_counts(texts: list[bytes], times: np.ndarray) -> tuple[np.ndarray, np.n
 
 def packed(x: np.ndarray) -> bytes:
     """Numbers by byte planes, compressed."""
-    return zlib.compress(x.view(np.uint8).reshape(len(x), -1).T.tobytes(), 1)
+    return zstandard.compress(x.view(np.uint8).reshape(len(x), -1).T.tobytes(), 1 if x.itemsize > 1 else 3)
 
 
 def unpacked(b: bytes, kind: type) -> np.ndarray:
-    planes = np.frombuffer(zlib.decompress(b), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    planes = np.frombuffer(zstandard.decompress(b), np.uint8).reshape(np.dtype(kind).itemsize, -1)
     return np.ascontiguousarray(planes.T).view(kind).ravel()
 
 
 def squeezed(x: np.ndarray) -> bytes:
     """Counts as one byte each where they are under 255, the others after them."""
     large = x >= 255
-    return zlib.compress(np.where(large, 255, x).astype(np.uint8).tobytes() + x[large].astype("<i8").tobytes(), 1)
+    return zstandard.compress(np.where(large, 255, x).astype(np.uint8).tobytes() + x[large].astype("<i8").tobytes(), 1)
 
 
 def stretched(b: bytes, size: int) -> np.ndarray:
-    b = zlib.decompress(b)
+    b = zstandard.decompress(b)
     x = np.frombuffer(b, np.uint8, size).astype(np.int64)
     x[x == 255] = np.frombuffer(b, "<i8", offset=size)
     return x
