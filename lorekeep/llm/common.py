@@ -5,6 +5,7 @@ from __future__ import annotations
 import ctypes
 import itertools
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -57,6 +58,18 @@ def slices(batches: Iterable[pa.RecordBatch], rows: int = 256) -> Iterator[pa.Re
     release()
 
 
+@contextmanager
+def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
+    """What is run inside sends Arrow batches of at most so many rows, which bounds what an executor and its workers hold of wide rows."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def release() -> None:
     """Give freed memory back to the system: a worker lives on after its task, next to others."""
     pa.default_memory_pool().release_unused()

@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lorekeep.llm.common import U64, Words, blocks, distinct, drop_written, materialize, mix64, release, slices, utf8
+from lorekeep.llm.common import U64, Words, batches_of, blocks, distinct, drop_written, materialize, mix64, release, slices, utf8
 from lorekeep.llm.components import components
 
 SHINGLE = 5
@@ -48,6 +48,8 @@ SKETCH, INDEXED, SHARED = 64, 16, 24
 LONG = 64
 #: Classes in a block, and shingles of all of them, at most about.
 BLOCK, BLOCK_SHINGLES = 1024, 1 << 20
+#: Rows of a batch sent to Python: a row can hold two whole sets.
+BATCH = 512
 #: Ids that are broadcast at most: 8 bytes each.
 BROADCAST_IDS = 1_000_000
 _MULT = U64(0xC2B2AE3D27D4EB4F)
@@ -266,26 +268,31 @@ def forest(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, same: bo
     return out
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    with batches_of(df.sparkSession, BATCH):
+        return materialize(df, name)
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every row."""
     spark = docs.sparkSession
-    sk = materialize(sketches(docs), "sketches")
+    sk = written(sketches(docs), "sketches")
     classes = sk.where("set_key is not null and doc_id is not null").groupBy("set_key").agg(F.min("doc_id").alias("rep"))
-    classes = materialize(classes, "classes")
-    several = materialize(_several(sk), "several")
+    classes = written(classes, "classes")
+    several = written(_several(sk), "several")
     known = sk.where("set_key is not null and doc_id is not null").select(F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), "sketch", "set_key")
-    reps = materialize(known.join(classes, ["set_key", "rep"], "left_semi").select("rep", "n", "sketch").dropDuplicates(["rep", "n", "sketch"]), "reps")
+    reps = written(known.join(classes, ["set_key", "rep"], "left_semi").select("rep", "n", "sketch").dropDuplicates(["rep", "n", "sketch"]), "reps")
 
     values = lambda k: reps.select(F.explode(F.slice("sketch", 1, k)).alias("v"), "rep", "n")
-    first = materialize(listed(values(INDEXED)), "lists")
+    first = written(listed(values(INDEXED)), "lists")
     crowded = first.where(F.col("length") > LONG).select("rep").distinct()
     wanted = F.greatest(F.when(F.col("n") <= SKETCH, quarter()), F.least(F.col("n"), F.lit(SKETCH)) - SHARED + 1)
-    second = materialize(rarest_first(among(values(SKETCH), crowded, "rep"), wanted), "lists")
-    third = materialize(second.where(F.col("length") > LONG).select("rep").distinct(), "ids")
+    second = written(rarest_first(among(values(SKETCH), crowded, "rep"), wanted), "lists")
+    third = written(second.where(F.col("length") > LONG).select("rep").distinct(), "ids")
 
-    pairs = materialize(estimated(paired(first).unionAll(paired(second)).distinct(), reps), "pairs")
+    pairs = written(estimated(paired(first).unionAll(paired(second)).distinct(), reps), "pairs")
     ids = pairs.select(F.col("a").alias("rep")).unionAll(pairs.select("b")).unionAll(third).distinct()
-    sets = materialize(whole_sets(docs, ids), "sets")
+    sets = written(whole_sets(docs, ids), "sets")
 
     shingles = among(sets, third, "rep").mapInArrow(_exploded, "v long, rep long, n long")
     links = compared(rarest_first(shingles, quarter()), sets)
@@ -294,15 +301,15 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     own = sk.join(several, "doc_id", "left_semi").join(classes, "set_key").select("doc_id", "rep").distinct()
     least = own.groupBy("doc_id").agg(F.min("rep").alias("a"))
     same = own.join(least, "doc_id").where("a < rep").select("a", F.col("rep").alias("b"))
-    links = materialize(links.unionAll(confirmed(nearest, sets)).unionAll(same), "links")
+    links = written(links.unionAll(confirmed(nearest, sets)).unionAll(same), "links")
     joined = components(links)
 
     side = lambda x: joined.select(F.col("node").alias(x), F.col("component").alias("c" + x))
     apart = pairs.select("a", "b").join(nearest, ["a", "b"], "left_anti").join(side("a"), "a", "left").join(side("b"), "b", "left")
-    apart = materialize(apart.where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b"), "pairs")
+    apart = written(apart.where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b"), "pairs")
     if apart.take(1):
         ends = apart.select(F.col("a").alias("rep")).unionAll(apart.select("b")).distinct()
-        more = materialize(confirmed(apart, among(sets, ends, "rep")), "links")
+        more = written(confirmed(apart, among(sets, ends, "rep")), "links")
         if more.take(1):
             joined = components(joined.select(F.col("node").alias("a"), F.col("component").alias("b")).unionAll(more))
     for t in (first, second, third, pairs, sets, reps, links, apart):
