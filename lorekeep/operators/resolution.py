@@ -65,7 +65,7 @@ def rare_characters(key: Column, least: float) -> Column:
     order, rare first, those that remain can't all be missing.
     """
     own = F.filter(F.split(key, ""), lambda c: c != "")
-    numbered = F.transform(own, lambda c, i: F.concat(F.lpad(F.locate(c, F.lit(COMMON[::-1])).cast("string"), 2, "0"), c, F.size(F.filter(F.slice(own, 1, i + 1), lambda x: x == c)).cast("string")))
+    numbered = F.transform(own, lambda c, i: F.concat(F.lpad(F.position(c, F.lit(COMMON[::-1])).cast("string"), 2, "0"), c, F.size(F.filter(F.slice(own, 1, i + 1), lambda x: x == c)).cast("string")))
     keep = F.size(own) - F.ceil(F.size(own) * F.lit(least / (2 - least)) - 1e-9).cast("int") + 1
     return F.when(F.size(own) == 0, F.array(F.lit(""))).otherwise(F.slice(F.array_sort(numbered), F.lit(1), keep))
 

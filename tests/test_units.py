@@ -216,6 +216,37 @@ def test_merging_against_plain_version(spark, sf):
     assert {(r.seq, r.flagged_with) for r in rows if r.flagged_with is not None} == flags
 
 
+def parts_in_order(spark, sf):
+    """The part rows by key, the distinct names as they first appear, and what the plain version makes of them."""
+    parts = sorted(spark.read.parquet(f"{sf}/part.parquet").collect(), key=lambda r: r.p_partkey)
+    names = list(dict.fromkeys(r.p_name for r in parts))
+    return parts, names, *plain_resolution(names)
+
+
+def test_resolve_fuzzy_query(spark, sf):
+    from lorekeep import catalog
+
+    parts, names, home, _ = parts_in_order(spark, sf)
+    want = set()
+    for i, first in enumerate(names):
+        if i not in home:
+            variants = [first, *(names[j] for j in sorted(home) if home[j] == i)]
+            own = [r for v in variants for r in parts if r.p_name == v]
+            name = min(variants, key=lambda n: (-len(n), n))
+            aliases, notes = (v for v in variants if v != name), dict.fromkeys(r.p_type for r in own)
+            want.add((name, "|".join(aliases), " ".join(notes), "|".join(sorted({r.p_brand for r in own})), own[0].p_partkey))
+    got = [(r.name, r.aliases, r.description, r.sources, r.seq) for r in catalog.QUERIES["resolve_fuzzy"](spark, sf).collect()]
+    assert len(got) == len(want) and set(got) == want
+
+
+def test_similar_names_of_odd_names(spark):
+    names = ["", "the ", "aaaaaaaaaa", "aaaaaaaaaaaaa", "aaaab", "0123456789", "0123456798", "\U0001f600\U0001f600x", "\U0001f600\U0001f600y", "ééé zzz", "ééé zz", "x", "qqq zzz", "11 12 21", "1 11 221", "a.b*c", "a.b*d", "İstanbul", "istanbul"]
+    got = R.similar_names(spark.createDataFrame([(i, n, K.SITE) for i, n in enumerate(names)], "seq long, name string, entity_type string"))
+    keys = [r.k for r in spark.createDataFrame([(n,) for n in names], "n string").select(T.normalized(F.col("n")).alias("k")).collect()]
+    ratio = {(i, j): SequenceMatcher(None, keys[i], keys[j]).ratio() for j in range(len(names)) for i in range(j)}
+    assert {(r.seq_a, r.seq_b): r.similarity for r in got.collect()} == {p: x for p, x in ratio.items() if x >= K.FLAG_AT}
+
+
 @given(st.text("abc", max_size=12), st.text("abc", max_size=12))
 def test_length_bound_is_safe(a, b):
     reach = 2 * min(len(a), len(b)) >= 0.75 * (len(a) + len(b))
