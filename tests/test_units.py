@@ -239,6 +239,15 @@ def test_resolve_fuzzy_query(spark, sf):
     assert len(got) == len(want) and set(got) == want
 
 
+def test_ambiguous_pairs_query(spark, sf):
+    from lorekeep import catalog
+
+    _, names, home, flags = parts_in_order(spark, sf)
+    want = {(names[i], names[j], K.ARTIFACT, round(SequenceMatcher(None, names[i], names[j]).ratio(), 3)) for i, j in flags}
+    got = [tuple(r) for r in catalog.QUERIES["ambiguous_pairs"](spark, sf).collect()]
+    assert want and len(got) == len(want) and set(got) == want
+
+
 def test_similar_names_of_odd_names(spark):
     names = ["", "the ", "aaaaaaaaaa", "aaaaaaaaaaaaa", "aaaab", "0123456789", "0123456798", "\U0001f600\U0001f600x", "\U0001f600\U0001f600y", "ééé zzz", "ééé zz", "x", "qqq zzz", "11 12 21", "1 11 221", "a.b*c", "a.b*d", "İstanbul", "istanbul"]
     got = R.similar_names(spark.createDataFrame([(i, n, K.SITE) for i, n in enumerate(names)], "seq long, name string, entity_type string"))
