@@ -145,7 +145,7 @@ def mentions(chunks: DataFrame, aliases: DataFrame) -> DataFrame:
 
     if kinds.get("part"):
         met = words.join(small(a.where("_word <> alias")), "_word").groupBy("chunk_id").agg(F.collect_set(F.struct("alias", "entity_id")).alias("_met"))
-        found = chunks.select("chunk_id", "text").join(met, "chunk_id").select("chunk_id", F.explode(F.filter("_met", lambda m: occurs(m.alias))).alias("_m"))
+        found = chunks.select("chunk_id", "text").join(met, "chunk_id").select("chunk_id", F.explode(F.filter("_met", lambda m: occurs(m["alias"]))).alias("_m"))
         out = out.unionAll(found.select("chunk_id", "_m.entity_id"))
     if kinds.get("none"):
         out = out.unionAll(chunks.join(small(a.where("_word is null")), occurs(F.col("alias"))).select("chunk_id", "entity_id"))
