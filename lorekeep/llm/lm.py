@@ -79,7 +79,7 @@ def words_of(buf: np.ndarray) -> np.ndarray:
     start = np.maximum.accumulate(start)
     p, inv = prefix_hash(buf), powers(len(buf) + 1)[1]
     with np.errstate(over="ignore"):
-        return (p[at] - p[start]) * inv[start]
+        return (p[:-1] - p.take(start, mode="clip")) * inv.take(start, mode="clip")
 
 
 class Code:
@@ -191,20 +191,29 @@ def context_bits(size: int) -> int:
 class Pairs:
     """For each predictor the distinct pairs of some texts, sorted: ``keys``.
 
-    Without ``times``, ``at`` holds for each block of texts which of them every symbol is; with it, ``counts``
-    holds how often each occurs if the texts count so many times.
+    Without ``times``, ``some`` holds for each block of texts which of them it has, nearly in order, and ``which`` the one of
+    these that every symbol is; with it, ``counts`` holds how often each occurs if the texts count so many times.
     """
 
     def __init__(self, texts: list[bytes], bits: int, times: np.ndarray | None = None):
         self.bits = bits
         if times is None:
             self.blocks = list(blocks(texts, limit=LANES))
-            self.keys, self.at = [], []
-            for m in range(PREDICTORS):
-                own = [self._block(some, m) for some in self.blocks]
-                keys = distinct(np.concatenate([*(k for k, _ in own), np.zeros(0, U64)]))
+            self.keys, self.some = [], []
+            found: list[list[np.ndarray]] = [[] for _ in range(PREDICTORS)]
+            self.which = [[] for _ in range(PREDICTORS)]
+            for block in self.blocks:
+                symbols = Symbols(block)
+                for m in range(PREDICTORS):
+                    k, which = self._block(symbols, m)
+                    found[m].append(k), self.which[m].append(which)
+            while found:
+                own = found.pop(0)
+                keys = np.concatenate([*own, np.zeros(0, U64)])
+                keys.sort()
+                keys = keys[np.concatenate((np.ones(min(1, len(keys)), bool), keys[1:] != keys[:-1]))]
                 self.keys.append(keys)
-                self.at.append([np.searchsorted(keys, k).astype(np.int32)[which] for k, which in own])
+                self.some.append([np.searchsorted(keys, k).astype(np.int32) for k in own])
         else:
             own = [self._run(some, n) for some, n in runs(texts, times)]
             self.keys = [distinct(np.concatenate([*(r[m][0] for r in own), np.zeros(0, U64)])) for m in range(PREDICTORS)]
@@ -228,9 +237,9 @@ class Pairs:
             out.append((k[first], np.diff(first, append=len(k)) * times))
         return out
 
-    def _block(self, texts: list[bytes], m: int) -> tuple[np.ndarray, np.ndarray]:
+    def _block(self, symbols: Symbols, m: int) -> tuple[np.ndarray, np.ndarray]:
         """The pairs of a block, nearly in order and hardly any of them twice, and which one each symbol is."""
-        k = Symbols(texts).pairs(m, self.bits)
+        k = symbols.pairs(m, self.bits)
         # Pair and place as one number; what doesn't fit are the hash's last bits, so that hardly any equal pairs lie apart.
         room = len(k).bit_length()
         v = k >> U64(CODE_BITS + max(0, self.bits + CODE_BITS + room - 64))
@@ -313,6 +322,11 @@ def taken(logits: np.ndarray, keys: np.ndarray, some: np.ndarray, code: Code) ->
     return logits[spread((np.cumsum(size) - size)[at], size[at])]
 
 
+def share_of(times: np.ndarray) -> np.ndarray:
+    """The part of what it missed that a cell of the map moves by for each of so many decisions."""
+    return (1 - (1 - MAP_RATE) ** times) / np.maximum(times, 1)
+
+
 def steps(longest: int) -> np.ndarray:
     """Where each step of a text of ``longest`` symbols begins, and where the last one ends."""
     out = [0]
@@ -325,12 +339,13 @@ class Model:
     """Scores texts by the logits of their pairs' decisions, for each predictor those of one pair after the other."""
 
     def __init__(self, code: Code, pairs: Pairs, logits: list[np.ndarray]):
-        self.code, self.pairs, self.logits, self.first = code, pairs, logits, []
+        self.code, self.pairs, self.logits, self.first, self.size = code, pairs, logits, [], []
         for k, x in zip(pairs.keys, logits, strict=True):
             n = code.length[code_of(k)]
             if n.sum() != len(x):
                 raise ValueError("pairs and logits don't belong together")
             self.first.append((np.cumsum(n) - n).astype(np.int32 if len(x) < 2**31 else np.int64))
+            self.size.append(n.astype(np.int16))  # of 257 symbols' codes, 256 at most
 
     @classmethod
     def trained(cls, train: list[bytes], texts: list[bytes]) -> Model:
@@ -352,20 +367,28 @@ class Model:
         sizes = np.diff(symbols.ends, prepend=0)
         order = np.argsort(-sizes, kind="stable")
         size, begin = sizes[order], (symbols.ends - sizes)[order]
-        # Symbols by step, then by text, the longest first: a step of all texts that reach it is one slice.
-        cut = steps(int(size[0]))
-        active = np.searchsorted(-size, -cut[:-1], "left")
-        lens = [np.minimum(size[:n], b) - a for n, a, b in zip(active, cut[:-1], cut[1:], strict=True)]
-        upto = np.concatenate(([0], np.cumsum([x.sum() for x in lens])))
-        where = spread(np.concatenate([begin[:n] + a for n, a in zip(active, cut[:-1], strict=True)]), np.concatenate(lens))
+        # Symbols by place, then by text, the longest first: a step of all texts that reach it is one slice, in which the
+        # sums of different texts take turns.
+        longest = int(size[0])
+        cut = steps(longest)
+        alive = len(size) - np.cumsum(np.bincount(size, minlength=longest + 1))[:longest]
+        text = spread(np.zeros(longest, np.int64), alive)
+        where = begin.take(text) + np.repeat(np.arange(longest), alive)
+        upto, active = np.concatenate(([0], np.cumsum(alive)))[np.minimum(cut, longest)], alive[cut[:-1]]
         n = self.code.length.take(symbols.after.take(where))
         first = np.concatenate(([0], np.cumsum(n)))
-        within = np.arange(first[-1]) - np.repeat(first[:-1], n)
-        lane = np.repeat(np.repeat(np.concatenate([np.arange(k) for k in active]), np.concatenate(lens)), n)
+        symbol, each = np.repeat(np.arange(len(n)), n), np.arange(first[-1])
+        lane = text.take(symbol, mode="clip")
         row, x = lane * GATES, np.empty((PREDICTORS, first[-1]), np.float32)
-        for m, (begins, logits) in enumerate(zip(self.first, self.logits, strict=True)):
-            at = np.repeat(begins.take(self.pairs.at[m][block].take(where)), n)
-            logit = logits.take(at + within)
+        for m in range(PREDICTORS):
+            # The block's own logits first, nearly in the order they lie in, then those of every symbol.
+            some = self.pairs.some[m][block]
+            size_of = self.size[m].take(some, mode="clip").astype(np.int64)
+            logits = self.logits[m].take(spread(self.first[m].take(some, mode="clip"), size_of), mode="clip")
+            begins = (np.cumsum(size_of) - size_of).take(self.pairs.which[m][block].take(where, mode="clip"), mode="clip")
+            at = (begins - first[:-1]).take(symbol, mode="clip")
+            at += each
+            logit = logits.take(at, mode="clip")
             row += logit != 0
             np.multiply(logit, np.float32(1 / UNIT), out=x[m])
         p = self._mix(x, row, lane, first[upto], active, cut)
@@ -379,13 +402,15 @@ class Model:
         lanes = int(active[0])
         weights = [np.tile(np.array(START[:GATES], np.float32), lanes) for _ in range(PREDICTORS)]
         curve = np.tile((1 / (1 + np.exp(-np.linspace(0, MAP_SPAN, MAP_STEPS)))).astype(np.float32), lanes)
-        out = np.empty(len(row), np.float32)
+        out, share = np.empty(len(row), np.float32), share_of(np.arange(LANES >> 2))
         scale, most, half = np.float32((MAP_STEPS - 1) / MAP_SPAN), np.float32(MAP_SPAN - 0.01), np.float32(0.5)
         for n, a, b, width in zip(active.tolist(), upto[:-1].tolist(), upto[1:].tolist(), np.diff(cut).tolist(), strict=True):
             at, inputs = row[a:b], [v[a:b] for v in x]
-            z = inputs[0] * weights[0].take(at)
+            # All places are valid; "clip" only spares take() a check of its own.
+            z = weights[0].take(at, mode="clip")
+            z *= inputs[0]
             for v, w in zip(inputs[1:], weights[1:], strict=True):
-                z += v * w.take(at)
+                z += v * w.take(at, mode="clip")
             np.minimum(z, most, out=z)
             np.maximum(z, -most, out=z)
             mixed = np.exp(-z)
@@ -402,20 +427,23 @@ class Model:
             z -= low
             low = low.astype(np.int64)
             low += lane[a:b] * MAP_STEPS
-            p = curve.take(low)
+            p = curve.take(low, mode="clip")
             low += 1
-            q = curve.take(low)
-            further = z > half
-            met = np.where(further, q, p)
+            q = curve.take(low, mode="clip")
+            low -= z <= half
+            met = curve.take(low, mode="clip")
             q -= p
             q *= z
             q += p
             np.minimum(q, np.float32(1 - 1e-4), out=q)
-            low -= ~further
-            out[a:b] = mixed * half + np.where(favoured, q, 1 - q) * half
+            # The other side's probability is 1 - q.
+            q -= ~favoured
+            np.abs(q, out=q)
+            mixed += q
+            np.multiply(mixed, half, out=out[a:b])
             times = np.bincount(low, minlength=n * MAP_STEPS)
             missed = np.bincount(low, favoured - met, n * MAP_STEPS)
-            curve[: n * MAP_STEPS] += missed * ((1 - (1 - MAP_RATE) ** times) / np.maximum(times, 1))
+            curve[: n * MAP_STEPS] += missed * (share.take(times) if b - a < len(share) else share_of(times))
             curve[: n * MAP_STEPS : MAP_STEPS] = half
         return out
 

@@ -389,6 +389,15 @@ def test_lm_against_a_plain_mixer(spark, sf, docs):
     plain.score(some[0][2][:40], sums=True)
 
 
+def test_lm_prepares_a_block_once(monkeypatch):
+    made, plain = [], lm.Symbols
+    monkeypatch.setattr(lm, "Symbols", lambda texts: made.append(len(texts)) or plain(texts))
+    pairs = lm.Pairs([b"abcab", b"", b"ab"], 27)
+    assert made == [3]
+    for m in range(lm.PREDICTORS):
+        assert (pairs.keys[m][pairs.some[m][0]][pairs.which[m][0]] == plain([b"abcab", b"", b"ab"]).pairs(m, 27)).all()
+
+
 def test_lm_counts_grow_with_the_corpus(spark):
     """Contexts in great number aren't added together, and copies are counted as often as they occur."""
     rng = np.random.default_rng(5)
