@@ -50,10 +50,10 @@ BEFORE = 0xFF
 #: Lengths in bytes of the contexts; one more is the word so far.
 ORDERS = (3, 6)
 PREDICTORS = len(ORDERS) + 1
-#: Bytes of text, or pairs of context and symbol, that are worked on at once.
-LANES = 1 << 18
+#: Bytes of text, and pairs of context and symbol, that are worked on at once.
+LANES, PIECE = 1 << 19, 1 << 18
 #: Bytes of text whose pairs are sorted at once to be counted.
-RUN = 1 << 21
+RUN = 1 << 22
 #: Symbols before the weights move for the first time, and the part of itself that a text grows by between later moves.
 FIRST, GROWTH = 8, 1 / 24
 BUCKET = 12 << 20
@@ -297,7 +297,7 @@ def pair_logits(keys: np.ndarray, n: np.ndarray, code: Code) -> np.ndarray:
     context = np.concatenate((np.zeros(min(1, len(keys)), np.int64), np.cumsum(keys[1:] >> U64(9) != keys[:-1] >> U64(9))))
     out, begin = [np.zeros(0, np.int8)], 0
     while begin < len(keys):
-        end = min(begin + LANES, len(keys))
+        end = min(begin + PIECE, len(keys))
         end = int(np.searchsorted(context, context[end - 1], "right"))
         s = code_of(keys[begin:end])
         size = code.length[s]
@@ -391,6 +391,7 @@ class Model:
             logit = logits.take(at, mode="clip")
             row += logit != 0
             np.multiply(logit, np.float32(1 / UNIT), out=x[m])
+        del symbol, each, some, size_of, logits, begins, at, logit
         p = self._mix(x, row, lane, first[upto], active, cut)
         out = np.empty(len(size))
         out[order] = np.bincount(lane, np.log(p), len(size)) / np.log(10)
@@ -402,7 +403,7 @@ class Model:
         lanes = int(active[0])
         weights = [np.tile(np.array(START[:GATES], np.float32), lanes) for _ in range(PREDICTORS)]
         curve = np.tile((1 / (1 + np.exp(-np.linspace(0, MAP_SPAN, MAP_STEPS)))).astype(np.float32), lanes)
-        out, share = np.empty(len(row), np.float32), share_of(np.arange(LANES >> 2))
+        out, share = np.empty(len(row), np.float32), share_of(np.arange(LANES >> 3))
         scale, most, half = np.float32((MAP_STEPS - 1) / MAP_SPAN), np.float32(MAP_SPAN - 0.01), np.float32(0.5)
         for n, a, b, width in zip(active.tolist(), upto[:-1].tolist(), upto[1:].tolist(), np.diff(cut).tolist(), strict=True):
             at, inputs = row[a:b], [v[a:b] for v in x]
