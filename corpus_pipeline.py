@@ -11,11 +11,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from lorekeep.llm import decontam, mixing, near_dup, quality, tokens
-from lorekeep.llm.common import materialize, table
+from lorekeep.llm.common import batches_from_here, materialize, table
+
+#: Whole texts that executors and their workers send each other at once: what is sent at once stays with an executor's process,
+#: next to what all stages before have left there.
+ROWS = 512
 
 
 def by_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, trained on the labelled ones among them, doesn't reject."""
+    batches_from_here(spark, ROWS)
     return quality.accepted(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
 
 
@@ -26,6 +31,7 @@ def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 def without_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that aren't contaminated with benchmark items."""
+    batches_from_here(spark, ROWS)
     return decontam.uncontaminated(docs, table(spark, sf_dir, "benchmark"))
 
 

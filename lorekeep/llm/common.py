@@ -58,16 +58,35 @@ def slices(batches: Iterable[pa.RecordBatch], rows: int = 256) -> Iterator[pa.Re
     release()
 
 
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def batches_from_here(spark: SparkSession, rows: int) -> None:
+    """``batches_of`` for the rest of the session, where what is returned is run later; a smaller setting stays."""
+    before = int(spark.conf.get(BATCH_ROWS))
+    if before <= 0 or before > rows:
+        spark.conf.set(BATCH_ROWS, str(rows))
+
+
 @contextmanager
 def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
     """What is run inside sends Arrow batches of at most so many rows, which bounds what an executor and its workers hold of wide rows."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(rows))
+    before = spark.conf.get(BATCH_ROWS)
+    spark.conf.set(BATCH_ROWS, str(rows))
     try:
         yield
     finally:
-        spark.conf.set(key, before)
+        spark.conf.set(BATCH_ROWS, before)
+
+
+#: What workers remember between tasks, to be emptied by a task that needs the room.
+remembered: list = [_powers]
+
+
+def forget() -> None:
+    for x in remembered:
+        x.clear()
+    release()
 
 
 def release() -> None:

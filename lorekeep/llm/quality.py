@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lorekeep.llm.common import U64, Words, blocks, mix64, slices, utf8
+from lorekeep.llm.common import U64, Words, batches_of, blocks, forget, mix64, slices, utf8
 
 SAMPLE = 6000
 BITS = 18
@@ -36,6 +36,8 @@ RATE = 0.5
 NGRAMS = (2, 3, 4)
 #: Bytes of text whose features are worked out at once.
 BLOCK = 1 << 18
+#: Rows of the sample that are sent to the worker at once.
+ROWS = 512
 THRESHOLD = 0.7
 FOLDS, HELD_OUT = 4, 2
 _MULT = U64(0x9E3779B97F4A7C15)
@@ -113,7 +115,8 @@ def train(texts: list[bytes], labels: list[int], bits: int = BITS, width: int =
     rng = np.random.default_rng(seed)
     table = rng.uniform(-1 / width, 1 / width, (1 << bits, width)).astype(np.float32)
     layer, bias = np.zeros((width, 2), np.float32), np.zeros(2, np.float32)
-    rows: list[tuple[np.ndarray, np.ndarray, int]] = []
+    rows: list[tuple[np.ndarray, np.ndarray, np.ndarray, int]] = []
+    high = np.arange(0, 1 << bits, 1 << 16, dtype=np.int32)
     for some in blocks(texts, limit=BLOCK):
         parts = features(some, bits)
         bucket, doc = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
@@ -121,12 +124,14 @@ def train(texts: list[bytes], labels: list[int], bits: int = BITS, width: int =
         cuts = np.searchsorted(doc[order], np.arange(len(some) + 1))
         for a, b in zip(cuts[:-1], cuts[1:], strict=True):
             ids, n = np.unique(bucket[order[a:b]], return_counts=True)
-            few = n.astype(np.uint16 if b - a < 1 << 16 else np.uint32)
-            rows.append((ids.astype(np.int32), few, max(1, b - a)))
+            # The sample's features are what training holds: counts as small as they are, and of the sorted ids the low 16 bits.
+            few = n.astype(np.min_scalar_type(n.max(initial=0)))
+            rows.append((ids.astype(np.uint16), np.diff(np.searchsorted(ids, high), append=len(ids)), few, max(1, b - a)))
     steps, done = epochs * len(rows), 0
     for _ in range(epochs):
         for i in rng.permutation(len(rows)):
-            ids, n, size = rows[i]
+            low, each, n, size = rows[i]
+            ids = np.repeat(high, each) | low
             share = (n / size).astype(np.float32)
             pace = rate * (1 - done / steps)
             done += 1
@@ -158,6 +163,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     d = d.orderBy(F.xxhash64("_id"), "_id", "_y", F.xxhash64("body"), "_n").limit(sample).select("_id", "_y", "body")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         seen: list[tuple[int, int, bytes]] = []
         for b in slices(batches):
             seen += zip(b["_id"].to_pylist(), b["_y"].to_pylist(), b["body"].to_pylist(), strict=True)
@@ -166,7 +172,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
             model = train([x[2] for x in seen], [x[1] for x in seen])
             yield pa.RecordBatch.from_arrays([pa.array([model.to_bytes()], pa.binary())], names=["model"])
 
-    found = d.repartition(1).mapInArrow(run, "model binary").collect()
+    with batches_of(docs.sparkSession, ROWS):
+        found = d.repartition(1).mapInArrow(run, "model binary").collect()
     return Model.from_bytes(bytes(found[0].model)) if found else Model(np.zeros(1 << BITS, np.float32), 0.0)
 
 

@@ -29,6 +29,7 @@ import struct
 import zlib
 from array import array
 from collections.abc import Iterator
+from string import punctuation
 
 import numpy as np
 import pyarrow as pa
@@ -36,18 +37,25 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lorekeep.llm.common import release, shared_dir, slices
+from lorekeep.llm.common import batches_of, release, remembered, shared_dir, slices
 
 MAGIC = b"DACTOK01"
 STEP = 512
 END_ID = 2
 #: A shard is closed at so many tokens (a single longer document makes a longer shard).
 SHARD_TOKENS = 1 << 20
-#: Pieces that a worker remembers, some 200 bytes each; a full memo is emptied.
-MEMO = 450_000
+#: Rows that are sent to a worker at once, whole texts each.
+ROWS = 512
+#: Pieces that a worker remembers, some 150 bytes each; of a full memo the last third is forgotten, as common pieces come first.
+MEMO = 300_000
+BLANKS = 1_000
+#: Letters below this are the same to str.isalpha and to the pattern.
+LATIN = "\u0250"
 #: Shards whose starts are broadcast: 24 bytes each.
 BROADCAST_SHARDS = 1_000_000
 DEFAULT = "byte_bpe_50k.json"
+#: The pattern that texts may be cut for at spaces.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
 def tokenizer_path(name: str = DEFAULT) -> str:
@@ -61,7 +69,9 @@ class Encoder:
 
     A byte-level tokenizer splits a text by a fixed pattern and encodes each piece alone, so the ids
     of a piece can be remembered.  Only pieces that aren't remembered go to the library.
-    The file's added tokens are found before that, the longest at a place, and only the text between them is split.
+    No piece of the usual pattern goes on from a character that isn't white to one that is, and the pattern looks past pieces of
+    white only: a text can be cut before its spaces and line ends, and a cut that is one remembered piece, or such a one and
+    punctuation, needs no pattern.
     """
 
     def __init__(self, path: str, pattern: str | None = None):
@@ -78,17 +88,25 @@ class Encoder:
         self.added = {c: array("I", [i]).tobytes() for c, (i, _) in added.items()}
         self.parts = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")").split
         self.split = regex.compile(pattern or public_tokenizers.PATTERN).findall
+        self.cuts = pattern is None and public_tokenizers.PATTERN == PATTERN
         self.letters = byte_letters()
         self.memo: dict[str, bytes] = {}
+        #: Pieces of white only, which may go on behind a cut: no cut must be taken for one.
+        self.blanks: dict[str, bytes] = {}
 
     def piece(self, p: str) -> bytes:
-        """Ids of one piece, which is remembered if it isn't long."""
+        """Ids of one piece that ``memo`` doesn't hold; it is remembered if it isn't long."""
+        blank = p.isspace()
+        if blank and p in self.blanks:
+            return self.blanks[p]
         tokens = self.tokenize(p.encode().decode("latin-1").translate(self.letters))
         got = array("I", [t.id for t in tokens]).tobytes()
         if len(p) <= 48:
-            if len(self.memo) >= MEMO:
-                self.memo.clear()
-            self.memo[p] = got
+            memo, most = (self.blanks, BLANKS) if blank else (self.memo, MEMO)
+            if len(memo) >= most:
+                for _ in range(most // 3):
+                    memo.popitem()
+            memo[p] = got
         return got
 
     def ids(self, text: str) -> bytes:
@@ -99,12 +117,39 @@ class Encoder:
 
     def between(self, text: str) -> bytes:
         """Ids of text that holds no added token."""
-        pieces = self.split(text)
-        got = list(map(self.memo.get, pieces))
+        if not self.cuts or "\0" in text:
+            return self.pieces(text)
+        units = text.replace(" ", "\0 ").replace("\n", "\0\n").split("\0")
+        known, piece = self.memo.get, self.piece
+        got, upto = list(map(known, units)), 0
         for i in [i for i, g in enumerate(got) if g is None]:
-            got[i] = self.memo.get(pieces[i]) or self.piece(pieces[i])
+            if i < upto:
+                continue
+            u, upto = units[i], i + 1
+            word = u.rstrip(punctuation)
+            letters = word[1:] if word.startswith((" ", "\n")) else word
+            if letters.isalpha() and max(letters) < LATIN:
+                # A line end, letters, and what follows them are pieces of their own.
+                if u.startswith("\n"):
+                    g = piece("\n") + (known(letters) or piece(letters))
+                else:
+                    g = known(word) or piece(word)
+                if len(word) < len(u):
+                    last = u[len(word) :]
+                    g += known(last) or piece(last)
+                got[i] = g
+            else:
+                # What ends in white goes on in the next unit.
+                while upto < len(units) and (not units[upto - 1] or units[upto - 1][-1].isspace()):
+                    upto += 1
+                got[i:upto] = [self.pieces("".join(units[i:upto])), *[b""] * (upto - i - 1)]
         return b"".join(got)
 
+    def pieces(self, text: str) -> bytes:
+        """Ids of text by the pattern alone."""
+        known, piece = self.memo.get, self.piece
+        return b"".join([known(p) or piece(p) for p in self.split(text)])
+
 
 def byte_letters() -> dict[int, int]:
     """The printable letter that stands for each byte in a byte-level vocabulary."""
@@ -210,11 +255,13 @@ def write(docs: DataFrame, path: str, tokenizer: str | None = None, end_id: int
 
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     d = d.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    d.mapInArrow(encode, "part int, shard int, n_docs long, n_tokens long, payload binary").write.parquet(path)
+    with batches_of(docs.sparkSession, ROWS):
+        d.mapInArrow(encode, "part int, shard int, n_docs long, n_tokens long, payload binary").write.parquet(path)
 
 
 _SHARDS = pa.schema([("part", pa.int32()), ("shard", pa.int32()), ("n_docs", pa.int64()), ("n_tokens", pa.int64()), ("payload", pa.binary())])
 _encoders: dict[str, Encoder] = {}
+remembered.append(_encoders)
 
 
 def _encoder(path: str) -> Encoder:

@@ -473,6 +473,32 @@ def test_token_shard_round_trip(docs):
 # ---- 7, 8 -----------------------------------------------------------------------------------
 
 
+@given(st.lists(st.sampled_from([*"  \n\n\tabZé1½.,'-_", "'s", "'ll", "***", "\x00", "\x1c", "\xa0", "\u3000", "\u0301", "\u0558", "中", "\U0001f600"]), max_size=24).map("".join))
+@settings(max_examples=400, deadline=None)
+def test_cuts_are_those_of_the_pattern(text):
+    import regex
+
+    encoder, pattern = tokens._encoder(tokens.tokenizer_path()), regex.compile(tokens.PATTERN)
+    plain = tokens.Encoder.__new__(tokens.Encoder)
+    plain.__dict__ = encoder.__dict__ | {"memo": {}, "blanks": {}, "tokenize": lambda p: [type("T", (), {"id": zlib.crc32(p.encode())})]}
+    for _ in range(2):  # the second time from what is remembered
+        want = [zlib.crc32(p.encode().decode("latin-1").translate(encoder.letters).encode()) for p in pattern.findall(text)]
+        assert np.frombuffer(plain.ids(text), np.uint32).tolist() == want
+
+
+def test_pattern_is_spared_and_common_pieces_stay(docs, monkeypatch):
+    encoder, seen = tokens.Encoder(tokens.tokenizer_path()), []
+    split = encoder.split
+    encoder.split = lambda t: (seen.append(len(t)), split(t))[1]
+    prose = " ".join(["The river, as it were, rose.\nNobody Übersah it"] * 200)
+    encoder.ids(prose)
+    assert sum(seen) < 0.1 * len(prose)
+    monkeypatch.setattr(tokens, "MEMO", 30)
+    for i in range(100):
+        encoder.ids(f"rare{i} x")
+    assert " river" in encoder.memo and len(encoder.memo) <= 30
+
+
 def test_mined_rules_are_those_of_a_plain_count(spark):
     rows = [("http://bad.example.net/en/%d" % i, i % 10 != 0) for i in range(40)] + [("http://good.example.net/en/%d?x=1" % i, i % 10 == 0) for i in range(40)]
     pages = spark.createDataFrame([(i, u) for i, (u, _) in enumerate(rows)], "page_id long, url string")
@@ -629,6 +655,23 @@ def test_components(spark):
         components.components(spark.createDataFrame(links, "a long, b long"), rounds=2)
 
 
+def test_stages_send_few_rows_and_training_needs_little(spark, sf):
+    import corpus_pipeline
+    from lorekeep.llm import common
+
+    before = spark.conf.get(common.BATCH_ROWS)
+    try:
+        for stage in (corpus_pipeline.by_quality, corpus_pipeline.without_benchmarks):
+            spark.conf.set(common.BATCH_ROWS, "10000")
+            stage(spark, spark.read.parquet(f"{sf}/documents.parquet"), sf)
+            assert int(spark.conf.get(common.BATCH_ROWS)) <= 512
+    finally:
+        spark.conf.set(common.BATCH_ROWS, before)
+    tokens._encoder(tokens.tokenizer_path())
+    common.forget()
+    assert not tokens._encoders
+
+
 def test_pipeline(spark, sf, docs, tmp_path):
     import corpus_pipeline as C
 
