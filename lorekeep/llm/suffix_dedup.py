@@ -180,29 +180,43 @@ def sort_directly(text: np.ndarray, places: np.ndarray, depth: int) -> np.ndarra
     with np.errstate(over="ignore"):
         p, inv = prefix_hash(padded[: len(text) + depth]), powers(len(text) + depth + 1)[1]
         whole = (p[places + own] - p[places]) * inv[places] + own.astype(U64)
-    _, one, same = np.unique(whole, return_index=True, return_inverse=True)
-    some = places[one]
-    order = np.argsort(word[some], kind="stable")
-    key = word[some][order]
+    by_hash = np.argsort(whole)
+    first = np.concatenate(([True], np.diff(whole[by_hash]) != 0))
+    same = np.empty(len(places), np.int64)
+    same[by_hash] = np.cumsum(first) - 1
+    some = places[by_hash[first]]
+    order = np.argsort(word[some])
+    key = word[some[order]]
+    # Places of ``order`` that are still tied, and the group of each.
+    left = np.arange(len(order))
     group = np.cumsum(np.concatenate(([0], key[1:] != key[:-1])))
+    pairs = [left[:0]]
     for at in range(8, depth, 8):
-        tied = np.zeros(len(group), bool)
-        equal = group[1:] == group[:-1]
-        tied[1:] |= equal
-        tied[:-1] |= equal
-        left = np.flatnonzero(tied)
+        size = np.bincount(group)
+        # Two that are tied need no more than to be compared, see below.
+        pairs.append(left[size[group] == 2][::2])
+        tied = size[group] > 2
+        left, group = left[tied], group[tied]
         if not len(left):
             break
         key = word[some[order[left]] + at]
-        within = np.lexsort((key, group[left]))
+        within = np.argsort(key)
+        group = np.cumsum(np.concatenate(([0], group[1:] != group[:-1])))
+        within = within[np.argsort(group[within].astype(np.min_scalar_type(group[-1])), kind="stable")]
         order[left] = order[left][within]
-        key, g = key[within], group[left]
-        new = np.zeros(len(group), bool)
-        new[left[1:]] = (g[1:] == g[:-1]) & (key[1:] != key[:-1]) & (np.diff(left) == 1)
-        group = np.cumsum(np.concatenate(([0], (group[1:] != group[:-1]) | new[1:])))
+        key = key[within]
+        group = np.cumsum(np.concatenate(([0], (group[1:] != group[:-1]) | (key[1:] != key[:-1]))))
+    later, live = [pairs[0]], pairs[0]
+    for i, at in enumerate(range(8, depth, 8), 1):
+        live = np.concatenate((live, *pairs[i : i + 1]))
+        a, b = word[some[order[live]] + at], word[some[order[live + 1]] + at]
+        later.append(live[a > b])
+        live = live[a == b]
+    swap = np.concatenate(later)
+    order[swap], order[swap + 1] = order[swap + 1], order[swap]
     rank = np.empty(len(some), np.int64)
     rank[order] = np.arange(len(some))
-    return places[np.argsort(rank[same], kind="stable")]
+    return places[np.argsort(rank[same])]
 
 
 def common_prefixes(text: np.ndarray, order: np.ndarray, most: int = LENGTH) -> np.ndarray:
