@@ -81,6 +81,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         whole = Tokenizer.from_file(path)
+        whole.model._resize_cache(0)  # it would be asked for nothing twice
         self.tokenize = whole.model.tokenize
         added = {t.content: (i, t) for i, t in whole.get_added_tokens_decoder().items()}
         if any(t.single_word or t.lstrip or t.rstrip for _, t in added.values()):
@@ -126,18 +127,21 @@ class Encoder:
             if i < upto:
                 continue
             u, upto = units[i], i + 1
-            word = u.rstrip(punctuation)
-            letters = word[1:] if word.startswith((" ", "\n")) else word
-            if letters.isalpha() and max(letters) < LATIN:
-                # A line end, letters, and what follows them are pieces of their own.
-                if u.startswith("\n"):
-                    g = piece("\n") + (known(letters) or piece(letters))
-                else:
-                    g = known(word) or piece(word)
-                if len(word) < len(u):
-                    last = u[len(word) :]
-                    g += known(last) or piece(last)
-                got[i] = g
+            last, g = "", None
+            if u[-1:].isalpha():
+                word = u
+            else:
+                word = u.rstrip(punctuation)
+                last, end = u[len(word) :], word[-1:]
+                if last and end.isalnum() and end < LATIN:
+                    g = known(word)
+            if g is None:
+                letters = word[1:] if word[:1] == " " or word[:1] == "\n" else word
+                if letters.isalpha() and (letters.isascii() or max(letters) < LATIN):
+                    # A line end, and letters, are pieces of their own.
+                    g = known(word) or piece(word) if word[0] != "\n" else piece("\n") + (known(letters) or piece(letters))
+            if g is not None:
+                got[i] = g + (known(last) or piece(last)) if last else g
             else:
                 # What ends in white goes on in the next unit.
                 while upto < len(units) and (not units[upto - 1] or units[upto - 1][-1].isspace()):
