@@ -304,7 +304,7 @@ def pair_logits(keys: np.ndarray, n: np.ndarray, code: Code) -> np.ndarray:
         flat = spread(code.base[s], size)
         at = np.repeat(context[begin:end] - context[begin], size) << 8 | code.tree[flat]
         sign, times = code.sign[flat], np.repeat(n[begin:end], size)
-        order = np.argsort(at, kind="stable")
+        order = np.argsort(at)
         first = np.flatnonzero(np.concatenate(([True], np.diff(at[order]) != 0)))
         logit = logit_of(*(np.add.reduceat(np.where(sign == b, times, 0)[order], first).astype(np.float64) for b in (-1, 1)))
         own = np.empty(len(at), np.int8)
@@ -327,6 +327,10 @@ def share_of(times: np.ndarray) -> np.ndarray:
     return (1 - (1 - MAP_RATE) ** times) / np.maximum(times, 1)
 
 
+#: Of few decisions, looked up.
+SHARES = share_of(np.arange(LANES >> 3))
+
+
 def steps(longest: int) -> np.ndarray:
     """Where each step of a text of ``longest`` symbols begins, and where the last one ends."""
     out = [0]
@@ -403,7 +407,7 @@ class Model:
         lanes = int(active[0])
         weights = [np.tile(np.array(START[:GATES], np.float32), lanes) for _ in range(PREDICTORS)]
         curve = np.tile((1 / (1 + np.exp(-np.linspace(0, MAP_SPAN, MAP_STEPS)))).astype(np.float32), lanes)
-        out, share = np.empty(len(row), np.float32), share_of(np.arange(LANES >> 3))
+        out, share = np.empty(len(row), np.float32), SHARES
         scale, most, half = np.float32((MAP_STEPS - 1) / MAP_SPAN), np.float32(MAP_SPAN - 0.01), np.float32(0.5)
         for n, a, b, width in zip(active.tolist(), upto[:-1].tolist(), upto[1:].tolist(), np.diff(cut).tolist(), strict=True):
             at, inputs = row[a:b], [v[a:b] for v in x]
@@ -645,16 +649,18 @@ def scored(docs: DataFrame, bucket_bytes: int = BUCKET) -> DataFrame:
 
 def base_scores(texts: list[bytes], answers: list[bytes], buckets: int, n_train: int):
     """Tokens, known tokens, and the sum of log10(count + 1) of each text; ``answers`` are the counts of the texts' words by range."""
-    word = word_counts(texts, np.zeros(len(texts), np.int64))[0]
+    found = [(w.hash, np.diff(w.first)) for w in map(word_hashes, blocks(texts))]
+    word = distinct(np.concatenate([np.zeros(0, U64), *(h for h, _ in found)]))
     sizes = np.bincount(range_of(word, 64, buckets), minlength=buckets)
     c = np.concatenate([np.zeros(0, np.int64), *(stretched(x, n) for x, n in zip(answers, sizes[sizes > 0].tolist(), strict=True))])
     n_tokens, n_known, seen = [], [], []
     each, end = np.log10(c + 1), np.log10(n_train + 1)
-    for some in blocks(texts):
-        w = word_hashes(some)
-        at = np.searchsorted(word, w.hash)
-        doc = np.repeat(np.arange(len(some)), np.diff(w.first))
-        n_tokens.append(np.diff(w.first) + 1)
-        n_known.append(np.bincount(doc[c[at] > 0], minlength=len(some)) + (n_train > 0))
-        seen.append(np.bincount(doc, each[at], len(some)) + end)
+    for h, words in found:
+        # Looked up in their order: neighbours are found near each other.
+        order, at = np.argsort(h), np.empty(len(h), np.int64)
+        at[order] = np.searchsorted(word, h[order])
+        doc = np.repeat(np.arange(len(words)), words)
+        n_tokens.append(words + 1)
+        n_known.append(np.bincount(doc[c[at] > 0], minlength=len(words)) + (n_train > 0))
+        seen.append(np.bincount(doc, each[at], len(words)) + end)
     return tuple(np.concatenate(x) if x else np.zeros(0) for x in (n_tokens, n_known, seen))

@@ -412,6 +412,20 @@ def test_lm_prepares_a_block_once(monkeypatch):
         assert (pairs.keys[m][pairs.some[m][0]][pairs.which[m][0]] == plain([b"abcab", b"", b"ab"]).pairs(m, 27)).all()
 
 
+def test_lm_hashes_words_once(docs, monkeypatch):
+    texts = [(t or "").encode() for t in docs.text[:300]]
+    keys, counts = lm.word_counts(texts, np.ones(len(texts), np.int64))
+    known = dict(zip(keys.tolist(), counts.tolist(), strict=True))
+    own, hashed = [lm.word_hashes([t]).hash.tolist() for t in texts], []
+    f = lm.word_hashes
+    monkeypatch.setattr(lm, "word_hashes", lambda some: (hashed.append(len(some)), f(some))[1])
+    n_tokens, n_known, seen = lm.base_scores(texts, [lm.squeezed(counts)], 1, len(texts))
+    assert sum(hashed) == len(texts)
+    assert n_tokens.tolist() == n_known.tolist() == [len(w) + 1 for w in own]
+    want = [sum(math.log10(known[x] + 1) for x in w) + math.log10(len(texts) + 1) for w in own]
+    assert np.allclose(seen, want)
+
+
 def test_lm_counts_grow_with_the_corpus(spark):
     """Contexts in great number aren't added together, and copies are counted as often as they occur."""
     rng = np.random.default_rng(5)
