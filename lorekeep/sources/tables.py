@@ -61,7 +61,8 @@ def pdf_pages(spark: SparkSession, path: str, parse: Callable[[bytes], list[str]
                     if not skip:
                         raise
                     continue
-                yield pd.DataFrame({"doc_name": name, "page_num": range(1, len(pages) + 1), "text": [p or "" for p in pages]})
+                # Without a type, the texts of a file without pages would be numbers.
+                yield pd.DataFrame({"doc_name": name, "page_num": range(1, len(pages) + 1), "text": pd.Series([p or "" for p in pages], dtype=object)})
 
     return files.mapInPandas(run, "doc_name string, page_num int, text string")
 

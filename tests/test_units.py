@@ -464,6 +464,16 @@ def test_build(spark, tmp_path, capsys):
     assert "chunk: done" in capsys.readouterr().out
 
 
+def test_pdf_without_pages(spark, tmp_path):
+    from lorekeep.sources import tables as D
+
+    (tmp_path / "none.pdf").write_bytes(b"")
+    (tmp_path / "two.pdf").write_bytes(b"a|")
+    pages = D.pdf_pages(spark, str(tmp_path), lambda c: c.decode().split("|") if c else [])
+    assert sorted(map(tuple, pages.collect())) == [("two", 1, "a"), ("two", 2, "")]
+    assert D.unreadable(spark, str(tmp_path), lambda c: []).collect() == []
+
+
 def test_model_limits(spark):
     began = time.monotonic()
     rows = spark.createDataFrame([("a",), ("b",), ("c",)], "t string")
