@@ -50,10 +50,14 @@ BEFORE = 0xFF
 #: Lengths in bytes of the contexts; one more is the word so far.
 ORDERS = (3, 6)
 PREDICTORS = len(ORDERS) + 1
+#: The predictors whose contexts have three bytes, so that few are distinct: sorted as they are, hashed when they are distinct.
+SHORT = [m for m, n in enumerate(ORDERS) if n == 3]
 #: Bytes of text, and pairs of context and symbol, that are worked on at once.
 LANES, PIECE = 1 << 19, 1 << 18
-#: Bytes of text whose pairs are sorted at once to be counted.
-RUN = 1 << 22
+#: Symbols whose decisions are prepared at once, unless a step has more.
+AHEAD = 1 << 13
+#: Bytes of text whose pairs are made at once, and sorted at once, to be counted.
+FEW, RUN = 1 << 16, 1 << 21
 #: Symbols before the weights move for the first time, and the part of itself that a text grows by between later moves.
 FIRST, GROWTH = 8, 1 / 24
 BUCKET = 12 << 20
@@ -133,11 +137,18 @@ class Code:
 
 def byte_pairs(texts: list[bytes]) -> np.ndarray:
     """256 x 257 counts of symbols after bytes."""
-    counts = np.zeros(1 << CODE_BITS, np.int64)
-    for some in blocks(texts, limit=LANES):
-        symbols = Symbols(some)
-        counts += np.bincount(symbols.after, minlength=1 << CODE_BITS)
-    return counts.reshape(512, 512)[:256, : END + 1]
+    counts = np.zeros((256, END + 1), np.int64)
+    for some in blocks(texts, limit=FEW):
+        buf = np.frombuffer(bytes([BEFORE]).join([b"", *some, b""]), np.uint8)
+        pairs = buf[:-1].astype(np.int64)
+        pairs <<= 8
+        pairs |= buf[1:]
+        counts[:, :END] += np.bincount(pairs, minlength=1 << 16).reshape(256, 256)
+        # Where a text ends stands the byte before the next one.
+        last = np.bincount(buf[np.cumsum([len(t) + 1 for t in some]) - 1], minlength=256)
+        counts[:, BEFORE] -= last
+        counts[:, END] += last
+    return counts
 
 
 class Symbols:
@@ -157,19 +168,16 @@ class Symbols:
 
     def pairs(self, m: int, bits: int) -> np.ndarray:
         """One number for each symbol and predictor ``m``'s context: so many bits of the context's hash, the byte before, the symbol."""
-        with np.errstate(over="ignore"):
-            if m < len(ORDERS):
-                h, width = self._last(ORDERS[m])[self.place], ORDERS[m]
-            else:
-                h, width = words_of(self.buf)[self.place], 0
-            h += U64(width)
-            h *= U64(0x9E3779B97F4A7C15)
-            h ^= h >> U64(32)
-            h *= U64(0xD6E8FEB86659FD93)
-        h >>= U64(64 - bits)
-        h <<= U64(CODE_BITS)
-        h |= self.after.view(U64)
-        return h
+        if m < len(ORDERS):
+            return pair_of(self._last(ORDERS[m])[self.place], ORDERS[m], self.after, bits)
+        return pair_of(words_of(self.buf)[self.place], 0, self.after, bits)
+
+    def whole(self, n: int) -> np.ndarray:
+        """One number for each symbol and its context of ``n`` bytes, 6 at most: these bytes as they are, and the symbol."""
+        v = self._last(n)[self.place]
+        v <<= U64(9)
+        v |= self.after.view(U64) & U64(511)
+        return v
 
     def _last(self, n: int) -> np.ndarray:
         """The ``n`` bytes before every place as one number; the places before the first text get any."""
@@ -183,6 +191,24 @@ class Symbols:
         return out
 
 
+def pair_of(h: np.ndarray, width: int, after: np.ndarray, bits: int) -> np.ndarray:
+    """The pairs, in the place of ``h``, of contexts of ``width`` bytes (the word so far: 0), as one number each, and of symbols with the byte before."""
+    with np.errstate(over="ignore"):
+        h += U64(width)
+        h *= U64(0x9E3779B97F4A7C15)
+        h ^= h >> U64(32)
+        h *= U64(0xD6E8FEB86659FD93)
+    h >>= U64(64 - bits)
+    h <<= U64(CODE_BITS)
+    h |= after.view(U64)
+    return h
+
+
+def pairs_of_whole(v: np.ndarray, width: int, bits: int) -> np.ndarray:
+    """The pairs of numbers as ``Symbols.whole`` makes them."""
+    return pair_of(v >> U64(9), width, (v >> U64(9) & U64(0xFF)) << U64(9) | v & U64(511), bits)
+
+
 def context_bits(size: int) -> int:
     """Bits of a context's hash for a corpus of so many bytes; with the byte before, some thousand values for each of its places."""
     return min(46, max(27, int(size).bit_length() + 4))
@@ -225,20 +251,35 @@ class Pairs:
     def _run(self, texts: list[bytes], times: int) -> list[tuple[np.ndarray, np.ndarray]]:
         """For each predictor the distinct pairs, in order, of texts that count equally, and how often each occurs."""
         own: list[list[np.ndarray]] = [[] for _ in range(PREDICTORS)]
-        for some in blocks(texts, limit=LANES):
+        ends: list[np.ndarray] = []
+        for some in blocks(texts, limit=FEW):
             symbols = Symbols(some)
             for m in range(PREDICTORS):
-                own[m].append(symbols.pairs(m, self.bits))
+                if m in SHORT:
+                    v = symbols.whole(ORDERS[m])
+                    ends.append(v[symbols.ends - 1])
+                    # A byte and three bytes before it: half as much to be sorted.
+                    v = (v >> U64(9) << U64(8) | v & U64(0xFF)).astype(np.uint32)
+                    own[m].append(np.delete(v, symbols.ends - 1))
+                else:
+                    own[m].append(symbols.pairs(m, self.bits))
         out = []
-        while own:
-            k = np.concatenate(own.pop(0))
+        for m in range(PREDICTORS):
+            k, own[m] = np.concatenate(own[m]), []
             k.sort()
-            first = np.flatnonzero(np.concatenate(([True], k[1:] != k[:-1])))
-            out.append((k[first], np.diff(first, append=len(k)) * times))
+            first = np.flatnonzero(np.concatenate((np.ones(min(1, len(k)), bool), k[1:] != k[:-1])))
+            k, n = k[first], np.diff(first, append=len(k)) * times
+            if m in SHORT:
+                last = np.concatenate(ends)
+                v = np.concatenate((k.astype(U64) >> U64(8) << U64(9) | k & U64(0xFF), last))
+                k, n = added([pairs_of_whole(v, ORDERS[m], self.bits)], [np.concatenate((n, np.full(len(last), times)))])
+            out.append((k, n))
         return out
 
     def _block(self, symbols: Symbols, m: int) -> tuple[np.ndarray, np.ndarray]:
         """The pairs of a block, nearly in order and hardly any of them twice, and which one each symbol is."""
+        if m in SHORT:
+            return self._short(symbols, m)
         k = symbols.pairs(m, self.bits)
         # Pair and place as one number; what doesn't fit are the hash's last bits, so that hardly any equal pairs lie apart.
         room = len(k).bit_length()
@@ -258,6 +299,25 @@ class Pairs:
         return k[new], which
 
 
+    def _short(self, symbols: Symbols, m: int) -> tuple[np.ndarray, np.ndarray]:
+        """As ``_block``; only the distinct pairs are hashed, few where contexts are short."""
+        v = symbols.whole(ORDERS[m])
+        room = len(v).bit_length()
+        v <<= U64(room)
+        v |= np.arange(len(v), dtype=U64)
+        v.sort()
+        order = (v & U64((1 << room) - 1)).view(np.int64)
+        v >>= U64(room)
+        new = np.ones(len(v), bool)
+        new[1:] = v[1:] != v[:-1]
+        k = pairs_of_whole(v[new], ORDERS[m], self.bits)
+        sort = np.argsort(k)
+        place, which = np.empty(len(k), np.int32), np.empty(len(v), np.int32)
+        place[sort] = np.arange(len(k), dtype=np.int32)
+        which[order] = place.take(np.cumsum(new) - 1)
+        return k[sort], which
+
+
 def runs(texts: list[bytes], times: np.ndarray) -> Iterator[tuple[list[bytes], int]]:
     """Consecutive texts that count equally, about ``RUN`` bytes at a time, and how often they count."""
     for n, some in itertools.groupby(zip(times.tolist(), texts, strict=True), key=lambda x: x[0]):
@@ -376,40 +436,58 @@ class Model:
         longest = int(size[0])
         cut = steps(longest)
         alive = len(size) - np.cumsum(np.bincount(size, minlength=longest + 1))[:longest]
+        upto = np.concatenate(([0], np.cumsum(alive)))[np.minimum(cut, longest)]
         text = spread(np.zeros(longest, np.int64), alive)
         where = begin.take(text) + np.repeat(np.arange(longest), alive)
-        upto, active = np.concatenate(([0], np.cumsum(alive)))[np.minimum(cut, longest)], alive[cut[:-1]]
         n = self.code.length.take(symbols.after.take(where))
         first = np.concatenate(([0], np.cumsum(n)))
-        symbol, each = np.repeat(np.arange(len(n)), n), np.arange(first[-1])
-        lane = text.take(symbol, mode="clip")
-        row, x = lane * GATES, np.empty((PREDICTORS, first[-1]), np.float32)
-        for m in range(PREDICTORS):
-            # The block's own logits first, nearly in the order they lie in, then those of every symbol.
-            some = self.pairs.some[m][block]
-            size_of = self.size[m].take(some, mode="clip").astype(np.int64)
-            logits = self.logits[m].take(spread(self.first[m].take(some, mode="clip"), size_of), mode="clip")
-            begins = (np.cumsum(size_of) - size_of).take(self.pairs.which[m][block].take(where, mode="clip"), mode="clip")
-            at = (begins - first[:-1]).take(symbol, mode="clip")
-            at += each
-            logit = logits.take(at, mode="clip")
-            row += logit != 0
-            np.multiply(logit, np.float32(1 / UNIT), out=x[m])
-        del symbol, each, some, size_of, logits, begins, at, logit
-        p = self._mix(x, row, lane, first[upto], active, cut)
+        # What is made for each decision is made for a few symbols at a time, so that it stays in the processor's cache;
+        # one predictor after the other, so that its logits do, too.
+        logits = np.empty((PREDICTORS, first[-1]), np.int8)
+        for m, out in enumerate(logits):
+            known, begins, which = self._own(m, block)
+            begins = begins.take(which.take(where, mode="clip"), mode="clip") - first[:-1]
+            for a in range(0, len(n), AHEAD):
+                low, high = first[a], first[min(a + AHEAD, len(n))]
+                at = np.repeat(begins[a : a + AHEAD], n[a : a + AHEAD])
+                at += np.arange(low, high)
+                known.take(at, mode="clip", out=out[low:high])
+        mixer, total, a = Mixer(len(size)), np.zeros(len(size)), 0
+        while a < len(cut) - 1:
+            b = max(a + 1, int(np.searchsorted(upto, upto[a] + AHEAD, "right")) - 1)
+            low, high = upto[a], upto[b]
+            lane, some = np.repeat(text[low:high], n[low:high]), logits[:, first[low] : first[high]]
+            row, x = lane * GATES, some * np.float32(1 / UNIT)
+            for own in some:
+                row += own != 0
+            p = mixer.mixed(x, row, lane, first[upto[a : b + 1]] - first[low], alive[cut[a:b]], np.diff(cut[a : b + 1]))
+            total += np.bincount(lane, np.log(p), len(size))
+            a = b
         out = np.empty(len(size))
-        out[order] = np.bincount(lane, np.log(p), len(size)) / np.log(10)
+        out[order] = total / np.log(10)
         return out
 
-    @staticmethod
-    def _mix(x: np.ndarray, row: np.ndarray, lane: np.ndarray, upto: np.ndarray, active: np.ndarray, cut: np.ndarray) -> np.ndarray:
-        """The probability of each decision; ``upto`` are the bounds of the steps."""
-        lanes = int(active[0])
-        weights = [np.tile(np.array(START[:GATES], np.float32), lanes) for _ in range(PREDICTORS)]
-        curve = np.tile((1 / (1 + np.exp(-np.linspace(0, MAP_SPAN, MAP_STEPS)))).astype(np.float32), lanes)
-        out, share = np.empty(len(row), np.float32), SHARES
+    def _own(self, m: int, block: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The logits of a block's own pairs, nearly in the order they lie in, where each pair's begin, and the pair of every symbol."""
+        some = self.pairs.some[m][block]
+        size = self.size[m].take(some, mode="clip").astype(np.int64)
+        logits = self.logits[m].take(spread(self.first[m].take(some, mode="clip"), size), mode="clip")
+        return logits, np.cumsum(size) - size, self.pairs.which[m][block]
+
+
+class Mixer:
+    """The weights and the map of each of so many texts."""
+
+    def __init__(self, lanes: int):
+        self.weights = [np.tile(np.array(START[:GATES], np.float32), lanes) for _ in range(PREDICTORS)]
+        self.curve = np.tile((1 / (1 + np.exp(-np.linspace(0, MAP_SPAN, MAP_STEPS)))).astype(np.float32), lanes)
+
+    def mixed(self, x: np.ndarray, row: np.ndarray, lane: np.ndarray, upto: np.ndarray, active: np.ndarray, widths: np.ndarray) -> np.ndarray:
+        """The probability of each decision of the next steps; ``upto`` are the bounds of these."""
+        weights, curve, share = self.weights, self.curve, SHARES
+        out = np.empty(len(row), np.float32)
         scale, most, half = np.float32((MAP_STEPS - 1) / MAP_SPAN), np.float32(MAP_SPAN - 0.01), np.float32(0.5)
-        for n, a, b, width in zip(active.tolist(), upto[:-1].tolist(), upto[1:].tolist(), np.diff(cut).tolist(), strict=True):
+        for n, a, b, width in zip(active.tolist(), upto[:-1].tolist(), upto[1:].tolist(), widths.tolist(), strict=True):
             at, inputs = row[a:b], [v[a:b] for v in x]
             # All places are valid; "clip" only spares take() a check of its own.
             z = weights[0].take(at, mode="clip")

@@ -426,6 +426,32 @@ def test_lm_hashes_words_once(docs, monkeypatch):
     assert np.allclose(seen, want)
 
 
+def test_lm_hashes_distinct_short_contexts(monkeypatch):
+    texts, times = [b"abcd" * 500, b"", b"\xff\xff\xffa\xff", b"abcdabc"], np.array([1, 1, 2, 0])
+    hashed, f = [], lm.pair_of
+    monkeypatch.setattr(lm, "pair_of", lambda h, width, *rest: (hashed.append(len(h)) if width == 3 else None, f(h, width, *rest))[1])
+    own, counted = lm.Pairs(texts, 27), lm.Pairs(texts, 27, times)
+    assert max(hashed) < 30
+    plain = [lm.Symbols([t]).pairs(0, 27) for t in texts]
+    assert own.keys[0].take(own.some[0][0].take(own.which[0][0])).tolist() == np.concatenate(plain).tolist()
+    n = collections.Counter()
+    for k, most in zip(plain, times.tolist()):
+        for x in k.tolist():
+            n[x] += most
+    assert dict(zip(counted.keys[0].tolist(), counted.counts[0].tolist())) == n
+
+
+def test_lm_prepares_few_steps_at_a_time(docs, monkeypatch):
+    texts = [(t or "").encode() for t in docs.text[:60]]
+    model, made, f = lm.Model.trained(texts, texts), [], lm.Mixer.mixed
+    whole = model.scores()
+    monkeypatch.setattr(lm, "AHEAD", 100)
+    monkeypatch.setattr(lm.Mixer, "mixed", lambda self, *given: (made.append(len(given[-1])), f(self, *given))[1])
+    assert model.scores() == pytest.approx(whole, rel=1e-12)
+    assert sum(made) == sum(len(lm.steps(max(map(len, some)) + 1)) - 1 for some in model.pairs.blocks)
+    assert len(made) > sum(made) / 2
+
+
 def test_lm_counts_grow_with_the_corpus(spark):
     """Contexts in great number aren't added together, and copies are counted as often as they occur."""
     rng = np.random.default_rng(5)
