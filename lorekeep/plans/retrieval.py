@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from lorekeep.functions.text import display
 from lorekeep.functions.vectors import cosine, norm
 from lorekeep.operators import graph as G
+from lorekeep.operators.nearest import nearest_each
 from lorekeep.shared import drop_written, materialize, shared_dir
 
 BOOST = 0.3
@@ -51,11 +52,7 @@ def vector_chunks(chunks: DataFrame, vectors: DataFrame, query: list[float] | Da
 
 def vector_chunks_each(vectors: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     """For each of (query_id, embedding) the ``k`` nearest chunks, by exact cosine: (query_id, chunk_id, score)."""
-    scored = vectors.crossJoin(queries.select("query_id", F.col("embedding").alias("_q")))
-    scored = scored.select("query_id", "chunk_id", cosine(F.col("embedding"), F.col("_q")).alias("score")).where("score is not null")
-    # The limit by rank also holds before the shuffle, so only k rows a query and task cross the network.
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "chunk_id"))
-    return scored.withColumn("_rank", rank).where(F.col("_rank") <= k).drop("_rank")
+    return nearest_each(vectors.select("chunk_id", "embedding"), queries.select("query_id", F.col("embedding").alias("_q")), k)
 
 
 def vector_index(vectors: DataFrame, lists: int | None = None, sample: int = 20_000, seed: int = 7) -> tuple[DataFrame, DataFrame]:
