@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Numbers in a block of vectors, queries in one of queries, and pairs that are scored at a time.
@@ -180,3 +180,33 @@ def nearest_each(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     # The limit by rank also holds before the shuffle.
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc_nulls_last("chunk_id")))
     return scored.withColumn("_rank", rank).where(F.col("_rank") <= k).drop("_rank")
+
+
+# ---- lists of an index -------------------------------------------------------------------------------
+
+
+def with_probes(queries: DataFrame, centres: list[tuple[int, list[float]]], probes: int) -> DataFrame:
+    """(query_id, _q, _lists): a bit for each list, set for the ``probes`` whose centres are nearest to a query, NaN first, ties by list."""
+    number = np.array([i for i, _ in centres], np.int64)
+    centre = pa.chunked_array([pa.array([c for _, c in centres], pa.list_(pa.float64()))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        x = matrices(centre)
+        for whole in batches:
+            for at in range(0, len(whole), 512):
+                b = whole.slice(at, 512)
+                bits = np.zeros((len(b), (int(number.max()) + 1 if len(number) else 1)), bool)
+                for d, (w, y) in matrices(pa.chunked_array([b.column("_q")])).items():
+                    if d in x:
+                        i, j, _ = nearest(x[d][1], number[x[d][0]], y, None, probes)
+                        bits[w[i], number[x[d][0][j]]] = True
+                yield pa.RecordBatch.from_arrays([*b.columns, pa.array([r.tobytes() for r in np.packbits(bits, axis=1)], pa.binary())], [*b.schema.names, "_lists"])
+
+    return queries.mapInArrow(run, queries.select("*", F.lit(b"").alias("_lists")).schema)
+
+
+def probed_lists(lists: str) -> Column:
+    """The numbers of the bits that are set."""
+    byte = lambda i: F.conv(F.hex(F.substring(F.col(lists), i + 1, F.lit(1))), 16, 10).cast("int")
+    each = F.transform(F.sequence(F.lit(0), F.octet_length(lists) - 1), lambda i: F.filter(F.transform(F.sequence(F.lit(0), F.lit(7)), lambda j: F.when(F.getbit(byte(i), F.lit(7) - j) == 1, i * 8 + j)), lambda n: n.isNotNull()))
+    return F.flatten(each)

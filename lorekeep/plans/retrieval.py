@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from lorekeep.functions.text import display
 from lorekeep.functions.vectors import cosine, norm
 from lorekeep.operators import graph as G
-from lorekeep.operators.nearest import nearest_each
+from lorekeep.operators.nearest import nearest_each, probed_lists, with_probes
 from lorekeep.shared import drop_written, materialize, shared_dir
 
 BOOST = 0.3
@@ -72,7 +72,8 @@ def vector_index(vectors: DataFrame, lists: int | None = None, sample: int = 20_
     k = lists or max(1, min(1024, round(rows.count() ** 0.5)))
     model = KMeans(k=max(2, k), seed=seed, distanceMeasure="cosine", maxIter=15).fit(some)
     path = shared_dir(spark, "index")
-    model.transform(rows).select("chunk_id", "embedding", F.col("prediction").alias("list")).write.partitionBy("list").parquet(path)
+    # Dealt by list first, or each task would write a file for every list.
+    model.transform(rows).select("chunk_id", "embedding", F.col("prediction").alias("list")).hint("rebalance", "list").write.partitionBy("list").parquet(path)
     centres = spark.createDataFrame([(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())], "list int, centre array<double>")
     drop_written(spark, some)
     return spark.read.parquet(path), centres
@@ -81,12 +82,10 @@ def vector_index(vectors: DataFrame, lists: int | None = None, sample: int = 20_
 def search_index(index: DataFrame, centres: DataFrame, queries: DataFrame, k: int = 10, probes: int = 8) -> DataFrame:
     """As ``vector_chunks_each``, but only among the vectors in the ``probes`` lists whose centres are nearest to a query."""
     q = queries.select("query_id", F.col("embedding").alias("_q"))
-    nearest = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("_c"), "list"))
-    # Centres are at most 1,024 rows.
-    probed = q.crossJoin(F.broadcast(centres)).withColumn("_c", cosine(F.col("_q"), F.col("centre"))).withColumn("_n", nearest).where(F.col("_n") <= probes)
-    scored = index.join(probed.select("query_id", "_q", "list"), "list").select("query_id", "chunk_id", cosine(F.col("embedding"), F.col("_q")).alias("score")).where("score is not null")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "chunk_id"))
-    return scored.withColumn("_rank", rank).where(F.col("_rank") <= k).drop("_rank")
+    # Centres are at most 1,024 rows, and so are the lists that are probed.
+    probed = with_probes(q, sorted((r.list, r.centre) for r in centres.collect()), probes)
+    lists = F.broadcast(probed.select(F.explode(probed_lists("_lists")).alias("list")).distinct())
+    return nearest_each(index.join(lists, "list", "left_semi").select("chunk_id", "embedding", "list"), probed, k)
 
 
 def chunks_with(chunks: DataFrame, term: str, most: int = 1) -> DataFrame:

@@ -63,3 +63,21 @@ def test_pairs_are_not_rows(spark, sf):
 
     plan = catalog.QUERIES["vector_topk_each"](spark, sf)._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_index(spark):
+    rng = random.Random(6)
+    some = [[rng.gauss(0, 1) for _ in range(8)] for _ in range(400)]
+    vectors = spark.createDataFrame([(f"c{i:03d}", v) for i, v in enumerate([*some, *[some[0]] * 20])], VECTORS).repartition(8)
+    index, centres = P.vector_index(vectors, lists=12)
+    assert len(index.inputFiles()) == index.select("list").distinct().count() and index.count() == 420
+    queries = spark.createDataFrame(list(enumerate([*some[:5], [0.0] * 8, None])), QUERIES)
+    q = queries.select("query_id", F.col("embedding").alias("_q"))
+    nearest = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("_c"), "list"))
+    for probes in (1, 3, 12):
+        probed = q.crossJoin(centres).withColumn("_c", cosine(F.col("_q"), F.col("centre"))).where("_c is not null").withColumn("_n", nearest).where(F.col("_n") <= probes)
+        pairs = index.join(probed, "list").select("query_id", "chunk_id", cosine(F.col("embedding"), F.col("_q")).alias("score"))
+        rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "chunk_id"))
+        want = pairs.withColumn("_rank", rank).where("_rank <= 10").drop("_rank")
+        got = P.search_index(index, centres, queries, probes=probes)
+        assert listed(got) == listed(want)
