@@ -755,7 +755,7 @@ def shacl_report(t: X.Tables) -> DataFrame:
 
 def _one_constraint(name: str, constraint: str):
     def run(t: X.Tables) -> DataFrame:
-        return G.violations(*_faulty(t)).where(F.col("constraint") == constraint).drop("constraint")
+        return G.violations(*_faulty(t), only=constraint).drop("constraint")
 
     run.__name__ = name
     return query(f"SELECT focus_id, shape, path, severity, observed FROM ({SHACL}) WHERE \"constraint\" = '{constraint}'")(run)

@@ -6,14 +6,20 @@ traversals never have to filter them out.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lorekeep import constants as K
-from lorekeep.shared import drop_written, materialize
+from lorekeep.shared import at_most, drop_written, materialize
 
 #: Broadcast at most so many alias rows; more are joined by shuffle.
 BROADCAST_ALIASES = 500_000
+#: And so many ends of edges that some shape does not allow.
+BROADCAST_SUSPECTS = 50_000
+#: Nodes and edges that one task joins.
+PART_ROWS = 250_000
 
 
 def nodes(entities: DataFrame, seq: str = "seq") -> DataFrame:
@@ -160,33 +166,65 @@ def linked_mentions(pairs: DataFrame, chunks: DataFrame, nodes_: DataFrame) -> D
 # ---- validation against shapes --------------------------------------------------------------------------
 
 
-def violations(nodes_: DataFrame, edges_: DataFrame, literals: DataFrame) -> DataFrame:
-    """(focus_id, shape, path, constraint, severity, observed) of nodes against the shapes.
+def violations(nodes_: DataFrame, edges_: DataFrame, literals: DataFrame, only: str | None = None) -> DataFrame:
+    """(focus_id, shape, path, constraint, severity, observed) of nodes against the shapes, those of one constraint if ``only`` names it.
 
     ``literals`` is (entity_id, path, value).  Object paths are checked for number and type of their targets,
     literal paths for number and allowed values; labels and edges no shape knows are warnings.
     """
+    spark = nodes_.sparkSession
     # 49 shapes: a constant.
-    shapes = F.broadcast(K.shapes_table(nodes_.sparkSession))
+    shapes = F.broadcast(K.shapes_table(spark))
     n = nodes_.select(F.col("entity_id").alias("focus_id"), F.col("label").alias("shape"))
     e = edges_.select(F.col("src").alias("focus_id"), F.col("rel_type").alias("path"), F.col("dst").alias("value"), F.lit(True).alias("_edge"))
     values = e.unionAll(literals.select(F.col("entity_id").alias("focus_id"), "path", "value", F.lit(False)))
-    # One row for each node without regard to its values, so that each node and value is joined once.
-    every = n.join(values, "focus_id", "left").join(shapes.select("shape", "path", "kind", "allowed", F.lit(True).alias("_declared")), ["shape", "path"], "left")
-    ends = every.where("_edge").join(nodes_.select(F.col("entity_id").alias("value"), F.col("label").alias("_target")), "value", "left")
+    # One row for each node without regard to its values, so that each node and value is joined once; what shapes say is joined after that.
+    # Dealt into parts of so many rows, however many there are: left to itself, a task gets what is small while it is compressed.
+    parts = 1 if only == "undeclared" else max(1, -(-(nodes_.count() + edges_.count()) // PART_ROWS))
+    every = n.repartition(parts, "focus_id").join(values.repartition(parts, "focus_id"), "focus_id", "left")
     report = lambda d, what, seen, severity="Violation": d.select("focus_id", "shape", "path", F.lit(what).alias("constraint"), F.lit(severity).alias("severity"), seen.cast("string").alias("observed"))
-    allowed = F.coalesce(F.array_contains("allowed", F.col("_target")), F.lit(False))
-    what = F.when(F.col("_declared").isNull(), "closed").when((F.col("kind") == "object") & ~allowed, "class")
-    wrong = ends.withColumn("_what", what).where("_what is not null")
-    out = wrong.select("focus_id", "shape", "path", F.col("_what").alias("constraint"), F.lit("Violation").alias("severity"), F.when(F.col("_what") == "closed", F.col("value")).otherwise(F.coalesce("_target", F.lit("(missing)"))).alias("observed"))
-    listed = every.where((F.col("_edge") == F.lit(False)) & (F.col("kind") == "literal") & (F.size("allowed") > 0) & ~F.array_contains("allowed", F.col("value")))
-    out = out.unionAll(report(listed, "in", F.col("value")))
-    counts = every.where("path is not null").groupBy("focus_id", "path").agg(F.count("*").alias("n"))
-    wanted = n.join(shapes.select("shape", "path", "min_count", "max_count").where("min_count > 0 or max_count is not null"), "shape").join(counts, ["focus_id", "path"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
-    which = F.when(F.col("n") < F.col("min_count"), "minCount").when(F.col("n") > F.col("max_count"), "maxCount")
-    out = out.unionAll(wanted.withColumn("_what", which).where("_what is not null").select("focus_id", "shape", "path", "_what", F.lit("Violation"), F.col("n").cast("string")))
-    unknown = n.join(shapes.select("shape").distinct(), "shape", "left_anti").withColumn("path", F.lit("label"))
-    return out.unionAll(report(unknown, "undeclared", F.col("shape"), "Warning"))
+    out = []
+    if only in (None, "closed"):
+        declared = shapes.select("shape", "path", F.lit(True).alias("_declared"))
+        out.append(report(every.where("_edge").join(declared, ["shape", "path"], "left").where("_declared is null"), "closed", F.col("value")))
+    if only in (None, "class"):
+        suspects = materialize(_suspects(nodes_, edges_, parts), "suspects")
+        bounded = F.broadcast(suspects) if at_most(suspects, BROADCAST_SUSPECTS) else suspects
+        ends = every.where("_edge").join(shapes.where("kind = 'object'").select("shape", "path", "allowed"), ["shape", "path"]).join(bounded.select(F.col("path").alias("_p"), F.col("value").alias("_v"), "_target"), (F.col("path") == F.col("_p")) & F.col("value").eqNullSafe(F.col("_v")))
+        out.append(report(ends.where(~F.coalesce(F.array_contains("allowed", F.col("_target")), F.lit(False))), "class", F.coalesce("_target", F.lit("(missing)"))))
+    if only in (None, "in"):
+        listed = every.where(~F.col("_edge")).join(shapes.where("kind = 'literal' and size(allowed) > 0").select("shape", "path", "allowed"), ["shape", "path"])
+        out.append(report(listed.where(~F.array_contains("allowed", F.col("value"))), "in", F.col("value")))
+    if only in (None, "minCount", "maxCount"):
+        # A row for each node with a number for each path that shapes count, so that no node is joined with what it should have.
+        counted = [x for x in K.SHAPES if x[3] > 0 or x[4] is not None]
+        paths = sorted({x[1] for x in counted})
+        numbers = every.groupBy("focus_id", "shape").agg(*[F.count_if(F.col("path") == p).alias(f"_{i}") for i, p in enumerate(paths)])
+        rows = [(s, [(p, paths.index(p), a, b) for t, p, _, a, b, _ in counted if t == s]) for s in sorted({x[0] for x in counted})]
+        wanted = F.broadcast(spark.createDataFrame(rows, "shape string, _wanted array<struct<path: string, i: int, least: int, most: int>>"))
+        seen = lambda w: F.get(F.col("_n"), w["i"])
+        odd = F.filter("_wanted", lambda w: (seen(w) < w["least"]) | (seen(w) > w["most"]))
+        found = numbers.withColumn("_n", F.array(*[F.col(f"_{i}") for i in range(len(paths))])).select("focus_id", "shape", "_n").join(wanted, "shape").select("focus_id", "shape", "_n", F.explode(odd).alias("_w"))
+        what = F.when(seen(F.col("_w")) < F.col("_w")["least"], "minCount").otherwise("maxCount")
+        out.append(found.select("focus_id", "shape", F.col("_w")["path"].alias("path"), what.alias("constraint"), F.lit("Violation").alias("severity"), seen(F.col("_w")).cast("string").alias("observed")))
+    if only in (None, "undeclared"):
+        unknown = n.join(shapes.select("shape").distinct(), "shape", "left_anti").withColumn("path", F.lit("label"))
+        out.append(report(unknown, "undeclared", F.col("shape"), "Warning"))
+    return reduce(DataFrame.unionAll, out).where(F.col("constraint") == only if only else F.lit(True))
+
+
+def _suspects(nodes_: DataFrame, edges_: DataFrame, parts: int) -> DataFrame:
+    """(path, value, _target): ends of edges whose label not every shape with that path allows.
+
+    Ends are made distinct before they meet the nodes: many edges share a few, and those would all be one task's.
+    """
+    objects = [x for x in K.SHAPES if x[2] == "object"]
+    common = [(p, sorted(set.intersection(*[set(x[5]) for x in objects if x[1] == p]))) for p in sorted({x[1] for x in objects})]
+    rules = F.broadcast(nodes_.sparkSession.createDataFrame(common, "path string, _all array<string>"))
+    ends = edges_.select(F.col("rel_type").alias("path"), F.col("dst").alias("value")).distinct()
+    labels = nodes_.select(F.col("entity_id").alias("value"), F.col("label").alias("_target")).repartition(parts, "value")
+    met = ends.repartition(parts, "value").join(labels, "value", "left").join(rules, "path")
+    return met.where(~F.coalesce(F.array_contains("_all", F.col("_target")), F.lit(False))).select("path", "value", "_target")
 
 
 # ---- traversal --------------------------------------------------------------------------------------------

@@ -349,6 +349,26 @@ def test_shapes(spark):
     assert got == {("z", "name", "minCount", "Violation"), ("c", "label", "undeclared", "Warning")}
 
 
+def test_shapes_of_many_nodes(spark, monkeypatch):
+    frame = lambda rows, names: spark.createDataFrame(rows, ", ".join(f"{c} string" for c in names.split()))
+    nodes = frame([*((f"e{i}", K.EVENT, f"E{i}") for i in range(60)), ("p", K.PLACE, "P"), ("t", K.PERIOD, "T"), ("h", K.PERSON, "H"), ("s", K.SITE, "S")], "entity_id label name")
+    edges = [*((f"e{i}", "P8_TOOK_PLACE_ON_OR_WITHIN", "p") for i in range(60)), *((f"e{i}", "P4_HAS_TIME-SPAN", "t") for i in range(1, 60)), ("e2", "P4_HAS_TIME-SPAN", "h")]
+    edges += [("s", "P53_HAS_FORMER_OR_CURRENT_LOCATION", "nowhere"), ("s", "P70I_IS_DOCUMENTED_IN", None), ("h", "P8_TOOK_PLACE_ON_OR_WITHIN", "p"), ("unknown", "P8_TOOK_PLACE_ON_OR_WITHIN", "h")]
+    literals = [(r.entity_id, "name", r.name) for r in nodes.collect()] + [("p", "P2_has_type", "moon"), ("p", "name", "Q")]
+    event, place, site, span = K.EVENT, K.PLACE, K.SITE, "P4_HAS_TIME-SPAN"
+    want = {("e0", event, span, "minCount", "0"), ("e2", event, span, "maxCount", "2"), ("e2", event, span, "class", K.PERSON), ("p", place, "name", "maxCount", "2"), ("p", place, "P2_has_type", "in", "moon")}
+    want |= {("s", site, "P53_HAS_FORMER_OR_CURRENT_LOCATION", "class", "(missing)"), ("s", site, "P70I_IS_DOCUMENTED_IN", "class", "(missing)"), ("h", K.PERSON, "P8_TOOK_PLACE_ON_OR_WITHIN", "closed", "p")}
+    for rows, suspects in ((250_000, 50_000), (10, 1)):
+        monkeypatch.setattr(G, "PART_ROWS", rows)
+        monkeypatch.setattr(G, "BROADCAST_SUSPECTS", suspects)
+        report = G.violations(nodes, frame(edges, "src rel_type dst"), frame(literals, "entity_id path value"))
+        got = [(r.focus_id, r.shape, r.path, r.constraint, r.observed) for r in report.collect()]
+        assert set(got) == want and len(got) == len(want)
+    for constraint in ("minCount", "maxCount", "class", "in", "closed", "undeclared"):
+        some = G.violations(nodes, frame(edges, "src rel_type dst"), frame(literals, "entity_id path value"), only=constraint)
+        assert {(r.focus_id, r.shape, r.path, r.constraint, r.observed) for r in some.collect()} == {w for w in want if w[3] == constraint}
+
+
 # ---- files and streams -------------------------------------------------------------------------------------
 
 
