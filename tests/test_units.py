@@ -81,6 +81,17 @@ def test_page_sections():
     assert S.page_sections("<!-- page 3 -->  ") == [("page-1", "<!-- page 3 -->")]
 
 
+def test_sections_a_few_texts_at_a_time(spark, monkeypatch):
+    texts = [(f"d{i}", "".join(f"<!-- PAGE {p} -->\n\n{'x' * (400 * i)}\n\n" for p in range(1, 5)) if i != 2 else None) for i in range(6)] + [(None, "")]
+    docs = spark.createDataFrame(texts, "doc_name string, text string").coalesce(1)
+    want = sorted(((n, i, a, b) for n, t in texts if t is not None for i, (a, b) in enumerate(S.page_sections(t))), key=str)
+    assert "MapInArrow" in S.sections(docs)._jdf.queryExecution().executedPlan().toString()
+    for rows, chars in ((64, 1 << 20), (2, 1 << 20), (64, 1000)):
+        monkeypatch.setattr(S, "CUT_ROWS", rows)
+        monkeypatch.setattr(S, "CUT_CHARS", chars)
+        assert sorted(map(tuple, S.sections(docs).collect()), key=str) == want
+
+
 def test_packed():
     got = S.packed(["a" * 15, "b" * 18, "cc"], 20, 5)
     assert [len(c) for c in got] == [15, 25, 9] and got[1] == "aaaaa\n\n" + "b" * 18
